@@ -60,7 +60,7 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return nearest_zone(stations, centroids).select(
         "station_id", F.coalesce("zone_id", F.lit(-1)).alias("zone_id"),
-        F.round(F.coalesce("distance_km", F.lit(-1.0)), 6).alias("distance_km"),
+        F.round(F.coalesce("distance_km", F.lit(-1.0)), 3).alias("distance_km"),
     )
 
 
@@ -75,7 +75,7 @@ _NEAREST_SQL = f"""
               + cos(radians(lat)) * cos(radians(zlat)) * pow(sin(radians(zlon - lon) / 2), 2)))), 9) AS km
           FROM st, z WHERE lon IS NOT NULL),
     r AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY km, zone_id) AS rn FROM d)
-    SELECT st.station_id, coalesce(zone_id, -1) AS zone_id, round(coalesce(km, -1.0::DOUBLE), 6) AS distance_km
+    SELECT st.station_id, coalesce(zone_id, -1) AS zone_id, round(coalesce(km, -1.0::DOUBLE), 3) AS distance_km
     FROM st LEFT JOIN r ON st.station_id = r.station_id AND rn = 1
 """
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import scratch_path
 
@@ -38,7 +39,7 @@ def number_rows(
         .withColumn("_place", F.monotonically_increasing_id())
         .write.parquet(path)
     )
-    schema = df.schema.add("_place", "long")
+    schema = T.StructType([*df.schema.fields, T.StructField("_place", T.LongType())])
     rows = spark.read.schema(schema).parquet(path).withColumn(
         "_part", F.shiftright("_place", _ROW_BITS).cast("int")
     )
