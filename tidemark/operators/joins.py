@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 EARTH_KM = 6371.0088
 # Finest grid: 2^21 cells along each axis of the unit cube, about 6 m on the ground.
 FINEST = 21
@@ -64,10 +66,13 @@ def nearest_zone(
     a few large cells, keeping only cells that can still hold its nearest zone. The
     joins are on cell ids; Spark broadcasts the cell table if it is small.
     """
-    placed = (
-        _on_sphere(zones.where(_located(lat, lon)), lat, lon)
-        .groupBy("_lat", "_lon", "_x", "_y", "_z")
-        .agg(F.min(zone_id).alias("_zone"))
+    placed = stored(
+        _on_sphere(
+            zones.where(_located(lat, lon))
+            .groupBy(F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon"))
+            .agg(F.min(zone_id).alias("_zone"))
+        ),
+        "centroids",
     )
     levels = _levels(placed)
     located = stations.where(_located(lat, lon))
@@ -81,9 +86,10 @@ def nearest_zone(
             F.lit(None).cast("double").alias("distance_km"),
         ).unionByName(nowhere)
 
-    spots = _on_sphere(located.select(lat, lon).distinct(), lat, lon).select(
-        "_lat", "_lon", "_x", "_y", "_z"
-    )
+    spots = _on_sphere(
+        located.select(F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon"))
+        .distinct()
+    ).drop("_ix", "_iy", "_iz")
     root = levels[0]
     root_cells = [r["_cell"] for r in _cells(placed, root, root).select("_cell").collect()]
     front = spots.withColumn("_cell", F.explode(F.array(*[F.lit(c) for c in root_cells])))
@@ -94,7 +100,7 @@ def nearest_zone(
             front.withColumnRenamed("_cell", "_parent").join(children, "_parent").drop("_parent")
         )
     leaves = placed.select(
-        _cell_id(levels[-1]).alias("_cell"), "_zone",
+        _level(levels[-1]).alias("_cell"), "_zone",
         F.col("_lat").alias("_zlat"), F.col("_lon").alias("_zlon"),
     )
     candidates = front.join(leaves, "_cell")
@@ -118,39 +124,38 @@ def _located(lat: str, lon: str) -> Column:
     return ok(F.col(lat).cast("double")) & ok(F.col(lon).cast("double"))
 
 
-def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    phi, lam = F.radians(F.col(lat).cast("double")), F.radians(F.col(lon).cast("double"))
-    return df.withColumns(
+def _on_sphere(df: DataFrame) -> DataFrame:
+    """Add the point on the unit sphere and its finest axis numbers."""
+    phi, lam = F.radians("_lat"), F.radians("_lon")
+    points = df.withColumns(
+        {"_x": F.cos(phi) * F.cos(lam), "_y": F.cos(phi) * F.sin(lam), "_z": F.sin(phi)}
+    )
+    top = (1 << FINEST) - 1
+    return points.withColumns(
         {
-            "_lat": F.col(lat).cast("double"),
-            "_lon": F.col(lon).cast("double"),
-            "_x": F.cos(phi) * F.cos(lam),
-            "_y": F.cos(phi) * F.sin(lam),
-            "_z": F.sin(phi),
+            f"_i{a}": F.least(F.floor((F.col(f"_{a}") + 1) / 2 * (1 << FINEST)).cast("bigint"), F.lit(top))
+            for a in "xyz"
         }
     )
 
 
-def _cell_id(level: int) -> Column:
-    """The cell of a point, its three axis numbers packed into one long."""
-    def axis(c: str) -> Column:
-        number = F.floor((F.col(c) + 1) / 2 * (1 << level)).cast("bigint")
-        return F.least(F.greatest(number, F.lit(0)), F.lit((1 << level) - 1))
+def _cell_id(drop: Column) -> Column:
+    """A point's cell as one long: the axis numbers without their ``drop`` last bits."""
+    x, y, z = (F.call_function("shiftright", F.col(c), drop) for c in ("_ix", "_iy", "_iz"))
+    return F.shiftleft(x, 2 * FINEST).bitwiseOR(F.shiftleft(y, FINEST)).bitwiseOR(z)
 
-    return (
-        F.shiftleft(axis("_x"), 42).bitwiseOR(F.shiftleft(axis("_y"), 21)).bitwiseOR(axis("_z"))
-    )
+
+def _level(n: int) -> Column:
+    return _cell_id(F.lit(FINEST - n))
 
 
 def _levels(placed: DataFrame) -> list[int]:
     """Grid levels to walk through, from two counts per level."""
     cells = placed.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("level"), _cell_id(n).alias("cell")) for n in range(FINEST + 1)])
-        ).alias("at")
-    )
+        "_ix", "_iy", "_iz", F.explode(F.sequence(F.lit(0), F.lit(FINEST))).alias("level")
+    ).select("level", _cell_id(F.lit(FINEST) - F.col("level")).alias("cell"))
     stats = (
-        cells.groupBy("at").count().groupBy("at.level")
+        cells.groupBy("level", "cell").count().groupBy("level")
         .agg(F.count("*").alias("cells"), F.max("count").alias("fullest"))
         .orderBy("level").collect()
     )
@@ -159,13 +164,13 @@ def _levels(placed: DataFrame) -> list[int]:
     root = max(s["level"] for s in stats if s["cells"] <= ROOT_CELLS)
     small = [s["level"] for s in stats if s["fullest"] <= LEAF_ZONES]
     leaf = max(root, small[0] if small else FINEST)
-    steps = max(1, math.ceil((leaf - root) / 2))
+    steps = max(1, math.ceil((leaf - root) / 3))
     return sorted({root + round(i * (leaf - root) / steps) for i in range(steps + 1)})
 
 
 def _cells(placed: DataFrame, level: int, above: int) -> DataFrame:
     """Occupied cells of a level with the tight box around their zones."""
-    return placed.groupBy(_cell_id(above).alias("_parent"), _cell_id(level).alias("_cell")).agg(
+    return placed.groupBy(_level(above).alias("_parent"), _level(level).alias("_cell")).agg(
         *[F.min(a).alias(f"{a}_lo") for a in ("_x", "_y", "_z")],
         *[F.max(a).alias(f"{a}_hi") for a in ("_x", "_y", "_z")],
     )

@@ -13,6 +13,9 @@ from tidemark.session import scratch_path
 
 # monotonically_increasing_id: partition number above this bit, row below it.
 _ROW_BITS = 33
+_ROW_MASK = (1 << _ROW_BITS) - 1
+# Up to this many (partition, group) stretches are handled as a list.
+LISTED_RUNS = 10_000
 # Spark keeps at most this many rows per group before the shuffle of a row_number
 # filter (spark.sql.optimizer.windowGroupLimitThreshold).
 WINDOW_LIMIT = 1_000
@@ -44,25 +47,71 @@ def number_rows(
         "_part", F.shiftright("_place", _ROW_BITS).cast("int")
     )
 
-    sizes = rows.groupBy("_part").count().orderBy("_part").collect()
-    offsets, before = [], 0
-    for part, count in sizes:
-        offsets.append((part, before))
-        before += count
-    starts = spark.createDataFrame(offsets, "_part int, _before long")
-    placed = rows.join(starts, "_part").withColumn(
-        name, F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    groups = [F.col(f"`{k}`").alias(f"_g{i}") for i, k in enumerate(within)]
+    runs = rows.groupBy("_part", *groups).agg(
+        F.count("*").alias("_count"), F.min("_place").bitwiseAND(F.lit(_ROW_MASK)).alias("_first")
     )
-    if within:
-        bases = placed.groupBy(*[F.col(f"`{k}`").alias(f"_g{i}") for i, k in enumerate(within)]).agg(
-            F.min(name).alias("_base")
-        )
-        same = reduce(
-            Column.__and__,
-            [placed[f"`{k}`"].eqNullSafe(bases[f"_g{i}"]) for i, k in enumerate(within)],
-        )
-        placed = placed.join(bases, same).withColumn(name, F.col(name) - F.col("_base"))
-    return placed.select(*[f"`{c}`" for c in df.columns], name)
+    starts, few = _run_starts(runs, [f"_g{i}" for i in range(len(within))])
+    same = [rows["_part"] == starts["_at"]]
+    same += [rows[f"`{k}`"].eqNullSafe(starts[f"_g{i}"]) for i, k in enumerate(within)]
+    placed = rows.join(F.broadcast(starts) if few else starts, reduce(Column.__and__, same))
+    row_in_part = F.col("_place").bitwiseAND(F.lit(_ROW_MASK))
+    return placed.select(
+        *[rows[f"`{c}`"] for c in df.columns], (row_in_part + F.col("_start")).alias(name)
+    )
+
+
+def _run_starts(runs: DataFrame, groups: list[str]) -> tuple[DataFrame, bool]:
+    """What to add to a row's place in its partition, per partition and group.
+
+    A run is the stretch of one group inside one sorted partition. Few runs are summed
+    up here, and can be broadcast. Many are summed up by Spark: only the row counts of
+    whole partitions come to the driver, one number each.
+    """
+    spark = runs.sparkSession
+    shape = T.StructType(
+        [T.StructField("_at", T.IntegerType()), T.StructField("_start", T.LongType())]
+        + [runs.schema[g] for g in groups]
+    )
+    listed = runs.limit(LISTED_RUNS + 1).collect()
+    if len(listed) <= LISTED_RUNS:
+        sizes: dict[int, int] = {}
+        for run in listed:
+            sizes[run["_part"]] = sizes.get(run["_part"], 0) + run["_count"]
+        before = _sums_before(sizes)
+        base: dict[tuple, int] = {}
+        for run in listed:
+            key = tuple(run[g] for g in groups)
+            position = before[run["_part"]] + run["_first"]
+            base[key] = min(position, base.get(key, position))
+        starts = [
+            (run["_part"], before[run["_part"]] - (base[key] if groups else 0), *key)
+            for run in listed
+            for key in [tuple(run[g] for g in groups)]
+        ]
+        return spark.createDataFrame(starts, shape), True
+
+    sizes = dict(runs.groupBy("_part").agg(F.sum("_count")).collect())
+    offsets = spark.createDataFrame(
+        list(_sums_before(sizes).items()), "_part int, _before long"
+    )
+    # One row per partition: small enough to broadcast by construction.
+    at = runs.join(F.broadcast(offsets), "_part").withColumn("_position", F.col("_before") + F.col("_first"))
+    if not groups:
+        return at.select(F.col("_part").alias("_at"), F.col("_before").alias("_start")), False
+    bases = at.groupBy(*[F.col(g).alias(f"{g}_base") for g in groups]).agg(F.min("_position").alias("_base"))
+    same = reduce(Column.__and__, [at[g].eqNullSafe(bases[f"{g}_base"]) for g in groups])
+    return at.join(bases, same).select(
+        F.col("_part").alias("_at"), (F.col("_before") - F.col("_base")).alias("_start"), *groups
+    ), False
+
+
+def _sums_before(sizes: dict[int, int]) -> dict[int, int]:
+    before, total = {}, 0
+    for part in sorted(sizes):
+        before[part] = total
+        total += sizes[part]
+    return before
 
 
 def pages(

@@ -61,7 +61,7 @@ def shared_root(spark: SparkSession) -> str:
     """
     named = spark.conf.get(CHECKPOINT_KEY, None)
     if named:
-        return named.rstrip("/")
+        return qualified(spark, named.rstrip("/"))
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
     global _local_root
@@ -71,6 +71,13 @@ def shared_root(spark: SparkSession) -> str:
     return f"file://{_local_root}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system spelled out, as tasks outside Spark's readers need it."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(name).toString()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
