@@ -48,7 +48,7 @@ def ingest_trips(
 
 def trip_source(spark: SparkSession, root: str, stream: contracts.TripStream) -> DataFrame:
     """All files of a stream under its specified schema, lower-case names."""
-    schema = struct_from_json_schema(stream.json_schema).add("puYear", "int").add("puMonth", "int")
+    schema = struct_from_json_schema(stream.json_schema).add("puYear", "integer").add("puMonth", "integer")
     return rename_all(partitioned_scan(spark, root, stream.glob, schema), lower_name)
 
 
