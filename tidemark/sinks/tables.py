@@ -62,6 +62,8 @@ def upsert(
         merged.hint("rebalance", month_column).write.partitionBy(month_column).saveAsTable(table)
         return spark.table(table)
 
+    # Another session may have rewritten files since this one last looked.
+    spark.catalog.refreshTable(table)
     old = spark.table(table)
     months = fresh.select(month_column).distinct()
     touched = months.limit(LISTED_PARTITIONS + 1).collect()

@@ -76,7 +76,7 @@ def zipped_csv(
             with open_file(archive) as raw:
                 try:
                     pack = zipfile.ZipFile(raw)
-                except zipfile.BadZipFile:
+                except (zipfile.BadZipFile, pa.ArrowInvalid):  # the latter for tiny files
                     yield rejected(archive, "not a zip")
                     return
                 members = [

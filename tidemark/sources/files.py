@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,8 +66,8 @@ def union_files(spark: SparkSession, paths: Sequence[str], base_path: str | None
 
     try:
         return reader().parquet(*paths)
-    except (AnalysisException, PySparkException) as error:
-        if "CANNOT_MERGE" not in str(error) and "merge" not in str(error).lower():
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
     for path in paths:

@@ -57,3 +57,7 @@ def run_upserts(
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    # Batches run in a session of their own; this one has to look at the files anew.
+    spark = stream.sparkSession
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
