@@ -28,6 +28,10 @@ def _rows(columns, rows):
 
 def spark_rows(spark: SparkSession, name: str, sf_dir: str):
     df = QUERIES[name].run(spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for costly in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython"):
+        if costly in plan:
+            raise AssertionError(f"{name} plans {costly}")
     return _rows(df.columns, [tuple(r) for r in df.collect()])
 
 

@@ -148,8 +148,14 @@ def test_everything_in_order(spark, tmp_path, rows):
         Inputs(
             zones_csv(tmp_path), root, bikes_root=str(bikes), bike_months=("2019-01", "2019-01"),
             records={entry.name: (fetch, "2023-01-01T00:00:00", "2023-01-31T00:00:00")},
+            centroids=spark.createDataFrame([(1, 40.0, -74.0)], "location_id int, lat double, lon double"),
+            holidays=spark.sql("SELECT date'2019-01-01' AS day, 'New Year' AS holiday"),
         ),
     )
+    assert made["fact_citibike_trips"].count() == 1 and made["dim_citibike_stations"].count() == 0
+    assert made["fact_311_complaints"].agg(F.sum("row_count")).head()[0] == 1
+    assert made["agg_modal_daily"].where("is_holiday").count() == 1
+    assert made["dim_holidays"].count() == 1
     assert made["fact_trips"].count() == 3, "the row from July 2019 is unreliable"
     assert rows(made["agg_flow_borough"]) == [("EWR", "Queens", 2), ("Queens", "EWR", 1)]
     daily = made["agg_modal_daily"].orderBy("day").select(F.date_format("day", "dd"), "taxi_count", "bike_count").collect()

@@ -31,6 +31,17 @@ from tidemark.operators.marts import (
     station_dimension,
     zone_flow,
 )
+from tidemark.operators.shape import bikes_to_old_layout
+from tidemark.plans.marts import (
+    bike_stations,
+    dim_holidays,
+    dim_weather,
+    fact_air_quality,
+    fact_bike_trips,
+    fact_complaints,
+    fact_event_permits,
+    fact_subway_entries,
+)
 
 PART_SIZE = 500
 
@@ -88,6 +99,117 @@ def flow_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return borough_flow(flow_zone(spark, sf_dir))
 
 
+def _centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n_nationkey")
+    return table(spark, sf_dir, "nation").select(
+        n.alias("location_id"), (40.5 + (n * 37 % 29) / 50.0).alias("lat"), (-74.25 + (n * 53 % 31) / 50.0).alias("lon")
+    )
+
+
+_CENTROIDS_SQL = """
+    SELECT n_nationkey AS zone, 40.5 + (n_nationkey * 37 % 29) / 50.0::DOUBLE AS zlat,
+           -74.25 + (n_nationkey * 53 % 31) / 50.0::DOUBLE AS zlon FROM nation
+"""
+
+
+def _bikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as bike trips under the old column names, all text."""
+    user = F.col("user_id")
+    new = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("ride_id"),
+        second_text("ts").alias("started_at"),
+        second_text(F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("ended_at"),
+        user.cast("string").alias("start_station_id"),
+        F.concat(F.lit("Station "), user).alias("start_station_name"),
+        (40.5 + user / 400.0).cast("string").alias("start_lat"),
+        (-74.25 + user / 300.0).cast("string").alias("start_lng"),
+        F.col("event_type").alias("member_casual"),
+    )
+    return bikes_to_old_layout(new)
+
+
+def bike_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = fact_bike_trips(_bikes(spark, sf_dir))
+    return fact.withColumns({c: second_text(c) for c in ("started_at", "ended_at")}).na.fill("none", ["end_station_id"])
+
+
+def station_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bike stations with the zone they lie in."""
+    return bike_stations(_bikes(spark, sf_dir), _centroids(spark, sf_dir)).select(
+        "station_id", "station_name", F.col("location_id").cast("int").alias("location_id")
+    )
+
+
+def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as requests in JSON, by day, type and nearest zone."""
+    user = F.col("user_id")
+    payload = F.to_json(
+        F.struct(
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("created_date"),
+            F.col("event_type").alias("complaint_type"),
+            (40.5 + user / 400.0).cast("string").alias("latitude"),
+            (-74.25 + user / 300.0).cast("string").alias("longitude"),
+        )
+    )
+    records = table(spark, sf_dir, "events").select(payload.alias("payload"))
+    fact = fact_complaints(records, _centroids(spark, sf_dir))
+    return fact.withColumns({"day": day_text("day"), "location_id": F.col("location_id").cast("int")})
+
+
+_USER_ZONE_SQL = f"""
+    SELECT user_id, zone FROM (
+        SELECT user_id, zone, row_number() OVER (PARTITION BY user_id ORDER BY
+            round({2 * EARTH_KM} * asin(sqrt(least(1.0::DOUBLE,
+                pow(sin(radians(zlat - (40.5 + user_id / 400.0::DOUBLE)) / 2), 2)
+                + cos(radians(40.5 + user_id / 400.0::DOUBLE)) * cos(radians(zlat))
+                  * pow(sin(radians(zlon - (-74.25 + user_id / 300.0::DOUBLE)) / 2), 2)))), 9), zone) AS rn
+        FROM (SELECT DISTINCT user_id FROM events), ({_CENTROIDS_SQL})) WHERE rn = 1
+"""
+
+
+def permits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as permits in JSON, each lasting as many hours as its status is worth."""
+    hours = F.when(F.col("o_orderstatus") == "F", 2.5).otherwise(8)
+    end = F.timestamp_add("MINUTE", (hours * 60).cast("int"), F.col("o_orderdate"))
+    payload = F.to_json(
+        F.struct(
+            F.col("o_orderkey").cast("string").alias("event_id"), F.lit("").alias("event_name"),
+            F.col("o_orderpriority").alias("event_type"),
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("start_date_time"),
+            F.date_format(end, "yyyy-MM-dd'T'HH:mm:ss").alias("end_date_time"),
+        )
+    )
+    fact = fact_event_permits(table(spark, sf_dir, "orders").select(payload.alias("payload")))
+    return fact.withColumns(
+        {c: second_text(c) for c in ("start_date_time", "end_date_time")}
+    ).na.fill("none", ["event_name"])
+
+
+def air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discounts as readings of a parameter named by the return flag."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("percent", F.col("l_discount") * 100)
+    return _plain(fact_air_quality(lines, "l_shipdate", "l_returnflag", "percent"), "value")
+
+
+def subway(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers as entries per supplier and day."""
+    return fact_subway_entries(table(spark, sf_dir, "lineitem"), "l_shipdate", "l_suppkey", "l_linenumber").withColumn(
+        "day", day_text("day")
+    )
+
+
+def weather_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = dim_weather(table(spark, sf_dir, "events"), "ts", {"value": "value"})
+    return days.withColumns({"day": day_text("day"), **{f"value_{k}": double(f"value_{k}") for k in ("avg", "min", "max")}})
+
+
+def holiday_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days with urgent or high orders, both names listed when both occur."""
+    named = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_orderpriority"))
+    orders = table(spark, sf_dir, "orders").withColumn("name", named)
+    return dim_holidays(orders, "o_orderdate", "name").withColumn("day", day_text("day"))
+
+
 _ENDS_SQL = f"""
     FROM ({TRIPS_SQL.format(lines="{lines}")}) t
     JOIN ({ZONES_SQL}) p ON t.pu = p.n_nationkey JOIN ({ZONES_SQL}) q ON t.do_ = q.n_nationkey
@@ -236,6 +358,43 @@ QUERIES = {
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
         WHERE rn = 1
     """),
+    "fact_bike_trips": Query(bike_trips, f"""
+        SELECT CAST(event_id AS VARCHAR) AS bike_id, strftime(ts, {SECOND}) AS started_at,
+               strftime(ts + INTERVAL 10 MINUTE, {SECOND}) AS ended_at, 600 AS duration_seconds,
+               CAST(user_id AS VARCHAR) AS start_station_id, 'none' AS end_station_id, event_type AS user_type
+        FROM events
+    """),
+    "dim_bike_stations": Query(station_map, f"""
+        SELECT CAST(user_id AS VARCHAR) AS station_id, 'Station ' || user_id AS station_name, zone AS location_id
+        FROM ({_USER_ZONE_SQL})
+    """),
+    "fact_complaints": Query(complaints, f"""
+        SELECT strftime(ts, {DAY}) AS day, event_type AS complaint_type, zone AS location_id, count(*) AS row_count
+        FROM events JOIN ({_USER_ZONE_SQL}) USING (user_id) GROUP BY ALL
+    """),
+    "fact_event_permits": Query(permits, f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS event_id, 'none' AS event_name, o_orderpriority AS event_type,
+               strftime(o_orderdate, {SECOND}) AS start_date_time,
+               strftime(o_orderdate + CASE WHEN o_orderstatus = 'F' THEN INTERVAL 150 MINUTE ELSE INTERVAL 480 MINUTE END,
+                        {SECOND}) AS end_date_time,
+               CASE WHEN o_orderstatus = 'F' THEN 2.5::DOUBLE ELSE 8.0::DOUBLE END AS duration_hours
+        FROM orders
+    """),
+    "fact_air_quality": Query(
+        air_quality, _daily_sql("lineitem", "l_shipdate", "l_returnflag,", "l_discount * 100", "value")
+    ),
+    "fact_subway_entries": Query(subway, f"""
+        SELECT strftime(l_shipdate, {DAY}) AS day, l_suppkey, CAST(sum(l_linenumber) AS BIGINT) AS entries
+        FROM lineitem GROUP BY ALL
+    """),
+    "dim_weather": Query(weather_days, f"""
+        SELECT day, value_avg, value_min, value_max FROM ({_daily_sql("events", "ts", "", "value", "value")})
+    """),
+    "dim_holidays": Query(holiday_days, f"""
+        SELECT strftime(o_orderdate, {DAY}) AS day,
+               string_agg(DISTINCT o_orderpriority, '; ' ORDER BY o_orderpriority) AS holiday
+        FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1
+    """),
     "group_documents": Query(group_documents, f"""
         SELECT concat_ws('|', o_custkey, strftime(o_orderdate, {SECOND})) AS document_key, 0 AS part,
                CAST(count(*) AS INTEGER) AS n,

@@ -23,7 +23,7 @@ from tidemark.functions.times import slice_number
 from tidemark.operators.checks import key_violations
 from tidemark.operators.dedup import last_per_payload, newest_per_key
 from tidemark.operators.shape import before
-from tidemark.session import scratch_database, scratch_path, setting
+from tidemark.session import scratch_database, scratch_path
 from tidemark.sinks.tables import (
     append_table,
     dedup_payloads,
@@ -36,7 +36,6 @@ from tidemark.streaming.increments import load_increment, load_slices, since
 from tidemark.streaming.live import drop_repeats, file_stream, run_to_files, run_upserts
 from tidemark.streaming.slices import slices_between
 
-DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 FULL_KEY = (*LINE_KEY, "l_shipdate")
 
 
@@ -64,9 +63,8 @@ def append_then_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with setting(spark, DUPLICATE_KEYS, "true"):
-        kept = dedup_payloads(table(spark, sf_dir, "events"), "event_id", "props")
-        return kept.select("event_id", "event_type", "value", "props", "payload_hash")
+    kept = dedup_payloads(table(spark, sf_dir, "events"), "event_id", "props")
+    return kept.select("event_id", "event_type", "value", "props", "payload_hash")
 
 
 def payload_dedup_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,11 +79,7 @@ def payload_dedup_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(way == 4, F.concat(F.lit("not json "), k))
     )
     events = table(spark, sf_dir, "events").select("event_id", spelled.alias("payload"))
-    with setting(spark, DUPLICATE_KEYS, "true"):
-        kept = last_per_payload(events, "payload", "event_id")
-        # The setting matters while the rows are read, which is later.
-        spark.conf.set(DUPLICATE_KEYS, "true")
-        return kept.select("event_id")
+    return last_per_payload(events, "payload", "event_id").select("event_id")
 
 
 def unique_violations(spark: SparkSession, sf_dir: str) -> DataFrame:

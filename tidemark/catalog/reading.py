@@ -23,7 +23,7 @@ from tidemark.operators.checks import load_report, require_rows
 from tidemark.operators.numbering import one_page, pages
 from tidemark.operators.shape import bike_layout, bikes_to_old_layout, parse_records, union_all
 from tidemark.plans.zones import stage_zones, zone_dimension
-from tidemark.session import scratch_database, scratch_path, setting
+from tidemark.session import scratch_database, scratch_path
 from tidemark.sinks.tables import materialize, replace_table
 from tidemark.sources.archives import accepted, rejects, zipped_csv
 from tidemark.sources.files import (
@@ -321,11 +321,10 @@ def _json_pages_sql() -> str:
 
 def open_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "props")
-    with setting(spark, "spark.sql.variant.allowDuplicateKeys", "true"):
-        return parse_records(events, "props", ["k", "unique_key"]).select(
-            "event_id", "k", F.coalesce("unique_key", F.lit("absent")).alias("unique_key"),
-            F.to_json("_rest").alias("rest"),
-        )
+    return parse_records(events, "props", ["k", "unique_key"]).select(
+        "event_id", "k", F.coalesce("unique_key", F.lit("absent")).alias("unique_key"),
+        F.to_json("_rest").alias("rest"),
+    )
 
 
 def page_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

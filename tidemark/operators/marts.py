@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import attach_zones
 from tidemark.operators.numbering import number_rows
+from tidemark.session import stored
 
 # A document with more children than this is stored in numbered parts.
 MOST_CHILDREN = 100_000
@@ -143,7 +144,9 @@ def documents(
     same = reduce(
         Column.__and__, [df[f"`{k}`"].eqNullSafe(large[f"_k{i}"]) for i, k in enumerate(keys)]
     )
-    small = df.join(large, same, "left_anti").withColumn("part", F.lit(0))
-    numbered = number_rows(df.join(large, same, "left_semi"), children, "_n", within=keys)
+    small = df.join(large, same, "left_anti").select(*keys, *children, F.lit(0).alias("part"))
+    # Copies of one child may be many, so rows that tie are spread as well.
+    hot = stored(df.join(large, same, "left_semi").select(*keys, *children), "hot-documents")
+    numbered = number_rows(hot, children, "_n", within=keys, spread_ties=True)
     parts = numbered.withColumn("part", F.floor(F.col("_n") / most_children).cast("int")).drop("_n")
     return small.unionByName(parts).groupBy(*keys, "part").agg(collected)

@@ -24,21 +24,27 @@ SHALLOW_ROWS = 100_000
 
 
 def number_rows(
-    df: DataFrame, order: Sequence[str], name: str = "row_no", within: Sequence[str] = ()
+    df: DataFrame, order: Sequence[str], name: str = "row_no", within: Sequence[str] = (),
+    spread_ties: bool = False,
 ) -> DataFrame:
     """Add each row's 0-based position in ``order``, counted anew in each ``within`` group.
 
     The rows are range-partitioned, sorted and written once to the shared folder. A
     group, even one with a third of all rows, is spread over many partitions; only
     the row count per partition travels through the driver. ``order`` should end in a
-    unique key, since rows that tie on all of it stay together.
+    unique key, since rows that tie on all of it stay in one partition. With
+    ``spread_ties`` they are spread too, in the order they were read; this is for ``df``
+    straight from files, where a repeated task reads its rows in the same order.
     """
     spark = df.sparkSession
-    keys = [*within, *order]
+    keys = [F.col(f"`{k}`").asc_nulls_first() for k in [*within, *order]]
+    source = df
+    if spread_ties:
+        source = df.withColumn("_read", F.monotonically_increasing_id())
+        keys.append(F.col("_read").asc())
     path = scratch_path(spark, "numbered")
     (
-        df.repartitionByRange(*[F.col(f"`{k}`").asc_nulls_first() for k in keys])
-        .sortWithinPartitions(*[F.col(f"`{k}`").asc_nulls_first() for k in keys])
+        source.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_read")
         .withColumn("_place", F.monotonically_increasing_id())
         .write.parquet(path)
     )

@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import contracts
 from tidemark.plans.bikes import ingest_bikes
-from tidemark.plans.marts import build_marts
-from tidemark.plans.open_data import load_records
+from tidemark.plans.marts import (
+    bike_stations,
+    build_marts,
+    fact_bike_trips,
+    fact_complaints,
+    fact_event_permits,
+    inspection_documents,
+)
+from tidemark.plans.open_data import current_records, load_records
 from tidemark.plans.trips import load_trips
 from tidemark.plans.zones import build_zones
 from tidemark.session import prepare
@@ -18,7 +25,11 @@ from tidemark.sources.paged_json import Fetch
 
 @dataclass(frozen=True)
 class Inputs:
-    """Where the sources lie. ``records`` maps a roster name to (fetch, start, end)."""
+    """Where the sources lie. ``records`` maps a roster name to (fetch, start, end).
+
+    ``centroids`` are zones with ``location_id``, ``lat`` and ``lon``; ``weather`` and
+    ``holidays`` are one row per ``day``.
+    """
 
     zones_csv: str
     trips_root: str
@@ -26,6 +37,9 @@ class Inputs:
     bikes_root: str | None = None
     bike_months: tuple[str, str] | None = None
     records: dict[str, tuple[Fetch, str, str | None]] = field(default_factory=dict)
+    centroids: DataFrame | None = None
+    weather: DataFrame | None = None
+    holidays: DataFrame | None = None
 
 
 def build_all(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
@@ -36,13 +50,29 @@ def build_all(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
     made = {"dim_nyc_taxi_zones": zones}
 
     modes: dict[str, tuple[DataFrame, str]] = {}
+    others: dict[str, DataFrame] = {}
+    permits: tuple[DataFrame, str] | None = None
     if inputs.bikes_root:
         start, end = inputs.bike_months or (None, None)
         bikes = ingest_bikes(spark, inputs.bikes_root, start, end)
         made[contracts.BIKE_TABLE] = bikes.table
-        modes["bike"] = (bikes.table, "starttime")
+        others["fact_citibike_trips"] = fact_bike_trips(bikes.table)
+        modes["bike"] = (others["fact_citibike_trips"], "started_at")
+        if inputs.centroids is not None:
+            others["dim_citibike_stations"] = bike_stations(bikes.table, inputs.centroids)
     for entry in contracts.RECORD_SETS:
         if entry.name in inputs.records:
             fetch, start, end = inputs.records[entry.name]
             made[entry.table] = load_records(spark, entry, fetch, start, end)
-    return made | build_marts(trips, zones, stream.cursor, modes)
+            current = current_records(made[entry.table], entry)
+            if entry.cursor == "created_date" and inputs.centroids is not None:
+                others["fact_311_complaints"] = fact_complaints(current, inputs.centroids)
+            elif entry.cursor == "start_date_time":
+                others["fact_event_permits"] = fact_event_permits(current)
+                permits = (others["fact_event_permits"], "start_date_time")
+            elif entry.cursor == "inspection_date":
+                made["inspection_documents"] = inspection_documents(current)
+    marts = build_marts(
+        trips, zones, stream.cursor, modes, inputs.weather, inputs.holidays, permits, others
+    )
+    return made | marts

@@ -8,10 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import contracts
+from tidemark.functions.keys import composite_key
 from tidemark.functions.times import ntz
 from tidemark.operators.joins import attach_zones, nearest_zone
-from tidemark.operators.marts import borough_flow, daily_fact, modal_daily, zone_flow
-from tidemark.operators.shape import before
+from tidemark.operators.marts import (
+    borough_flow,
+    daily_fact,
+    documents,
+    modal_daily,
+    station_dimension,
+    zone_flow,
+)
+from tidemark.operators.shape import before, stage_json
 from tidemark.sinks.tables import replace_table
 
 
@@ -28,10 +36,12 @@ def station_zones(stations: DataFrame, zones: DataFrame) -> DataFrame:
 def build_marts(
     trips: DataFrame, zones: DataFrame, cursor: str, other_modes: Mapping[str, tuple[DataFrame, str]],
     weather: DataFrame | None = None, holidays: DataFrame | None = None,
-    events: tuple[DataFrame, str] | None = None,
+    events: tuple[DataFrame, str] | None = None, others: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write facts, daily summary and flows. The trips with zones are scanned once
-    per mart from the written fact table, not derived again."""
+    """Write facts, daily summary and flows, and the ``others`` by name.
+
+    Later marts read the written fact table instead of deriving the trips again.
+    """
     made = {"fact_trips": replace_table(fact_trips(trips, zones, cursor), "marts.fact_trips")}
     flow = replace_table(zone_flow(made["fact_trips"], zones), "marts.agg_flow_zone")
     made["agg_flow_zone"] = flow
@@ -47,18 +57,88 @@ def build_marts(
         ),
         "marts.dim_date",
     )
+    for name, df in {**(others or {}), "dim_weather": weather, "dim_holidays": holidays}.items():
+        if df is not None:
+            made[name] = replace_table(df, f"marts.{name}")
     return made
 
 
 def inspection_documents(records: DataFrame) -> DataFrame:
     """Inspection rows nested as one document per restaurant and date."""
-    from tidemark.functions.keys import composite_key
-    from tidemark.operators.marts import documents
-
     nested = documents(records, contracts.INSPECTION_KEY, contracts.INSPECTION_CHILD, "violations")
     return nested.select(composite_key(*contracts.INSPECTION_KEY).alias("document_key"), "part", "violations")
 
 
-def complaints_by_zone(records: DataFrame, cursor: str, kind: str, zone: str) -> DataFrame:
-    """Requests per day, type and zone."""
-    return daily_fact(records.withColumn("_at", F.col(cursor)), "_at", [kind, zone])
+def fact_bike_trips(raw: DataFrame) -> DataFrame:
+    """Typed bike trips. The new layout has no duration; it follows from the times."""
+    start, stop = (F.col(c).try_cast("timestamp_ntz") for c in ("starttime", "stoptime"))
+    seconds = F.timestamp_diff("SECOND", start, stop)
+    return raw.select(
+        F.col("bikeid").alias("bike_id"),
+        start.alias("started_at"),
+        stop.alias("ended_at"),
+        F.coalesce(F.col("tripduration").try_cast("bigint"), seconds).alias("duration_seconds"),
+        F.col("start station id").alias("start_station_id"),
+        F.col("end station id").alias("end_station_id"),
+        F.col("usertype").alias("user_type"),
+    )
+
+
+def bike_stations(raw: DataFrame, zones: DataFrame) -> DataFrame:
+    """Stations seen at either end of a trip, with their newest place and taxi zone."""
+    def seen(end: str, at: str) -> DataFrame:
+        return raw.select(
+            F.col(f"{end} station id").alias("id"),
+            F.col(f"{end} station name").alias("station_name"),
+            F.col(f"{end} station latitude").try_cast("double").alias("lat"),
+            F.col(f"{end} station longitude").try_cast("double").alias("lon"),
+            F.col(at).alias("seen_at"),
+        )
+
+    both = seen("start", "starttime").unionByName(seen("end", "stoptime"))
+    columns = {"station_name": "station_name", "lat": "lat", "lon": "lon"}
+    return station_zones(station_dimension(both, "id", columns, "seen_at"), zones)
+
+
+def fact_complaints(records: DataFrame, zones: DataFrame) -> DataFrame:
+    """Service requests per day, type and nearest zone."""
+    fields = {
+        "created_date": "timestamp_ntz", "complaint_type": "string",
+        "latitude": "double", "longitude": "double",
+    }
+    typed = stage_json(records.select("payload"), "payload", fields).drop("payload")
+    places = typed.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
+    return daily_fact(station_zones(places, zones), "created_date", ["complaint_type", "location_id"])
+
+
+def fact_event_permits(records: DataFrame) -> DataFrame:
+    """One row per permit with its hours."""
+    fields = {
+        "event_id": "string", "event_name": "string", "event_type": "string",
+        "start_date_time": "timestamp_ntz", "end_date_time": "timestamp_ntz",
+    }
+    typed = stage_json(records.select("payload"), "payload", fields).drop("payload")
+    minutes = F.timestamp_diff("MINUTE", F.col("start_date_time"), F.col("end_date_time"))
+    return typed.withColumn("duration_hours", minutes / 60)
+
+
+def fact_air_quality(readings: DataFrame, cursor: str, parameter: str, value: str) -> DataFrame:
+    """Daily readings per measured parameter."""
+    return daily_fact(readings, cursor, [parameter], {"value": F.col(value)})
+
+
+def fact_subway_entries(readings: DataFrame, cursor: str, station: str, entries: str) -> DataFrame:
+    """Entries per station and day."""
+    return readings.groupBy(F.to_date(cursor).alias("day"), station).agg(F.sum(entries).alias("entries"))
+
+
+def dim_weather(readings: DataFrame, cursor: str, measures: Mapping[str, str]) -> DataFrame:
+    """One row per day with the day's mean, lowest and highest reading of each measure."""
+    daily = daily_fact(readings, cursor, (), {name: F.col(c) for name, c in measures.items()})
+    return daily.drop("row_count", *[f"{name}_sum" for name in measures])
+
+
+def dim_holidays(records: DataFrame, day: str, name: str) -> DataFrame:
+    """One row per holiday; several names of one day are listed together."""
+    names = F.array_join(F.sort_array(F.collect_set(name)), "; ")
+    return records.where(F.col(name).isNotNull()).groupBy(F.to_date(day).alias("day")).agg(names.alias("holiday"))

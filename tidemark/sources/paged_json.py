@@ -1,7 +1,9 @@
 """Sliced, paged JSON extract as a Python data source.
 
-One input partition per date slice, so slices are read in parallel; within a slice the
-pages come one after the other because a short page ends it. Only one page is held.
+Slices are read in parallel, and each slice by several readers that take its pages in
+turn (reader i of n reads pages i, i + n, i + 2n, ...), so a slice that holds most of
+the records is not left to one task. A short page ends a reader: all pages after it are
+empty. Only one page per reader is held.
 """
 
 from __future__ import annotations
@@ -14,13 +16,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark import contracts
 
+READERS = 4
 # fetch(start, end, limit, offset) -> the page's records, in cursor order
 Fetch = Callable[[str, str, int, int], list]
 
 
 def read_pages(
     spark: SparkSession, fetch: Fetch, slices: Sequence[tuple[int, str, str]],
-    page_size: int = contracts.PAGE_SIZE,
+    page_size: int = contracts.PAGE_SIZE, readers: int = READERS,
 ) -> DataFrame:
     """Records of all slices as ``slice_no``, ``page_no`` and ``payload`` (JSON text).
 
@@ -31,20 +34,20 @@ def read_pages(
     todo = [tuple(s) for s in slices]
 
     class Slice(InputPartition):
-        def __init__(self, number, start, end):
-            super().__init__(number)
-            self.number, self.start, self.end = number, start, end
+        def __init__(self, number, start, end, reader):
+            super().__init__((number, reader))
+            self.number, self.start, self.end, self.reader = number, start, end, reader
 
     class Reader(DataSourceReader):
         def partitions(self):
-            return [Slice(*s) for s in todo]
+            return [Slice(*s, reader) for s in todo for reader in range(readers)]
 
         def read(self, partition):
             import json
 
             import pyarrow as pa
 
-            page = 0
+            page = partition.reader
             while True:
                 records = fetch(partition.start, partition.end, page_size, page * page_size)
                 if records:
@@ -58,7 +61,7 @@ def read_pages(
                     )
                 if len(records) < page_size:
                     return
-                page += 1
+                page += readers
 
     class PagedJson(DataSource):
         @classmethod
