@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tidemark.catalog import QUERIES  # noqa: E402
-from tidemark.session import build_session  # noqa: E402
+from tidemark.session import build_session, clear_scratch  # noqa: E402
 
 
 def session(cpus: int) -> SparkSession:
@@ -54,6 +54,7 @@ def main() -> None:
     seconds = {
         name: round(statistics.median(timed(spark, name, sf_dir) for _ in range(runs)), 3) for name in names
     }
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

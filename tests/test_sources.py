@@ -227,3 +227,10 @@ def test_pages_keep_cursor_order_and_stop_on_a_short_page(spark):
     assert [(r["page_no"], json.loads(r["payload"])["id"]) for r in df.collect()] == [(0, "0"), (0, "1"), (1, "2"), (1, "3")]
     assert df.rdd.getNumPartitions() == 1
     assert paged_json.read_pages(spark, source_of([]), [], 2).count() == 0
+
+
+def test_only_existing_prefix_folders_are_listed(spark, tmp_path):
+    _touch(tmp_path, "y/m=1/a.parquet", "y/m=2/a.parquet", "z/a.parquet")
+    names = lambda *p: sorted(r["name"] for r in listing.list_prefixes(spark, f"file://{tmp_path}", p).collect())
+    assert names("y/m=1/", "y/m=9/") == ["y/m=1/a.parquet"]
+    assert names("y/m") == ["y/m=1/a.parquet", "y/m=2/a.parquet", "z/a.parquet"]

@@ -150,3 +150,16 @@ def test_stream_upserts_survive_replay(spark, tmp_path):
     assert sorted((r["id"], r["v"]) for r in spark.table(table).collect()) == expected
     live.run_upserts(live.file_stream(spark, f"{tmp_path}/in", schema), table, ("id", "t"), "t", f"{tmp_path}/other")
     assert sorted((r["id"]) for r in spark.table(table).collect()) == [1, 2, 3]
+
+
+def test_lookback_prunes_month_folders(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(datetime(2018, 12, 1), 2018, 12), (datetime(2019, 1, 30), 2019, 1), (datetime(2019, 2, 5), 2019, 2)],
+        "t timestamp_ntz, y int, m int",
+    )
+    df.write.partitionBy("y", "m").parquet(f"{tmp_path}/e")
+    got = increments.since(spark.read.parquet(f"{tmp_path}/e"), "t", "2019-02-05T00:00:00", months=("y", "m"))
+    assert got.count() == 2
+    scanned = {f.split("/y=")[1].split("/part")[0] for f in got.inputFiles()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((y" in plan and scanned

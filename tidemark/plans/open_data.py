@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import contracts
+from tidemark.functions.times import parse_iso
 from tidemark.operators.dedup import newest_per_key
 from tidemark.operators.shape import parse_records, stage_json, with_constants
-from tidemark.sinks.tables import dedup_payloads, ensure_layers, route_records
+from tidemark.sinks.tables import dedup_payloads, ensure_layers, load_number, route_records
 from tidemark.sources.paged_json import Fetch, read_pages
 from tidemark.streaming import watermarks
-from tidemark.streaming.increments import next_load
 from tidemark.streaming.slices import date_slices, slice_list
 
 
@@ -36,17 +38,15 @@ def load_records(
     store = watermarks.create_store(spark)
     mark = watermarks.last_value(spark, store, entry.name)
     if mark is not None:
-        lookback = F.lit(mark).cast("timestamp_ntz") - F.make_dt_interval(F.lit(contracts.LOOKBACK_DAYS))
-        again = spark.range(1).select(F.date_format(lookback, "yyyy-MM-dd'T'HH:mm:ss")).head()[0]
-        start = max(start, again)
-    whole = f"raw.{contracts.OPEN_DATA_STREAM}"
-    number = next_load(spark, whole)
+        again = datetime.fromisoformat(mark) - timedelta(days=contracts.LOOKBACK_DAYS)
+        start = max(start, again.isoformat(timespec="seconds"))
+    number = load_number()
     records = extract_records(spark, entry, fetch, start, end, page_size, days)
     records = records.drop("_rest").withColumn("_load_seq", F.lit(number).cast("bigint"))
     tables = route_records(records, "raw")
     loaded = tables[entry.table]
     fresh = loaded.where(F.col("_load_seq") == number)
-    moments = fresh.select(F.to_timestamp_ntz(F.left(entry.cursor, F.lit(19)), F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("at"))
+    moments = fresh.select(parse_iso(F.left(entry.cursor, F.lit(19))).alias("at"))
     watermarks.advance(spark, store, watermarks.newest_values(moments, "at", entry.name))
     return loaded
 

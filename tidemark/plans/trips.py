@@ -16,7 +16,7 @@ from tidemark.sources.files import (
     struct_from_json_schema,
     union_files,
 )
-from tidemark.sources.listing import capped_listing, list_files, paths_of
+from tidemark.sources.listing import capped_listing, list_prefixes, paths_of
 from tidemark.streaming import watermarks
 from tidemark.streaming.increments import load_increment
 
@@ -30,10 +30,9 @@ def ingest_trips(
     A stream without files is reported with 0 and its table stays as it was.
     """
     ensure_layers(spark)
-    listing = list_files(spark, root)
     loaded: dict[str, DataFrame | None] = {}
     for name, wanted in prefixes.items():
-        paths = paths_of(capped_listing(listing, wanted, limit))
+        paths = paths_of(capped_listing(list_prefixes(spark, root, wanted), wanted, limit))
         if not paths:
             loaded[name] = None
             continue
@@ -53,10 +52,13 @@ def trip_source(spark: SparkSession, root: str, stream: contracts.TripStream) ->
 
 
 def load_trips(spark: SparkSession, root: str, stream: contracts.TripStream) -> DataFrame:
-    """Incremental load of one stream: watermark, 7-day lookback, upsert by natural key."""
+    """Incremental load of one stream: watermark, 7-day lookback, upsert by natural key.
+
+    The source folders are pickup months, so folders before the lookback are not opened.
+    """
     ensure_layers(spark)
     store = watermarks.create_store(spark)
     return load_increment(
         trip_source(spark, root, stream), stream.name, f"raw.{stream.table}",
-        stream.key, stream.cursor, store,
+        stream.key, stream.cursor, store, months=("puyear", "pumonth"),
     )

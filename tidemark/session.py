@@ -21,6 +21,7 @@ _SEMANTIC_CONF = {
 }
 
 _local_root: str | None = None
+_made: list[str] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -80,7 +81,24 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this process put below the shared folder.
+
+    Only once nothing reads it any more: many operators return a plan over it.
+    """
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(name)
 
 
 def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

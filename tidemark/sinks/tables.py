@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,14 @@ LISTED_PARTITIONS = 2_000
 LOAD_SEQ = "_load_seq"
 
 
+def load_number() -> int:
+    """A number for a load, above those of all earlier loads: its start in microseconds.
+
+    Asking the table for its highest number would scan all of it.
+    """
+    return time.time_ns() // 1_000
+
+
 def ensure_layers(spark: SparkSession, names: Sequence[str] = contracts.LAYERS) -> None:
     for name in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")

@@ -11,16 +11,33 @@ from pyspark.sql import functions as F
 from tidemark import contracts
 from tidemark.functions.text import last_segment, megabytes
 from tidemark.functions.times import months_between, parse_month
+from tidemark.session import exists
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """``path``, ``name`` below the root, last segment and size; contents are not read."""
+    return _list(spark, root, [root], glob)
+
+
+def list_prefixes(spark: SparkSession, root: str, prefixes: Sequence[str]) -> DataFrame:
+    """The same for names below the given prefixes only.
+
+    Prefixes that are folders are listed alone instead of the whole root.
+    """
+    if all(p.endswith("/") for p in prefixes):
+        folders = [f"{root.rstrip('/')}/{p}" for p in prefixes]
+        found = [f for f in dict.fromkeys(folders) if exists(spark, f)]
+        return _list(spark, root, found or [root], None)
+    return _list(spark, root, [root], None)
+
+
+def _list(spark: SparkSession, root: str, folders: list[str], glob: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     base = _bare(root).rstrip("/") + "/"
     bare = F.regexp_replace("path", r"^[A-Za-z0-9]+:/+", "/")
-    return reader.load(root).select(
+    return reader.load(folders).select(
         "path",
         F.substring(bare, len(base) + 1, 1_000_000).alias("name"),
         last_segment(F.col("path")).alias("file_name"),

@@ -3,33 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import contracts
 from tidemark.functions.times import ntz
-from tidemark.sinks.tables import upsert
+from tidemark.sinks.tables import load_number, upsert
 from tidemark.streaming import watermarks
 from tidemark.streaming.slices import date_slices, in_slice
 
 
 def since(
-    df: DataFrame, cursor: str, last_value: str | None, lookback_days: int = contracts.LOOKBACK_DAYS
+    df: DataFrame, cursor: str, last_value: str | None, lookback_days: int = contracts.LOOKBACK_DAYS,
+    months: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Rows from ``last_value`` minus the lookback on; all rows on the first load.
 
-    The bound is a literal, so it reaches the Parquet scan.
+    The bound is a literal, so it reaches the Parquet scan. ``months`` names the year
+    and month columns of a source laid out by the cursor's month: earlier folders are
+    then pruned.
     """
     if last_value is None:
         return df
-    start = ntz(last_value) - F.make_dt_interval(F.lit(lookback_days))
-    return df.where(F.col(cursor) >= start)
+    start = datetime.fromisoformat(last_value) - timedelta(days=lookback_days)
+    rows = df.where(F.col(cursor) >= ntz(start))
+    if months:
+        year, month = F.col(months[0]), F.col(months[1])
+        rows = rows.where((year > start.year) | ((year == start.year) & (month >= start.month)))
+    return rows
 
 
 def load_increment(
     source: DataFrame, source_name: str, table: str, keys: Sequence[str], cursor: str,
     store: str, lookback_days: int = contracts.LOOKBACK_DAYS,
+    months: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Watermark -> lookback read -> upsert -> new watermark.
 
@@ -37,19 +46,12 @@ def load_increment(
     """
     spark = source.sparkSession
     mark = watermarks.last_value(spark, store, source_name)
-    fresh = since(source, cursor, mark, lookback_days)
-    loaded = upsert(fresh, table, keys, cursor, next_load(spark, table))
+    fresh = since(source, cursor, mark, lookback_days, months)
+    loaded = upsert(fresh, table, keys, cursor, load_number())
     watermarks.advance(spark, store, watermarks.newest_values(fresh, cursor, source_name))
     return loaded
 
 
-def next_load(spark: SparkSession, table: str) -> int:
-    """One above the highest load number in the table."""
-    if not spark.catalog.tableExists(table):
-        return 1
-    return (spark.table(table).agg(F.max("_load_seq")).head()[0] or 0) + 1
-
-
 def load_slices(
     source: DataFrame, source_name: str, cursor: str, store: str, start: str, end: str,
     write: Callable[[DataFrame, int], None], days: int = contracts.SLICE_DAYS,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.session import setting
-from tidemark.sinks.tables import upsert
+from tidemark.sinks.tables import load_number, upsert
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -50,7 +50,7 @@ def run_upserts(
 ) -> None:
     """Upsert each micro-batch. A batch replayed after a failure changes nothing."""
     def apply(batch: DataFrame, number: int) -> None:
-        upsert(batch, table, keys, cursor, number + 1)
+        upsert(batch, table, keys, cursor, load_number())
 
     query = (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
