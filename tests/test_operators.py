@@ -221,11 +221,11 @@ def test_nearest_zone_ties_and_missing_places(spark, rows):
         [(9, 0.0, 1.0), (3, 0.0, -1.0), (5, 0.0, -1.0), (1, None, 0.0)], "location_id int, lat double, lon double"
     )
     stations = spark.createDataFrame(
-        [("mid", 0.0, 0.0), ("mid again", 0.0, 0.0), ("none", None, 1.0), ("nan", float("nan"), 1.0), ("east", 0.0, 2.0)],
+        [("mid", 0.0, 0.0), ("mid again", 0.0, 0.0), ("none", None, 1.0), ("nan", float("nan"), 1.0), ("off", 1e9, 0.0), ("inf", 0.0, float("inf")), ("east", 0.0, 2.0)],
         "s string, lat double, lon double",
     )
     got = {r["s"]: r["zone_id"] for r in joins.nearest_zone(stations, zones).collect()}
-    assert got == {"mid": 3, "mid again": 3, "none": None, "nan": None, "east": 9}
+    assert got == {"mid": 3, "mid again": 3, "none": None, "nan": None, "off": None, "inf": None, "east": 9}
     nothing = joins.nearest_zone(stations, zones.limit(0))
     assert {r["zone_id"] for r in nothing.collect()} == {None}
 

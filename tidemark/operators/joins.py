@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import stored
 
@@ -75,20 +76,15 @@ def nearest_zone(
         "centroids",
     )
     levels = _levels(placed)
-    located = stations.where(_located(lat, lon))
-    nowhere = stations.where(~_located(lat, lon)).select(
-        "*", F.lit(None).cast(zones.schema[zone_id].dataType).alias("zone_id"),
-        F.lit(None).cast("double").alias("distance_km"),
-    )
     if not levels:
-        return located.select(
+        return stations.select(
             "*", F.lit(None).cast(zones.schema[zone_id].dataType).alias("zone_id"),
             F.lit(None).cast("double").alias("distance_km"),
-        ).unionByName(nowhere)
+        )
 
     spots = _on_sphere(
-        located.select(F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon"))
-        .distinct()
+        stations.select(F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon"))
+        .distinct().where(_located("_lat", "_lon"))
     ).drop("_ix", "_iy", "_iz")
     root = levels[0]
     root_cells = [r["_cell"] for r in _cells(placed, root, root).select("_cell").collect()]
@@ -108,20 +104,29 @@ def nearest_zone(
     best = candidates.groupBy("_lat", "_lon").agg(
         F.min(F.struct(distance.alias("km"), F.col("_zone").alias("zone"))).alias("_best")
     )
-    joined = located.join(
-        best, (located[lat].cast("double") == best["_lat"]) & (located[lon].cast("double") == best["_lon"])
+    # Stations without a place get made-up latitudes that match nothing, many of them,
+    # so that they do not all meet in one task.
+    plain = [f.name for f in stations.schema if isinstance(f.dataType, T.AtomicType)]
+    nowhere = F.lit(1000.0) + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(4096))
+    known = _located(lat, lon)
+    keyed = stations.withColumns(
+        {
+            "_at_lat": F.when(known, F.col(lat).cast("double")).otherwise(nowhere),
+            "_at_lon": F.when(known, F.col(lon).cast("double")).otherwise(0.0),
+        }
     )
-    mapped = joined.select(
-        *[located[f"`{c}`"] for c in stations.columns],
+    same = (keyed["_at_lat"] == best["_lat"]) & (keyed["_at_lon"] == best["_lon"])
+    return keyed.join(best, same, "left").select(
+        *[keyed[f"`{c}`"] for c in stations.columns],
         F.col("_best.zone").alias("zone_id"),
         F.col("_best.km").alias("distance_km"),
     )
-    return mapped.unionByName(nowhere)
 
 
 def _located(lat: str, lon: str) -> Column:
-    ok = lambda c: c.isNotNull() & ~F.isnan(c)
-    return ok(F.col(lat).cast("double")) & ok(F.col(lon).cast("double"))
+    """A place on earth; not NULL, NaN or out of range."""
+    north, east = F.abs(F.col(lat).cast("double")), F.abs(F.col(lon).cast("double"))
+    return F.coalesce((north <= 90) & (east <= 360), F.lit(False))
 
 
 def _on_sphere(df: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import contracts
-from tidemark.functions.jsontext import field
 
 
 def project(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -78,12 +77,16 @@ def parse_records(
 
 
 def stage_json(df: DataFrame, payload: str, types: Mapping[str, str]) -> DataFrame:
-    """Clean typed columns from raw JSON: extract, trim, empty to NULL, cast."""
+    """Clean typed columns from raw JSON: extract, trim, empty to NULL, cast.
+
+    The text is parsed once for all fields.
+    """
+    shape = T.StructType([T.StructField(name, T.StringType()) for name in types])
     cleaned = {
-        name: F.nullif(F.trim(field(F.col(payload), name)), F.lit("")).try_cast(kind)
+        name: F.nullif(F.trim(F.col(f"_fields.`{name}`")), F.lit("")).try_cast(kind)
         for name, kind in types.items()
     }
-    return df.withColumns(cleaned)
+    return df.withColumn("_fields", F.from_json(payload, shape)).withColumns(cleaned).drop("_fields")
 
 
 def names_like(names: DataFrame, column: str, patterns: Sequence[str], but: Sequence[str] = ()) -> DataFrame:

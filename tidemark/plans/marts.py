@@ -101,14 +101,19 @@ def bike_stations(raw: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def fact_complaints(records: DataFrame, zones: DataFrame) -> DataFrame:
-    """Service requests per day, type and nearest zone."""
+    """Service requests per day, type and nearest zone.
+
+    Counted by place first, so that places are mapped, not requests.
+    """
     fields = {
         "created_date": "timestamp_ntz", "complaint_type": "string",
         "latitude": "double", "longitude": "double",
     }
     typed = stage_json(records.select("payload"), "payload", fields).drop("payload")
-    places = typed.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
-    return daily_fact(station_zones(places, zones), "created_date", ["complaint_type", "location_id"])
+    typed = typed.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
+    places = daily_fact(typed, "created_date", ["complaint_type", "lat", "lon"])
+    by_zone = station_zones(places, zones).groupBy("day", "complaint_type", "location_id")
+    return by_zone.agg(F.sum("row_count").alias("row_count"))
 
 
 def fact_event_permits(records: DataFrame) -> DataFrame:
