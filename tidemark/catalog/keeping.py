@@ -23,7 +23,7 @@ from tidemark.functions.times import slice_number
 from tidemark.operators.checks import key_violations
 from tidemark.operators.dedup import last_per_payload, newest_per_key
 from tidemark.operators.shape import before
-from tidemark.session import scratch_database, scratch_path
+from tidemark.session import scratch_database, scratch_path, stored
 from tidemark.sinks.tables import (
     append_table,
     dedup_payloads,
@@ -141,10 +141,11 @@ def date_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """90-day slices over all orders with the orders in each."""
     orders = table(spark, sf_dir, "orders")
     start = F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")
-    bounds = orders.agg(start.alias("first"), F.max("o_orderdate").alias("last"))
-    counts = orders.groupBy(slice_number("o_orderdate", start, 90).alias("slice_no")).agg(
-        F.count("*").alias("row_count")
+    by_slice = orders.groupBy(slice_number("o_orderdate", start, 90).alias("slice_no")).agg(
+        F.count("*").alias("row_count"), F.max("o_orderdate").alias("newest")
     )
+    counts = stored(by_slice, "slices")
+    bounds = counts.agg(start.alias("first"), F.max("newest").alias("last"))
     return slices_between(bounds, 90).join(counts, "slice_no", "left").select(
         "slice_no", second_text("slice_start").alias("slice_start"),
         second_text("slice_end").alias("slice_end"),

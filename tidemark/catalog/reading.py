@@ -23,7 +23,7 @@ from tidemark.operators.checks import load_report, require_rows
 from tidemark.operators.numbering import one_page, pages
 from tidemark.operators.shape import bike_layout, bikes_to_old_layout, parse_records, union_all
 from tidemark.plans.zones import stage_zones, zone_dimension
-from tidemark.session import scratch_database, scratch_path
+from tidemark.session import scratch_database, scratch_path, stored
 from tidemark.sinks.tables import materialize, replace_table
 from tidemark.sources.archives import accepted, rejects, zipped_csv
 from tidemark.sources.files import (
@@ -260,12 +260,13 @@ def _layout_sql() -> str:
 
 def month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly files that cover all orders, with the orders each should hold."""
-    orders = table(spark, sf_dir, "orders")
-    bounds = orders.agg(F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last"))
-    counts = orders.groupBy(F.date_format("o_orderdate", "yyyyMM").alias("month_key")).agg(
-        F.count("*").alias("row_count")
+    by_month = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyyMM").alias("month_key")).agg(
+        F.count("*").alias("row_count"),
+        F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last"),
     )
-    months = month_keys(bounds, "first", "last").join(counts, "month_key", "left")
+    counts = stored(by_month, "months")
+    bounds = counts.agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    months = month_keys(bounds, "first", "last").join(counts.drop("first", "last"), "month_key", "left")
     stem, _, tail = contracts.BIKE_ARCHIVE_STEM.partition("{month}")
     return months.select(
         "month_key",

@@ -34,16 +34,22 @@ def newest_per_key(
 
 
 def last_per_payload(
-    df: DataFrame, payload: str, sequence: str, canonical: bool = True
+    df: DataFrame, payload: str, sequence: str, hash_as: str | None = None
 ) -> DataFrame:
     """Keep the last loaded row of each payload; rows without a payload all stay.
 
-    NULL payloads never equal each other, so they bypass the shuffle. ``canonical``
-    False compares the stored text, for sources that write a value in one way only.
+    Payloads are compared by their canonical text, through two hashes of it (192 bits
+    together), so that long texts are neither sorted nor sent twice. ``hash_as`` keeps
+    the md5 as a column. NULL payloads never equal each other and bypass the shuffle.
     """
     value = F.col(payload)
-    present = df.where(value.isNotNull()).withColumn(
-        "_canon", canonical_json(value) if canonical else value
+    md5_name = hash_as or "_md5"
+    source = df.drop(md5_name)
+    canon = canonical_json(value)
+    present = source.where(value.isNotNull()).withColumns(
+        {md5_name: F.md5(canon), "_check": F.xxhash64(canon)}
     )
-    kept = newest_per_key(present, ["_canon"], sequence).drop("_canon")
-    return kept.unionByName(df.where(value.isNull()))
+    kept = newest_per_key(present, [md5_name, "_check"], sequence).drop("_check")
+    absent = source.where(value.isNull()).withColumn(md5_name, F.lit(None).cast("string"))
+    both = kept.unionByName(absent)
+    return both if hash_as else both.drop(md5_name)

@@ -62,8 +62,10 @@ def modal_daily(
     """One row per day over all modes; a mode without rows on a day counts 0.
 
     ``modes`` maps a mode to daily facts with ``day`` and ``row_count``. They are
-    stacked and grouped once instead of being joined one by one. ``weather`` is one row
-    per ``day``; ``holidays`` has ``day`` and ``holiday``; ``events`` is a daily fact.
+    stacked and grouped once instead of being joined one by one, and kept as a table of
+    days, because the range of days and the counts would each scan all facts otherwise.
+    ``weather`` is one row per ``day``; ``holidays`` has ``day`` and ``holiday``;
+    ``events`` is a daily fact.
     """
     counted = dict(modes)
     if events is not None:
@@ -72,13 +74,14 @@ def modal_daily(
         DataFrame.unionByName,
         [f.select("day", F.lit(mode).alias("_mode"), "row_count") for mode, f in counted.items()],
     )
-    daily = stacked.groupBy("day").agg(
+    counts = stacked.groupBy("day").agg(
         *[
             F.sum(F.when(F.col("_mode") == mode, F.col("row_count")).otherwise(0)).alias(f"{mode}_count")
             for mode in counted
         ]
     )
-    span = stacked.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    daily = stored(counts, "modal-days")
+    span = daily.agg(F.min("day").alias("first"), F.max("day").alias("last"))
     summary = date_dimension(span).join(daily, "day", "left").na.fill(0, [f"{m}_count" for m in counted])
     total = reduce(Column.__add__, [F.col(f"{m}_count") for m in modes])
     summary = summary.withColumn("all_modes_count", total)

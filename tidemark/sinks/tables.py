@@ -126,7 +126,7 @@ def with_payload_hash(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 def dedup_payloads(df: DataFrame, sequence: str, payload: str = "payload") -> DataFrame:
     """Add the hash, keep the last row per payload. Doing it again changes nothing."""
-    return with_payload_hash(last_per_payload(df, payload, sequence), payload)
+    return last_per_payload(df, payload, sequence, hash_as="payload_hash")
 
 
 def replace_unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
