@@ -118,6 +118,11 @@ def test_payload_migration_is_repeatable(spark, table, rows):
     assert tables.replace_unique(once, table, ["payload_hash"]).count() == 3
 
 
+def test_hash_column_equals_dedup_hash(spark, rows):
+    df = spark.createDataFrame([(1, '{"a": 1}'), (2, None)], "seq int, payload string")
+    assert rows(tables.with_payload_hash(df)) == rows(tables.dedup_payloads(df, "seq"))
+
+
 def test_layers_are_created_once(spark):
     tables.ensure_layers(spark)
     tables.ensure_layers(spark)

@@ -172,6 +172,7 @@ def bike_zips(tmp_path):
     make_zip(tmp_path / "other.zip", [("a.csv", "x,y\n1,2\n")])
     make_zip(tmp_path / "nothing.zip", [("readme.txt", "hi")])
     make_zip(tmp_path / "headless.zip", [("a.csv", "")])
+    make_zip(tmp_path / "blank.zip", [("a.csv", f"\n{OLD}\n{line}\n")])
     (tmp_path / "fake.zip").write_bytes(b"no zip")
     return tmp_path
 
@@ -186,7 +187,7 @@ def test_archives(spark, bike_zips, monkeypatch):
     assert new == [("r1", "2021, x", None, None), ("r2", "2021", None, None), ("r3", "2022", "4", None)]
     reasons = {r["_archive"].rsplit("/", 1)[1]: r["reason"] for r in archives.rejects(read).collect()}
     assert reasons == {
-        "moved.zip": "header", "other.zip": "header", "headless.zip": "header",
+        "moved.zip": "header", "other.zip": "header", "headless.zip": "header", "blank.zip": "header",
         "nothing.zip": "no csv", "fake.zip": "not a zip",
     }
     read.unpersist()
@@ -195,7 +196,7 @@ def test_archives(spark, bike_zips, monkeypatch):
 def test_one_task_per_archive(spark, bike_zips):
     read = archives.bike_archive_rows(listing.list_files(spark, str(bike_zips), "*.zip"))
     used = read.select(F.spark_partition_id().alias("p"), "_archive").distinct().groupBy("p").count()
-    assert used.count() == 7 and used.agg(F.max("count")).head()[0] == 1
+    assert used.count() == 8 and used.agg(F.max("count")).head()[0] == 1
 
 
 # -- pages ----------------------------------------------------------------------

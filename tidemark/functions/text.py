@@ -15,6 +15,8 @@ def is_blank(col: Column) -> Column:
 def blank_to_null(df: DataFrame, *columns: str, trim: bool = False) -> DataFrame:
     """Turn empty text into NULL in the given, or all, text columns."""
     names = columns or tuple(f.name for f in df.schema if isinstance(f.dataType, T.StringType))
+    if not names:
+        return df
     value = (lambda c: F.trim(_named(c))) if trim else _named
     return df.withColumns({c: F.nullif(value(c), F.lit("")) for c in names})
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import contracts
 from tidemark.functions.names import lower_name, rename_all
+from tidemark.functions.text import blank_to_null
 from tidemark.operators.checks import load_report
 from tidemark.sinks.tables import ensure_layers, replace_table
 from tidemark.sources.files import (
@@ -39,9 +40,8 @@ def ingest_trips(
         rows = union_files(spark, paths, base_path=root)
         if head_rows:
             rows = head_per_file(rows, head_order, head_rows)
-        loaded[name] = replace_table(
-            rename_all(rows, lower_name), f"raw.{contracts.TRIP_STREAMS[name].table}"
-        )
+        landed = blank_to_null(rename_all(rows, lower_name))
+        loaded[name] = replace_table(landed, f"raw.{contracts.TRIP_STREAMS[name].table}")
     return load_report(loaded)
 
 

@@ -87,7 +87,7 @@ def zipped_csv(
                     return
                 with pack.open(members[0]) as member:
                     lines = csv.reader(io.TextIOWrapper(member, encoding="utf-8", newline=""))
-                    header = next((h for h in lines if h), [])
+                    header = next(lines, [])
                     if tuple(header) == columns:
                         layout, names = "old", list(columns)
                     elif marker is not None and marker in header:
