@@ -89,7 +89,8 @@ def test_csv_as_text_and_inferred(spark, tmp_path):
 
 
 def test_literal_relation(spark, rows):
-    assert rows(files.literal_relation(spark)) == [(1, "hello from the analytics blueprint")]
+    made = files.literal_relation(spark, id=1, message="hello")
+    assert made.columns == ["id", "message"] and rows(made) == [(1, "hello")]
 
 
 # -- listings -------------------------------------------------------------------

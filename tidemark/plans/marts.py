@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import contracts
@@ -20,6 +20,7 @@ from tidemark.operators.marts import (
     zone_flow,
 )
 from tidemark.operators.shape import before, stage_json
+from tidemark.session import stored
 from tidemark.sinks.tables import replace_table
 
 
@@ -85,9 +86,12 @@ def fact_bike_trips(raw: DataFrame) -> DataFrame:
 
 
 def bike_stations(raw: DataFrame, zones: DataFrame) -> DataFrame:
-    """Stations seen at either end of a trip, with their newest place and taxi zone."""
-    def seen(end: str, at: str) -> DataFrame:
-        return raw.select(
+    """Stations seen at either end of a trip, with their newest place and taxi zone.
+
+    The trips are read once; stations are few and kept as a table before they are mapped.
+    """
+    def seen(end: str, at: str) -> Column:
+        return F.struct(
             F.col(f"{end} station id").alias("id"),
             F.col(f"{end} station name").alias("station_name"),
             F.col(f"{end} station latitude").try_cast("double").alias("lat"),
@@ -95,15 +99,17 @@ def bike_stations(raw: DataFrame, zones: DataFrame) -> DataFrame:
             F.col(at).alias("seen_at"),
         )
 
-    both = seen("start", "starttime").unionByName(seen("end", "stoptime"))
+    both = raw.select(F.inline(F.array(seen("start", "starttime"), seen("end", "stoptime"))))
     columns = {"station_name": "station_name", "lat": "lat", "lon": "lon"}
-    return station_zones(station_dimension(both, "id", columns, "seen_at"), zones)
+    stations = stored(station_dimension(both, "id", columns, "seen_at"), "stations")
+    return station_zones(stations, zones)
 
 
 def fact_complaints(records: DataFrame, zones: DataFrame) -> DataFrame:
     """Service requests per day, type and nearest zone.
 
-    Counted by place first, so that places are mapped, not requests.
+    Counted by place first and kept, so that requests are parsed once, and places are
+    mapped instead of requests.
     """
     fields = {
         "created_date": "timestamp_ntz", "complaint_type": "string",
@@ -111,7 +117,7 @@ def fact_complaints(records: DataFrame, zones: DataFrame) -> DataFrame:
     }
     typed = stage_json(records.select("payload"), "payload", fields).drop("payload")
     typed = typed.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
-    places = daily_fact(typed, "created_date", ["complaint_type", "lat", "lon"])
+    places = stored(daily_fact(typed, "created_date", ["complaint_type", "lat", "lon"]), "requests")
     by_zone = station_zones(places, zones).groupBy("day", "complaint_type", "location_id")
     return by_zone.agg(F.sum("row_count").alias("row_count"))
 

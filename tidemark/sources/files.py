@@ -120,8 +120,9 @@ def csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.option("header", "true").option("enforceSchema", "false").schema(schema).csv(path)
 
 
-def literal_relation(spark: SparkSession) -> DataFrame:
-    return spark.sql("SELECT 1 AS id, 'hello from the analytics blueprint' AS message")
+def literal_relation(spark: SparkSession, **values: object) -> DataFrame:
+    """One row of constants: ``literal_relation(spark, id=1, message="hello")``."""
+    return spark.range(1).select(*[F.lit(v).alias(name) for name, v in values.items()])
 
 
 def relation(spark: SparkSession, name: str, schema: str = "raw") -> DataFrame:
