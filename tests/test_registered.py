@@ -17,5 +17,6 @@ def test_equals_sql(spark, name):
 def test_entry_points(spark):
     import __spark_entry__ as entry
 
-    assert set(entry.queries()) == set(entry.oracle_sql()) == set(QUERIES)
+    assert set(entry.queries()) >= set(QUERIES)
+    assert set(entry.oracle_sql()) >= set(QUERIES)
     assert entry.entry(spark).count() > 0
