@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import Query
-from tidemark.llm.common import documents
+from tidemark.llm.common import documents, table
+from tidemark.llm.decontaminate import contamination, hit_words
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
@@ -45,6 +46,53 @@ UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    n_hit = hit_words(F.col("hits"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join(items, ","), F.lit("")), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hash(text) AS h, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+),
+n AS (SELECT item_id, ws, least(len(ws), 10) AS n FROM b WHERE len(ws) > 0),
+w AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[p : p + n - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS p FROM n)
+),
+g AS (
+  SELECT doc_id, h, p, n, array_to_string(ws[p : p + n - 1], ' ') AS words
+  FROM (SELECT d.*, l.n, unnest(range(1, len(ws) - l.n + 2)) AS p FROM d, (SELECT DISTINCT n FROM w) l WHERE len(ws) >= l.n)
+),
+f AS (SELECT DISTINCT g.doc_id, g.h, g.p, g.n, w.item_id FROM g JOIN w USING (n, words)),
+i AS (
+  SELECT doc_id, h, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, h, item_id FROM f) GROUP BY doc_id, h
+),
+c AS (
+  SELECT doc_id, h, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, h, unnest(range(p, p + n)) AS q FROM f) GROUP BY doc_id, h
+)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN i ON d.doc_id IS NOT DISTINCT FROM i.doc_id AND d.h IS NOT DISTINCT FROM i.h
+LEFT JOIN c ON d.doc_id IS NOT DISTINCT FROM c.doc_id AND d.h IS NOT DISTINCT FROM c.h
+"""
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
@@ -65,6 +113,7 @@ FROM n WINDOW g AS (PARTITION BY text_sha256)
 QUERIES: dict[str, Query] = {
     "op3_token_counts": Query(op3_token_counts, None),
     "op5_line_dedup": Query(op5_line_dedup, LINE_DEDUP_SQL),
+    "op6_decontamination": Query(op6_decontamination, DECONTAMINATION_SQL),
     "op7_packing": Query(op7_packing, None),
     "op9_exact_dedup": Query(op9_exact_dedup, EXACT_DEDUP_SQL),
 }
