@@ -10,13 +10,19 @@ text only if all its rows have the same bytes.
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 from tidemark.session import exists, scratch_path, setting
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small stores: no disk is set aside for logs before it is needed.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _KEEPER = "no_id boolean, doc_id bigint, file string, row bigint"
 
 
@@ -57,7 +63,9 @@ def keep_state(spark: SparkSession, path: str, state: str, updates: str, files_p
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
 
-    with setting(spark, "spark.sql.streaming.stateStore.providerClass", _ROCKSDB):
+    with ExitStack() as conf:
+        for key, value in _STATE_CONF.items():
+            conf.enter_context(setting(spark, key, value))
         query = (
             entries.writeStream.outputMode("update")
             .option("checkpointLocation", state)
