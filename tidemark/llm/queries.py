@@ -10,10 +10,39 @@ from tidemark.llm.common import documents, table
 from tidemark.llm.decontaminate import contamination, hit_words
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import token_counts
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(documents(spark, sf_dir)).drop("text_hash")
+
+
+NGRAM_JOIN_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents
+),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 2), lambda p: array_to_string(ws[p : p + 3], ' ')) END)) AS e FROM d
+),
+u AS (SELECT e, min(doc_id) AS id, len(e) AS n FROM s WHERE len(e) > 0 GROUP BY e),
+x AS (SELECT id, n, unnest(e) AS t FROM u),
+p AS (
+  SELECT a.id AS a, b.id AS b FROM x a JOIN x b ON a.t = b.t AND a.id < b.id
+         AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p UNION ALL SELECT id, id FROM u),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS root FROM r GROUP BY a)
+SELECT s.doc_id, len(s.e) AS n_shingles, coalesce(c.root, s.doc_id) AS component_id
+FROM s LEFT JOIN u ON s.e = u.e LEFT JOIN c ON u.id = c.a
+"""
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
@@ -111,6 +140,7 @@ FROM n WINDOW g AS (PARTITION BY text_sha256)
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": Query(op1_ngram_join, NGRAM_JOIN_SQL),
     "op3_token_counts": Query(op3_token_counts, None),
     "op5_line_dedup": Query(op5_line_dedup, LINE_DEDUP_SQL),
     "op6_decontamination": Query(op6_decontamination, DECONTAMINATION_SQL),
