@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import stored
 
-__all__ = ["TOKENIZERS", "ascii_lower", "documents", "groups_of_texts", "stored", "table"]
+__all__ = [
+    "TOKENIZERS", "ascii_lower", "documents", "groups_of_texts", "place_counts", "slices", "stored", "summed", "table",
+]
 
 #: Folder of the public vocabulary files; every operator takes it as a parameter.
 TOKENIZERS = "/opt/tokenizers"
@@ -50,3 +53,60 @@ def groups_of_texts(batches: Iterator[pa.RecordBatch], chars: int = 2_000_000) -
             size += len(value)
     if texts:
         yield ids, texts
+
+
+# --- fixed-size counters over all rows ------------------------------------------------
+#
+# Each task counts into an array of its own and hands on slices of it. Tasks that have all
+# parts of a slice add them as they come, so no task and not the driver holds more than one array.
+
+SLICE = 4096
+
+
+def slices(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A counter array (a multiple of ``SLICE`` long) as (slice, counts), empty slices left out."""
+    parts = counts.astype("<i8").reshape(-1, SLICE)
+    for at in np.flatnonzero(parts.any(axis=1)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int(at)], pa.int32()), pa.array([parts[at].tobytes()], pa.binary())], names=["slice", "counts"]
+        )
+
+
+def place_counts(batches: Iterator[np.ndarray], size: int) -> np.ndarray:
+    """How often each place below ``size`` comes."""
+    counts = np.zeros(size, dtype=np.int64)
+    waiting: list[np.ndarray] = []
+    held = 0
+    for places in batches:
+        waiting.append(places)
+        held += len(places)
+        if held > 1_000_000:
+            counts += np.bincount(np.concatenate(waiting), minlength=size)
+            waiting, held = [], 0
+    if waiting:
+        counts += np.bincount(np.concatenate(waiting), minlength=size)
+    return counts
+
+
+def summed(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int, either: bool = False) -> np.ndarray:
+    """The sum (or bitwise or) of the arrays that ``count`` makes of the batches of each task."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from slices(count(batches))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = np.frombuffer(raw.as_py(), dtype="<i8")
+                sums[at] = part if at not in sums else sums[at] | part if either else sums[at] + part
+        for at, part in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([at], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "counts"]
+            )
+
+    schema = "slice int, counts binary"
+    out = np.zeros((size // SLICE, SLICE), dtype=np.int64)
+    for row in rows.mapInArrow(cut, schema).repartition("slice").mapInArrow(add, schema).collect():
+        out[row["slice"]] = np.frombuffer(row["counts"], dtype="<i8")
+    return out.ravel()

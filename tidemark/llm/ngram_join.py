@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import groups_of_texts, stored
+from tidemark.llm.common import groups_of_texts, place_counts, stored, summed
 
 WORDS = 4
 #: The threshold as a ratio of integers.
@@ -42,7 +42,6 @@ FILTER_BITS = 1 << 26
 BOUNDARIES = (0, 8, 12, 16, 24, 32, 48, 64, 96, 128)
 REMEMBERED = 500_000
 
-_SLICE = 4096
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,86 +87,31 @@ def _prefix(n: int) -> int:
     return max(n - -(-n * NEEDED // OF) + 2, 0)
 
 
-# --- fixed-size counters over all rows ------------------------------------------------
-
-
-def _slices(batches: Iterator, size: int) -> Iterator[pa.RecordBatch]:
-    """Counts of places below ``size`` as (slice, counts), slices without a count left out."""
-    counts = np.zeros(size, dtype=np.int64)
-    waiting: list[np.ndarray] = []
-    held = 0
-    for places in batches:
-        waiting.append(places)
-        held += len(places)
-        if held > 1_000_000:
-            counts += np.bincount(np.concatenate(waiting), minlength=size)
-            waiting, held = [], 0
-    if waiting:
-        counts += np.bincount(np.concatenate(waiting), minlength=size)
-    parts = counts.reshape(-1, _SLICE)
-    for at in np.flatnonzero(parts.any(axis=1)):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([int(at)], pa.int32()), pa.array([parts[at].astype("<i8").tobytes()], pa.binary())], names=["slice", "counts"]
-        )
-
-
-def _summed(sliced: DataFrame, size: int) -> np.ndarray:
-    """Sum the slices of all tasks; the driver receives ``size`` numbers."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for at, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(raw.as_py(), dtype="<i8")
-                sums[at] = sums[at] + part if at in sums else part
-        for at, part in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "counts"])
-
-    out = np.zeros((size // _SLICE, _SLICE), dtype=np.int64)
-    for row in sliced.repartition("slice").mapInArrow(add, "slice int, counts binary").collect():
-        out[row["slice"]] += np.frombuffer(row["counts"], dtype="<i8")
-    return out.ravel()
+# --- what all texts have in common -----------------------------------------------------
 
 
 def _sketch(texts: DataFrame, n: int) -> np.ndarray:
     """How many sets have an element in each counter, over all texts."""
     shift = np.uint64(64 - COUNTERS.bit_length() + 1)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = (
-            (shingles(text, n) >> shift).astype(np.int64) for _, group in groups_of_texts(batches) for text in group
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        return place_counts(
+            ((shingles(text, n) >> shift).astype(np.int64) for _, group in groups_of_texts(batches) for text in group), COUNTERS
         )
-        yield from _slices(places, COUNTERS)
 
-    return _summed(texts.select("key", "text").mapInArrow(count, "slice int, counts binary"), COUNTERS)
+    return summed(texts.select("key", "text"), count, COUNTERS)
 
 
 def _filter(keys: DataFrame) -> np.ndarray:
     """Bits of the keys, for picking rows by key without a shuffle; it may let others through."""
-    size = FILTER_BITS // 8
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         bits = np.zeros(FILTER_BITS, dtype=bool)
         for batch in batches:
             bits[batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64) & (FILTER_BITS - 1)] = True
-        packed = np.packbits(bits).reshape(-1, _SLICE)
-        for at in np.flatnonzero(packed.any(axis=1)):
-            yield pa.RecordBatch.from_arrays([pa.array([int(at)], pa.int32()), pa.array([packed[at].tobytes()], pa.binary())], names=["slice", "bits"])
+        return np.packbits(bits).view("<i8")
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for at, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(raw.as_py(), dtype=np.uint8)
-                sums[at] = sums[at] | part if at in sums else part
-        for at, part in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "bits"])
-
-    out = np.zeros((size // _SLICE, _SLICE), dtype=np.uint8)
-    schema = "slice int, bits binary"
-    for row in keys.mapInArrow(mark, schema).repartition("slice").mapInArrow(join, schema).collect():
-        out[row["slice"]] |= np.frombuffer(row["bits"], dtype=np.uint8)
-    return out.ravel()
+    return summed(keys, mark, FILTER_BITS // 64, either=True).view(np.uint8)
 
 
 # --- sets -----------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import Query
@@ -12,6 +12,8 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
+from tidemark.llm.secrets import KINDS as SECRET_KINDS
+from tidemark.llm.secrets import secret_spans
 from tidemark.llm.token_counts import token_counts
 
 
@@ -139,6 +141,28 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM n WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def _spelled(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of each span, comma-joined; the spans' kinds are indexes."""
+    names = F.array(*map(F.lit, kinds))
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(documents(spark, sf_dir))
+
+    def of_kind(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(of_kind(k).alias(f"n_{SECRET_KINDS[k]}") for k in range(3)),
+        F.sha2(_spelled(F.col("base"), SECRET_KINDS), 256).alias("base_sha256"),
+        _spelled(F.array_sort(F.concat("base", "added")), SECRET_KINDS).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": Query(op1_ngram_join, NGRAM_JOIN_SQL),
     "op3_token_counts": Query(op3_token_counts, None),
@@ -146,4 +170,5 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": Query(op6_decontamination, DECONTAMINATION_SQL),
     "op7_packing": Query(op7_packing, None),
     "op9_exact_dedup": Query(op9_exact_dedup, EXACT_DEDUP_SQL),
+    "op10_secrets": Query(op10_secrets, None),
 }
