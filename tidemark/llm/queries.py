@@ -9,6 +9,7 @@ from tidemark.catalog.base import Query
 from tidemark.llm.common import documents, table
 from tidemark.llm.decontaminate import contamination, hit_words
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.licenses import license_scan
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
@@ -128,6 +129,27 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(documents(spark, sf_dir))
+    base = F.transform("phrases", lambda p: p["label"])
+    added = F.transform("matches", lambda m: m["label"])
+    best = F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0))
+
+    def spelled(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min("phrases")["place"].alias("first_word"),
+        F.array_max("phrases")["place"].alias("last_word"),
+        spelled(base).alias("base_labels"),
+        spelled(F.concat(base, added)).alias("labels"),
+        F.when(F.size("phrases") > 0, F.lit(1.0)).otherwise(best).alias("score"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
@@ -171,4 +193,5 @@ QUERIES: dict[str, Query] = {
     "op7_packing": Query(op7_packing, None),
     "op9_exact_dedup": Query(op9_exact_dedup, EXACT_DEDUP_SQL),
     "op10_secrets": Query(op10_secrets, None),
+    "op8_licenses": Query(op8_licenses, None),
 }
