@@ -13,6 +13,7 @@ from tidemark.llm.licenses import license_scan
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.secrets import KINDS as SECRET_KINDS
 from tidemark.llm.secrets import secret_spans
 from tidemark.llm.token_counts import token_counts
@@ -50,6 +51,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir)).select(
         F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", "text"
@@ -194,4 +199,5 @@ QUERIES: dict[str, Query] = {
     "op9_exact_dedup": Query(op9_exact_dedup, EXACT_DEDUP_SQL),
     "op10_secrets": Query(op10_secrets, None),
     "op8_licenses": Query(op8_licenses, None),
+    "op4_quality": Query(op4_quality, None),
 }
