@@ -13,6 +13,8 @@ from tidemark.llm.licenses import license_scan
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
+from tidemark.llm.pii import KINDS as PII_KINDS
+from tidemark.llm.pii import personal_data
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.secrets import KINDS as SECRET_KINDS
 from tidemark.llm.secrets import secret_spans
@@ -190,6 +192,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(documents(spark, sf_dir))
+
+    def of_kind(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(of_kind(k).alias(f"n_{PII_KINDS[k]}") for k in range(4)),
+        F.sha2(_spelled(F.col("base"), PII_KINDS), 256).alias("base_sha256"),
+        _spelled(F.concat("base", "added"), PII_KINDS).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": Query(op1_ngram_join, NGRAM_JOIN_SQL),
     "op3_token_counts": Query(op3_token_counts, None),
@@ -200,4 +216,5 @@ QUERIES: dict[str, Query] = {
     "op10_secrets": Query(op10_secrets, None),
     "op8_licenses": Query(op8_licenses, None),
     "op4_quality": Query(op4_quality, None),
+    "op2_pii": Query(op2_pii, None),
 }
