@@ -1,13 +1,25 @@
-"""From raw documents to packed sequences, in stages over one documents table."""
+"""From raw documents to packed sequences, in stages over one documents table.
+
+Each stage gets what the stage before it kept. All but the last return the columns of
+``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, stored
+from tidemark.llm.common import documents, stored, table
+from tidemark.llm.decontaminate import uncontaminated
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.ngram_join import one_of_each
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import accepted
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    return accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,12 +29,30 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*columns, "text", F.length("text").cast("long").alias("n_chars")).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, placed in sequences."""
     return pack(docs)
 
 
-STAGES = [("line_dedup", line_dedup), ("packing", packing)]
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
+# A learned classifier and a tokeniser cannot be expressed in SQL.
 ORACLE_SQL = None
 
 

@@ -155,3 +155,12 @@ def hit_words(hits: Column) -> Column:
 
     empty = F.struct(F.lit(0).alias("n"), F.lit(0).alias("to"))
     return F.coalesce(F.aggregate(hits, empty, add, lambda s: s["n"]), F.lit(0)).cast("long")
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of an item."""
+    found = contamination(docs, benchmark).where(F.col("hits").isNotNull())
+    bad = stored(found.select(F.col("doc_id").alias("_key"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
+    rows = docs.select(F.struct("*").alias("row"))
+    same = rows["row.doc_id"].cast("long").eqNullSafe(bad["_key"]) & (F.xxhash64(rows["row.text"]) == bad["_hash"])
+    return rows.join(bad, same, "left_anti").select("row.*")

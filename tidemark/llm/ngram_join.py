@@ -26,7 +26,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import groups_of_texts, place_counts, stored, summed
@@ -288,7 +288,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, text_hash), one row for each row of ``docs``.
+    """(doc_id, n_shingles, component_id, text_hash, kept), one row for each row of ``docs``.
 
     A document's set has the distinct ``n``-word shingles of its lower-cased (A-Z) words,
     which ASCII white space parts; fewer words are one shingle. Two documents link when
@@ -296,7 +296,7 @@ def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
     links reach. Null and empty texts, and texts of white space, have the empty set, which
     links with nothing, so their component is their own id. Copies and repeated rows share
     a set. A null doc_id is never the smallest; a component of null ids has a null id.
-    Other columns are ignored.
+    Other columns are ignored. ``text_hash`` is of id and text; ``kept`` marks one of each component.
 
     Sets are told apart by 64 bits and their size, elements by 64 bits.
     """
@@ -349,10 +349,33 @@ def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
     placed = ids.join(of_set, "sid", "left").select(
         "doc_id", "n", "key", F.coalesce("root", "sid").alias("root"), F.when(F.col("root").isNull(), F.col("n")).otherwise(0).alias("alone")
     )
-    smallest = placed.groupBy("root", "alone").agg(F.min("doc_id").alias("component_id"))
+    keeper = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    smallest = placed.groupBy("root", "alone").agg(F.min("doc_id").alias("component_id"), F.min(keeper).alias("keeper"))
+    empty = F.col("n") == 0
     return placed.join(smallest, ["root", "alone"]).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.col("key").alias("text_hash"),
+        (empty | (F.col("key") == F.col("keeper.key"))).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, n: int = WORDS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay when each component keeps one.
+
+    It keeps the row with the smallest id (nulls last; of one id, the smallest hash of id
+    and text). Of rows that repeat id and text one stays. Texts without words all stay.
+    """
+    found = stored(ngram_join(docs, n), "components")
+    gone = found.where(~F.col("kept")).select(F.col("text_hash").alias("_gone")).distinct()
+    key = F.xxhash64(F.col("row.doc_id").cast("long"), F.col("row.text"))
+    left = docs.select(F.struct("*").alias("row")).withColumn("_key", key)
+    left = left.join(gone, left["_key"] == gone["_gone"], "left_anti")
+    again = stored(found.where("kept AND n_shingles > 0").groupBy("text_hash").count().where("count > 1"), "repeated")
+    if again.isEmpty():
+        return left.select("row.*")
+    again = again.select(F.col("text_hash").alias("_key"))
+    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
+    repeated = left.join(again, "_key", "left_semi").withColumn("_first", first).where("_first = 1")
+    return left.join(again, "_key", "left_anti").select("row.*").unionByName(repeated.select("row.*"))

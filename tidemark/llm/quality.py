@@ -9,18 +9,17 @@ compiled into one Spark column expression, so that scoring is a projection.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import groups_of_texts, stored
+from tidemark.llm.common import stored
 
 #: Most labelled documents that a model is fitted on; those with the smallest hash of their id are taken.
 MOST_LABELLED = 20_000
@@ -90,16 +89,18 @@ def statistics_of(text: str) -> tuple[float, ...]:
     )
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, *STATISTICS), one row for each row of ``docs``; a null text counts as empty."""
+def measured(text: Column) -> Column:
+    """The statistics of each text, as a struct; a null text counts as empty."""
+
+    def measure(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([statistics_of(t or "") for t in texts], columns=STATISTICS, dtype="float64")
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in groups_of_texts(batches):
-            columns = np.array([statistics_of(t) for t in texts], dtype=np.float64).T
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, columns)], names=["doc_id", *STATISTICS])
+    return F.pandas_udf(measure, ", ".join(f"{s} double" for s in STATISTICS))(text)
 
-    schema = "doc_id long, " + ", ".join(f"{s} double" for s in STATISTICS)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(measure, schema)
+
+def statistics(docs: DataFrame) -> DataFrame:
+    """(doc_id, *STATISTICS), one row for each row of ``docs``."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), measured(F.col("text")).alias("s")).select("doc_id", "s.*")
 
 
 class Test(NamedTuple):
@@ -109,8 +110,8 @@ class Test(NamedTuple):
     at_most: bool
     bound: float
 
-    def column(self) -> Column:
-        value = F.col(self.statistic)
+    def column(self, of: str = "") -> Column:
+        value = F.col(of + self.statistic)
         return value <= self.bound if self.at_most else value > self.bound
 
 
@@ -131,20 +132,20 @@ def tree_rules(described: str) -> list[Rule]:
 
 
 class Model(NamedTuple):
-    """Weighted rules; ``score`` is the column that they compile to."""
+    """Weighted rules; ``score`` is the column that they compile to, over statistics named ``of``*."""
 
     intercept: float
     weights: tuple[tuple[Rule, float], ...]
 
-    def score(self) -> Column:
+    def score(self, of: str = "") -> Column:
         total = F.lit(float(self.intercept))
         for rule, weight in self.weights:
-            total += F.when(_holds(rule), F.lit(float(weight))).otherwise(F.lit(0.0))
+            total += F.when(_holds(rule, of), F.lit(float(weight))).otherwise(F.lit(0.0))
         return 1 / (1 + F.exp(-total))
 
 
-def _holds(rule: Rule) -> Column:
-    return reduce(lambda a, b: a & b, (test.column() for test in rule))
+def _holds(rule: Rule, of: str = "") -> Column:
+    return reduce(lambda a, b: a & b, (test.column(of) for test in rule))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -152,7 +153,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % PARTS == HELD_OUT_PART, F.lit(False))
 
 
-def labelled(measured: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
+def labelled(rows: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
     """Statistics and ``label`` of at most ``most`` labelled documents outside the test part.
 
     A document with several labels has the one that most of them say, 1 if they balance.
@@ -164,7 +165,7 @@ def labelled(measured: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    return measured.join(known, "doc_id")
+    return rows.join(known, "doc_id")
 
 
 def fit(rows: DataFrame) -> Model:
@@ -202,7 +203,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
     learned; a null id is not held out. Without labels of both kinds every score is the
     same. Repeated rows are scored alike; other columns are ignored.
     """
-    measured = stored(statistics(docs), "statistics")
-    model = fit(labelled(measured, labels, most))
-    scored = measured.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
+    rows = stored(statistics(docs), "statistics")
+    model = fit(labelled(rows, labels, most))
+    scored = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= ACCEPTED).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches 0.7.
+
+    Texts of labelled documents are measured for the model; all rows are then scored where
+    they are, without a shuffle.
+    """
+    wanted = labels.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("_id"))
+    known = docs.join(wanted, docs["doc_id"].cast("long") == F.col("_id"), "left_semi")
+    model = fit(labelled(stored(statistics(known), "statistics"), labels, most))
+    rows = docs.select(F.struct("*").alias("row"), measured(docs["text"]).alias("stats"))
+    return rows.where(model.score("stats.") >= ACCEPTED).select("row.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from tidemark.llm.token_counts import token_counts
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(documents(spark, sf_dir)).drop("text_hash")
+    return ngram_join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 NGRAM_JOIN_SQL = r"""
@@ -217,4 +218,5 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": Query(op8_licenses, None),
     "op4_quality": Query(op4_quality, None),
     "op2_pii": Query(op2_pii, None),
+    "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
