@@ -1,0 +1,106 @@
+"""Token counts and packing against the tokenizer library."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tidemark.llm.common import TOKENIZERS
+from tidemark.llm.packing import END_ID, Encoder, pack, padding, places, shortest_pack_first
+from tidemark.llm.token_counts import Counter as TokenCounter
+from tidemark.llm.token_counts import token_counts
+
+BYTES, WORDS = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/word_bpe_49k.json"
+LETTERS = "ab c'sltd \n\t\x1c\x85\xa0 éüñ0123456789%$-_<|>ΑΩΣשא日😀́²İ"
+SPECIALS = ["", " ", "a" * 3000, "aaaaabaaaab", "<|endoftext|>", "a<|endoftext|> b<|endoftext|><|endo", "<|startoftext|>x"]
+
+
+def texts():
+    rng = random.Random(1)
+    return SPECIALS + ["".join(rng.choices(LETTERS, k=rng.randint(1, 60))) for _ in range(500)]
+
+
+def library(path, values):
+    return [e.ids for e in Tokenizer.from_file(path).encode_batch(values, add_special_tokens=False)]
+
+
+def test_counts_equal_the_library():
+    assert TokenCounter(BYTES).counts(texts()) == [len(i) for i in library(BYTES, texts())]
+
+
+def test_ids_equal_the_library():
+    assert Encoder(WORDS).encode(texts()) == [np.array(i, dtype="<u4").tobytes() for i in library(WORDS, texts())]
+
+
+def test_token_counts_of_odd_rows(clashing, odd):
+    got = sorted(tuple(r) for r in token_counts(clashing(odd)).collect() if r.doc_id is not None)
+    values = [(i, t or "") for i, t in odd if i is not None]
+    counts = map(len, library(BYTES, [t for _, t in values]))
+    want = sorted((i, len(t.encode()), n, n > 1024) for (i, t), n in zip(values, counts, strict=True))
+    assert got == want
+    assert token_counts(clashing(odd)).count() == len(odd)
+
+
+def test_token_limit_is_exclusive(docs):
+    rows = token_counts(docs([(1, "a " * 3)]), limit=3).collect() + token_counts(docs([(1, "a " * 4)]), limit=3).collect()
+    assert [r.over_limit for r in rows] == [r.n_tokens > 3 for r in rows]
+
+
+def test_no_documents(docs):
+    assert token_counts(docs([])).count() == 0
+    assert pack(docs([])).count() == 0
+
+
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 500), max_size=40))
+def test_patterns_hold_the_histogram(histogram):
+    patterns = shortest_pack_first(histogram, 64)
+    held = Counter()
+    for count, slots in patterns:
+        assert sum(length * times for length, times in slots) <= 64
+        for length, times in slots:
+            held[length] += times * count
+    assert held == Counter(histogram)
+    taken = places(patterns, 64)
+    assert len(taken["key"]) == len(set(taken["key"].tolist()))
+
+
+def test_equal_lengths_share_packs():
+    assert sum(p.count for p in shortest_pack_first({1: 10**9}, 4096)) == -(-(10**9) // 4096)
+
+
+def test_lengths_over_the_capacity_are_refused():
+    with pytest.raises(ValueError, match="not between"):
+        shortest_pack_first({65: 1}, 64)
+
+
+def test_packing_is_a_round_trip(clashing, odd):
+    rng = random.Random(2)
+    rows = odd + [(100 + i, " ".join(rng.choices(["the", "cat", "sat", "on", "mats"], k=rng.randint(0, 90)))) for i in range(300)]
+    packed = pack(clashing(rows), capacity=64, with_ids=True).cache()
+    want = Counter()
+    for (doc_id, _), ids in zip(rows, library(WORDS, [t or "" for _, t in rows]), strict=True):
+        want[doc_id, tuple(ids + [END_ID])] += 1
+    got, sequences = defaultdict(list), defaultdict(list)
+    for r in packed.collect():
+        raw = np.array(r.ids, dtype="<u4").tobytes()
+        assert r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(raw)
+        got[r.doc_id, r.doc_tokens].append((r.start, tuple(r.ids)))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert sum(n for _, n in (x for s in sequences.values() for x in s)) == sum(len(k[1]) * n for k, n in want.items())
+    for (doc_id, ids), n in want.items():
+        if n == 1 and sum(k[0] == doc_id and len(k[1]) == len(ids) for k in want) == 1:
+            parts = sorted(got[doc_id, len(ids)])
+            assert sum((p for _, p in parts), ()) == ids
+            assert [s for s, _ in parts] == list(range(0, len(ids), 64))
+    for parts in sequences.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 64
+    assert packed.agg(padding(packed, 64)).collect()[0][0] < 0.05

@@ -260,6 +260,14 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, ["a", "a_n"]).join(right, ["b", "b_n"]).where(reached).select("a", "b")
 
 
+def _decided(pairs: DataFrame, sets: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """The links among candidate pairs. The texts of their sets are read once more, others are not."""
+    ids = pairs.select(F.col("a").alias("sid"), F.col("a_n").alias("n")).unionByName(pairs.select(F.col("b").alias("sid"), F.col("b_n").alias("n")))
+    keys = sets.groupBy("sid", "n").agg(F.min("key").alias("key")).join(ids.distinct(), ["sid", "n"], "left_semi").select("key")
+    elements = stored(_elements(pairs.sparkSession, texts, _filter(keys), n), "elements")
+    return stored(_links(pairs, elements), "links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, for the nodes that have links.
 
@@ -306,27 +314,19 @@ def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
     boundary = _boundary(sets)
     entries = _entries(sets, boundary)
 
-    # Lists that more than one set is in; the member in which the element lies earliest stands for the list.
-    rank = F.shiftleft((F.col("pos") + 1).cast("long"), 40).bitwiseOR(F.shiftrightunsigned("sid", 24))
+    # Lists that more than one set is in. The member in which the element lies earliest stands for the list.
     lists = (
-        entries.groupBy("list")
-        .agg(
-            F.min("sid").alias("low"), F.max("sid").alias("high"),
-            F.min_by("sid", rank).alias("c_sid"), F.min_by("n", rank).alias("c_n"), F.min("pos").alias("c_pos"),
-        )
-        .where("low <> high")
-        .drop("low", "high")
+        entries.groupBy("list").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low <> high").select("list")
     )
     met = stored(entries.join(lists, "list").distinct(), "entries")
+    rank = F.shiftleft((F.col("pos") + 1).cast("long"), 40).bitwiseOR(F.shiftrightunsigned("sid", 24))
+    centers = met.groupBy("list").agg(
+        F.min_by("sid", rank).alias("c_sid"), F.min_by("n", rank).alias("c_n"), F.min("pos").alias("c_pos")
+    )
     possible, columns = _pair("", "c_", boundary)
-    stars = stored(met.where((F.col("sid") != F.col("c_sid")) & possible).select(*columns).distinct(), "stars")
-
-    # The texts of all sets in these lists are read once more; other sets have no candidates.
-    candidates = met.select("sid", "n").distinct()
-    keys = sets.groupBy("sid", "n").agg(F.min("key").alias("key")).join(candidates, ["sid", "n"], "left_semi").select("key")
-    whole = stored(_elements(spark, texts, _filter(keys), n), "elements")
-
-    first = stored(_links(stars, whole), "links")
+    stars = met.join(centers, "list").where((F.col("sid") != F.col("c_sid")) & possible).select(*columns).distinct()
+    stars = stored(stars, "stars")
+    first = _decided(stars, sets, texts, n)
     roots = components(first)
 
     # Lists whose members do not hang together yet.
@@ -339,7 +339,8 @@ def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
     possible, columns = _pair("l_", "r_", boundary)
     once = (F.col("l_root") < F.col("r_root")) & (F.col("l_sid") != F.col("r_sid"))
     tried = left.join(right, (left["list"] == right["list"]) & once & possible).select(*columns).distinct()
-    more = stored(_links(tried.join(stars, ["a", "a_n", "b", "b_n"], "left_anti"), whole), "links")
+    tried = stored(tried.join(stars, ["a", "a_n", "b", "b_n"], "left_anti"), "tried")
+    more = _decided(tried, sets, texts, n)
     if not more.isEmpty():
         roots = components(first.unionByName(more))
 

@@ -110,7 +110,8 @@ def log_ratios(random: np.ndarray, ordinary: np.ndarray, prior: float = PRIOR) -
     """Log-likelihood ratio of each character pair.
 
     Random strings are taken as even draws until samples say otherwise: the prior is worth
-    as much as the sample, so that alphabets no sample showed are not ruled out.
+    as much as the sample, so that alphabets no sample showed are not ruled out. Ordinary
+    strings are taken to follow the frequencies of single characters until then.
     """
 
     def shares(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -118,7 +119,8 @@ def log_ratios(random: np.ndarray, ordinary: np.ndarray, prior: float = PRIOR) -
 
     seen = random.sum(axis=1, keepdims=True)
     even = np.maximum(seen / CLASSES, prior) * np.ones_like(random, dtype=float)
-    return np.log(shares(random, even)) - np.log(shares(ordinary, np.full(ordinary.shape, prior)))
+    single = (ordinary.sum(axis=0) + 1) / (ordinary.sum() + CLASSES)
+    return np.log(shares(random, even)) - np.log(shares(ordinary, prior * CLASSES * single * np.ones_like(ordinary, dtype=float)))
 
 
 def _runs(classes: np.ndarray) -> list[tuple[int, int]]:
