@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.session import stored
 
 __all__ = [
-    "TOKENIZERS", "ascii_lower", "documents", "groups_of_texts", "place_counts", "slices", "stored", "summed", "table",
+    "TOKENIZERS", "ascii_lower", "byte_letters", "documents", "groups_of_texts", "place_counts", "slices", "stored", "summed", "table",
 ]
 
 #: Folder of the public vocabulary files; every operator takes it as a parameter.
@@ -34,6 +34,18 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _UPPER.lower())
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: printable Latin-1 bytes for themselves, the rest from U+0100 on."""
+    letters, spare = [], 256
+    for byte in range(256):
+        if 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174:
+            letters.append(chr(byte))
+        else:
+            letters.append(chr(spare))
+            spare += 1
+    return letters
+
+
 def groups_of_texts(batches: Iterator[pa.RecordBatch], chars: int = 2_000_000) -> Iterator[tuple[list, list[str]]]:
     """Ids and texts of Arrow batches (doc_id, text) in groups of about ``chars`` characters.
 

@@ -10,9 +10,12 @@
 
 from __future__ import annotations
 
+import gc
 import heapq
 import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
@@ -22,10 +25,11 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TOKENIZERS, groups_of_texts, stored
+from tidemark.llm.common import TOKENIZERS, byte_letters, groups_of_texts, stored
 
 CAPACITY = 4096
 END_ID = 2
@@ -36,17 +40,22 @@ REMEMBERED = 1_000_000
 REMEMBERED_CHARS = 64
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-#: White space of ASCII, at which the vocabulary's pre-tokens always end.
-_BREAKS = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
+# Separators that Python takes for white space and the vocabulary does not.
+_NOT_SPACE = re.compile("[\x1c-\x1f]")
+_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+# Fixed value: the vocabulary's pre-tokens, in lower case.
+_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Below it, letters are composed and have one lower case, so that no normaliser changes more.
+_PLAIN = "\u0130"
 
 
 class Encoder:
     """Ids of texts as bytes (little-endian, 32 bits each).
 
-    The vocabulary drops white space before it merges, so a text is encoded chunk by chunk;
-    the library encodes each new chunk once, many in one call, parted by a special token
-    that it takes out before anything else. Texts that may spell a special token go to the
-    library whole.
+    The vocabulary drops white space before it merges, and no merge crosses a pre-token. So a
+    text is encoded chunk by chunk, a new chunk pre-token by pre-token, and the library
+    merges each new pre-token once. Chunks with letters that need normalising go to the
+    library whole, and so do texts that may spell a special token.
     """
 
     def __init__(self, path: str):
@@ -54,39 +63,62 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.part_id, part = next(iter(self.tokenizer.get_added_tokens_decoder().items()))
-        self.part = part.content
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
 
-    def library(self, text: str) -> np.ndarray:
+    def library(self, text: str) -> bytes:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, dtype="<u4")
-
-    def chunks(self, chunks: list[str]) -> list[bytes]:
-        ids = self.library(self.part.join(chunks))
-        ends = np.append(np.flatnonzero(ids == self.part_id), len(ids))
-        raw, starts = ids.tobytes(), np.append(0, ends[:-1] + 1)
-        return [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
+        return array("I", found.ids).tobytes()
+
+    def merged(self, word: str) -> bytes:
+        """Ids of one pre-token in lower case."""
+        spelled = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def learn(self, chunks: set[str]) -> None:
+        words, known = self.words, self.known
+        for chunk in chunks:
+            if max(chunk) < _PLAIN:
+                found = []
+                for word in _PRETOKEN.findall(chunk.lower()):
+                    ids = words.get(word)
+                    if ids is None:
+                        ids = words[word] = self.merged(word)
+                    found.append(ids)
+                known[chunk] = b"".join(found)
+            else:
+                known[chunk] = self.library(chunk)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [[] if "<|" in t else t.translate(_BREAKS).split(" ") for t in texts]
+        """Ids of each text. No cycles arise here, so the collector need not look for any meanwhile."""
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = [[] if "<|" in t else _SPACE.split(t.strip(" \t\n\r\f\v")) if _NOT_SPACE.search(t) else t.split() for t in texts]
         fresh: set[str] = set()
         for chunks in split:
             fresh.update(chunks)
+        fresh.discard("")
         fresh.difference_update(self.known)
-        waiting = list(fresh)
-        for at in range(0, len(waiting), 100):
-            part = waiting[at : at + 100]
-            self.known.update(zip(part, self.chunks(part), strict=True))
+        self.learn(fresh)
+        self.known[""] = b""
         out = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
         for at, text in enumerate(texts):
             if "<|" in text:
-                out[at] = self.library(text).tobytes()
+                out[at] = self.library(text)
         for chunk in fresh:
             if len(chunk) > REMEMBERED_CHARS:
                 del self.known[chunk]
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
+            self.known.clear()
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
         return out
 
 

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import TOKENIZERS, groups_of_texts
+from tidemark.llm.common import TOKENIZERS, byte_letters, groups_of_texts
 
 TOKEN_LIMIT = 1024
 #: Pre-tokens whose counts a worker remembers; the memory is emptied beyond that.
@@ -42,18 +42,6 @@ _PRETOKEN = (
 _SETTLED = regex.compile(r"[\x00-ɏ‐-‧‰-⁞]*")
 
 
-def _byte_letters() -> list[str]:
-    """The letter that stands for each byte: printable Latin-1 bytes for themselves, the rest from U+0100 on."""
-    letters, spare = [], 256
-    for byte in range(256):
-        if 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174:
-            letters.append(chr(byte))
-        else:
-            letters.append(chr(spare))
-            spare += 1
-    return letters
-
-
 class Merges:
     """The merge table of a vocabulary file as sorted arrays, and the counting over them."""
 
@@ -62,7 +50,7 @@ class Merges:
             spec = json.load(file)
         vocab, pairs = spec["model"]["vocab"], spec["model"]["merges"]
         self.size = max(vocab.values()) + 1
-        letters = _byte_letters()
+        letters = byte_letters()
         self.byte_of = {letter: byte for byte, letter in enumerate(letters)}
         self.symbols = np.array([vocab[letter] for letter in letters], dtype=np.int64)
         left = np.array([vocab[a] for a, _ in pairs], dtype=np.int64)
