@@ -60,6 +60,10 @@ def test_path_and_size(spark):
         ('{"a": "1.0"}', '{"a": 1.0}', False),
         ('{"a": "1e2 1.0,"}', '{"a": "1e2 1,"}', False),
         ('{"a": null}', "{}", False),
+        ('{"a": 1e8}', '{"a": 100000000}', True),
+        ('{"a": [1.5e9, "1.5e9"]}', '{"a": [1500000000, "1.5e9"]}', True),
+        ('{"a": 12.5e-1}', '{"a": 1.25}', True),
+        ('{"a": -2e10}', '{"a": 2e10}', False),
         ("no json", "no json", True),
         ("no json", "no  json", False),
         ('{"a": {"y": 1, "x": [1.0]}}', '{"a":{"x":[1],"y":1}}', True),
@@ -78,6 +82,8 @@ def test_keys(spark):
     assert [r[0] for r in df.select(composite_key("a", "b", "c")).collect()] == ["x|1", "x|1"]
     keys = [r[0] for r in df.select(surrogate_key("a", "b", "c")).collect()]
     assert len(set(keys)) == 2
+    near = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("", None), (None, ""), ("-", "")], "a string, b string")
+    assert near.select(surrogate_key("a", "b")).distinct().count() == 5
 
 
 def test_iso_text(spark):

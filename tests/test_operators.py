@@ -266,10 +266,18 @@ def test_date_dimension_of_an_empty_range(spark):
 
 def test_daily_fact_amounts_are_exact(spark):
     df = spark.createDataFrame([("2024-01-01 10:00:00", 0.1), ("2024-01-01 11:00:00", 0.2)], "t string, v double")
-    row = marts.daily_fact(df.withColumn("t", F.col("t").cast("timestamp_ntz")), "t", (), {"v": F.col("v")}).head()
+    row = marts.daily_fact(df.withColumn("t", F.col("t").cast("timestamp_ntz")), "t", (), {"v": marts.money(F.col("v"))}).head()
     assert str(row["v_sum"]) == "0.30" and row["row_count"] == 2
 
 
+def test_readings_finer_than_a_cent_stay(spark):
+    df = spark.sql(
+        "SELECT timestamp_ntz'2024-01-01 10:00:00' AS t, v FROM VALUES (0.004D), (0.002D) AS d(v)"
+    )
+    row = marts.daily_fact(df, "t", (), {"v": marts.exact(F.col("v"))}).head()
+    assert [float(row[f"v_{k}"]) for k in ("sum", "avg", "min", "max")] == [0.006, 0.003, 0.002, 0.004]
+
+
 @pytest.mark.parametrize("most", [100, 7])
 def test_documents_keep_every_child(spark, most):
     data = [("hot" if i % 3 == 0 else f"k{i % 5}", i, None if i % 4 == 0 else f"v{i}") for i in range(120)]

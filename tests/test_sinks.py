@@ -1,4 +1,5 @@
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,31 @@ def test_layers_are_created_once(spark):
     tables.ensure_layers(spark)
     tables.ensure_layers(spark)
     assert {d.name for d in spark.catalog.listDatabases()} >= set(contracts.LAYERS)
+
+
+def test_months_of_a_load_that_died_are_put_in_place(spark, monkeypatch):
+    name = f"{scratch_database(spark, 'died')}.t"
+    first = spark.sql("SELECT 1 AS k, timestamp_ntz'2020-01-01 00:00:00' AS t, 'a' AS v")
+    second = spark.sql("SELECT 2 AS k, timestamp_ntz'2020-01-02 00:00:00' AS t, 'b' AS v")
+    third = spark.sql("SELECT 3 AS k, timestamp_ntz'2020-02-02 00:00:00' AS t, 'c' AS v")
+    tables.upsert(first, name, ("k", "t"), "t", 1)
+    place = tables.finish_upsert
+
+    def dies(spark, table):
+        if place(spark, table):
+            raise AssertionError("nothing was pending yet")
+        monkeypatch.setattr(tables, "finish_upsert", lies_down)
+
+    def lies_down(spark, table):
+        # The old files of the month are gone, the new ones are not there.
+        month = [f for f in spark.table(table).inputFiles() if "202001" in f]
+        for file in month:
+            Path(file.removeprefix("file://")).unlink()
+        raise RuntimeError("the driver is gone")
+
+    monkeypatch.setattr(tables, "finish_upsert", dies)
+    with pytest.raises(RuntimeError):
+        tables.upsert(second, name, ("k", "t"), "t", 2)
+    monkeypatch.setattr(tables, "finish_upsert", place)
+    loaded = tables.upsert(third, name, ("k", "t"), "t", 3)
+    assert sorted(r["v"] for r in loaded.collect()) == ["a", "b", "c"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark import contracts
 from tidemark.operators.checks import DataCheckError
 from tidemark.sources import archives, files, listing, paged_json
+from tidemark.sources.paths import portable
 from tidemark.streaming.slices import date_slices, slice_list
 
 
@@ -116,7 +117,10 @@ def test_capped_listing(spark, tmp_path):
 def test_names_looked_at_per_prefix(spark, tmp_path):
     _touch(tmp_path, *[f"p/{i:03d}.txt" for i in range(101)], "p/200.parquet", "p/201.parquet")
     found = listing.list_files(spark, f"file://{tmp_path}")
-    assert [r["name"] for r in listing.capped_listing(found, ["p/"], 5).collect()] == ["p/200.parquet"]
+    names = lambda **k: [r["name"] for r in listing.capped_listing(found, ["p/"], **k).collect()]
+    assert names(limit=5, looked_at=102) == ["p/200.parquet"]
+    assert names() == ["p/200.parquet", "p/201.parquet"], "no cap unless one is asked for"
+    assert listing.list_prefixes(spark, f"file://{tmp_path}", ["none/"]).count() == 0
 
 
 @pytest.mark.parametrize(
@@ -136,7 +140,7 @@ def test_month_list_needs_both_ends(spark):
     with pytest.raises(ValueError):
         listing.month_list(spark, start="2020-01")
     assert listing.month_list(spark, months=1).count() == 1
-    assert listing.month_list(spark, months=9).count() == 2
+    assert [r[0] for r in listing.month_list(spark, months=14).collect()][-2:] == ["202001", "202002"]
 
 
 def test_high_volume_files_roll_over(spark):
@@ -183,7 +187,8 @@ def test_archives(spark, bike_zips, monkeypatch):
     read = archives.bike_archive_rows(listing.list_files(spark, str(bike_zips), "*.zip")).cache()
     got = archives.accepted(read).collect()
     old = [r for r in got if r["_layout"] == "old"]
-    assert [r["tripduration"] for r in old] == ["v0"] and old[0]["gender"] == "v14"
+    old.sort(key=lambda r: r["tripduration"], reverse=True)
+    assert [r["tripduration"] for r in old] == ["v0", "no"] and old[0]["gender"] == "v14", "of both members"
     new = sorted((r["bikeid"], r["starttime"], r["end station latitude"], r["gender"]) for r in got if r["_layout"] == "new")
     assert new == [("r1", "2021, x", None, None), ("r2", "2021", None, None), ("r3", "2022", "4", None)]
     reasons = {r["_archive"].rsplit("/", 1)[1]: r["reason"] for r in archives.rejects(read).collect()}
@@ -236,3 +241,45 @@ def test_only_existing_prefix_folders_are_listed(spark, tmp_path):
     names = lambda *p: sorted(r["name"] for r in listing.list_prefixes(spark, f"file://{tmp_path}", p).collect())
     assert names("y/m=1/", "y/m=9/") == ["y/m=1/a.parquet"]
     assert names("y/m") == ["y/m=1/a.parquet", "y/m=2/a.parquet", "z/a.parquet"]
+
+
+def test_all_members_are_read_and_damage_is_told(spark, tmp_path):
+    import zipfile
+
+    header = ",".join(f'"{c}"' for c in contracts.BIKE_OLD_COLUMNS)
+    row = ",".join(f"v{i}" for i in range(len(contracts.BIKE_OLD_COLUMNS)))
+    with zipfile.ZipFile(tmp_path / "two.zip", "w") as made:
+        made.writestr("a.csv", f"{header}\n{row}\n")
+        made.writestr("b.csv", f"{header}\n{row}\n{row}\n")
+        made.writestr("c.csv", f"{header}\n{row},damaged here\n")
+    raw = (tmp_path / "two.zip").read_bytes()
+    (tmp_path / "two.zip").write_bytes(raw.replace(b"damaged here", b"damaged HERE"))
+    read = archives.bike_archive_rows(listing.list_files(spark, str(tmp_path), "*.zip"))
+    assert sorted(r["_member"] for r in archives.accepted(read).collect()) == ["a.csv", "b.csv", "b.csv"]
+    assert [(r["_member"], r["reason"]) for r in archives.rejects(read).collect()] == [("c.csv", "damaged")]
+
+
+@pytest.mark.parametrize(
+    ("uri", "name"),
+    [
+        ("s3a://b/x.zip", "s3://b/x.zip"),
+        ("s3n://b/x.zip", "s3://b/x.zip"),
+        ("wasbs://c@a.blob.core.windows.net/x", "abfss://c@a.dfs.core.windows.net/x"),
+        ("abfss://c@a.dfs.core.windows.net/x", "abfss://c@a.dfs.core.windows.net/x"),
+        ("dbfs:/x/y", "/dbfs/x/y"),
+        ("hdfs://n:8020/x", "hdfs://n:8020/x"),
+        ("file:/x/y", "/x/y"),
+        ("file:///x/y", "/x/y"),
+        ("/x/y:z", "/x/y:z"),
+    ],
+)
+def test_paths_for_arrow(uri, name):
+    assert portable(uri) == name
+
+
+def test_unreadable_files_are_listed(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/good")
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_bytes(b"no parquet")
+    found = files.unreadable(spark, [f"{tmp_path}/good", f"{tmp_path}/bad"]).collect()
+    assert [r["path"].rsplit("/", 2)[1:] for r in found] == [["bad", "x.parquet"]] and found[0]["reason"]

@@ -28,6 +28,7 @@ from tidemark.operators.marts import (
     date_dimension,
     documents,
     modal_daily,
+    money,
     station_dimension,
     zone_flow,
 )
@@ -35,6 +36,7 @@ from tidemark.operators.shape import bikes_to_old_layout
 from tidemark.plans.marts import (
     bike_stations,
     dim_holidays,
+    dim_subway_stations,
     dim_weather,
     fact_air_quality,
     fact_bike_trips,
@@ -186,9 +188,9 @@ def permits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Discounts as readings of a parameter named by the return flag."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("percent", F.col("l_discount") * 100)
-    return _plain(fact_air_quality(lines, "l_shipdate", "l_returnflag", "percent"), "value")
+    """Thousandths of a discount as readings of a parameter named by the return flag: finer than a cent."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("reading", F.col("l_discount") / 1000)
+    return _fine(fact_air_quality(lines, "l_shipdate", "l_returnflag", "reading"), "value")
 
 
 def subway(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,9 +200,18 @@ def subway(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def subway_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as stations, with the part and the line number of their newest lines."""
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "at", F.struct("l_shipdate", "l_orderkey", "l_linenumber")
+    )
+    return dim_subway_stations(lines, "l_suppkey", {"part": "l_partkey", "line": "l_linenumber"}, "at")
+
+
 def weather_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = dim_weather(table(spark, sf_dir, "events"), "ts", {"value": "value"})
-    return days.withColumns({"day": day_text("day"), **{f"value_{k}": double(f"value_{k}") for k in ("avg", "min", "max")}})
+    events = table(spark, sf_dir, "events").withColumn("value", F.col("value") / 1000)
+    days = dim_weather(events, "ts", {"value": "value"})
+    return _fine(days, "value")
 
 
 def holiday_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,14 +228,14 @@ _ENDS_SQL = f"""
 
 
 def fact_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = daily_fact(table(spark, sf_dir, "events"), "ts", ["event_type"], {"value": F.col("value")})
+    fact = daily_fact(table(spark, sf_dir, "events"), "ts", ["event_type"], {"value": money(F.col("value"))})
     return _plain(fact, "value")
 
 
 def fact_trips_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines per ship date and part of the price."""
     lines = table(spark, sf_dir, "lineitem")
-    return _plain(daily_fact(lines, "l_shipdate", (), {"price": F.col("l_extendedprice")}), "price")
+    return _plain(daily_fact(lines, "l_shipdate", (), {"price": money(F.col("l_extendedprice"))}), "price")
 
 
 def _plain(fact: DataFrame, measure: str) -> DataFrame:
@@ -232,6 +243,17 @@ def _plain(fact: DataFrame, measure: str) -> DataFrame:
     return fact.withColumns({"day": day_text("day"), **kinds})
 
 
+def _fine(fact: DataFrame, measure: str) -> DataFrame:
+    named = [c for c in fact.columns if c.startswith(f"{measure}_")]
+    return fact.withColumns({"day": day_text("day"), **{c: F.round(double(c), 9) for c in named}})
+
+
+def _fine_sql(source: str, cursor: str, by: str, value: str, name: str) -> str:
+    """As ``_daily_sql``, without a cast of the values."""
+    kinds = ", ".join(f"round({k}({value}), 9) AS {name}_{k}" for k in ("sum", "avg", "min", "max"))
+    return f"SELECT strftime({cursor}, {DAY}) AS day, {by} count(*) AS row_count, {kinds} FROM {source} GROUP BY ALL"
+
+
 def _daily_sql(source: str, cursor: str, by: str, value: str, name: str) -> str:
     v = f"CAST({value} AS DECIMAL(18,2))"
     # The average in millionths, rounded half up, from whole cents.
@@ -308,7 +330,7 @@ def dim_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def group_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders nested by customer and day; the array is shown as text."""
-    nested = documents(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderdate"], ["o_orderkey", "o_orderstatus"], "orders")
+    nested = documents(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderdate"], ["o_orderkey", "o_orderstatus"], "orders", PART_SIZE)
     shown = F.array_join(F.transform("orders", lambda x: F.concat_ws(":", x["o_orderkey"].cast("string"), x["o_orderstatus"])), ",")
     return nested.select(
         F.concat_ws("|", F.col("o_custkey").cast("string"), second_text("o_orderdate")).alias("document_key"),
@@ -381,14 +403,20 @@ QUERIES = {
         FROM orders
     """),
     "fact_air_quality": Query(
-        air_quality, _daily_sql("lineitem", "l_shipdate", "l_returnflag,", "l_discount * 100", "value")
+        air_quality, _fine_sql("lineitem", "l_shipdate", "l_returnflag,", "l_discount / 1000", "value")
     ),
     "fact_subway_entries": Query(subway, f"""
         SELECT strftime(l_shipdate, {DAY}) AS day, l_suppkey, CAST(sum(l_linenumber) AS BIGINT) AS entries
         FROM lineitem GROUP BY ALL
     """),
+    "dim_subway_stations": Query(subway_stations, """
+        SELECT l_suppkey AS station_id, l_partkey AS part, l_linenumber AS line FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_suppkey
+                   ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC) AS rn FROM lineitem)
+        WHERE rn = 1
+    """),
     "dim_weather": Query(weather_days, f"""
-        SELECT day, value_avg, value_min, value_max FROM ({_daily_sql("events", "ts", "", "value", "value")})
+        SELECT day, value_avg, value_min, value_max FROM ({_fine_sql("events", "ts", "", "value / 1000", "value")})
     """),
     "dim_holidays": Query(holiday_days, f"""
         SELECT strftime(o_orderdate, {DAY}) AS day,

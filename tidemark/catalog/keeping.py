@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from tidemark.functions.times import slice_number
 from tidemark.operators.checks import key_violations
 from tidemark.operators.dedup import last_per_payload, newest_per_key
 from tidemark.operators.shape import before
+from tidemark.plans.bikes import upsert_bikes
+from tidemark.plans.open_data import migrate_payloads
 from tidemark.session import scratch_database, scratch_path, stored
 from tidemark.sinks.tables import (
     append_table,
@@ -32,9 +35,10 @@ from tidemark.sinks.tables import (
     upsert,
 )
 from tidemark.streaming import watermarks
-from tidemark.streaming.increments import load_increment, load_slices, since
+from tidemark.streaming.increments import load_increment, load_slices, replace_slice, since
 from tidemark.streaming.live import drop_repeats, file_stream, run_to_files, run_upserts
-from tidemark.streaming.slices import slices_between
+from tidemark.streaming.slices import date_slices as slices_of
+from tidemark.streaming.slices import in_slice, slices_between
 
 FULL_KEY = (*LINE_KEY, "l_shipdate")
 
@@ -116,6 +120,62 @@ def constant_columns_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def increment_null_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of lines of which every seventh order has no ship date; none of them is lost."""
+    database = scratch_database(spark, "undated")
+    store = watermarks.create_store(spark, database)
+    undated = F.when(F.col("l_orderkey") % 7 != 0, F.col("l_shipdate"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", undated)
+    keys = (*LINE_KEY, "l_partkey", "l_suppkey", "l_shipdate")
+    for _ in range(2):
+        loaded = load_increment(lines, "lines", f"{database}.lines", keys, "l_shipdate", store)
+    return loaded.groupBy("l_orderkey").agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("l_shipdate").isNull()).alias("undated")
+    )
+
+
+def watermark_future_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth event lies in the year 2084 on the first load; the second load still finds the rest."""
+    database = scratch_database(spark, "future")
+    store = watermarks.create_store(spark, database)
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    half = events.agg(F.max("ts")).head()[0] - timedelta(days=10)
+    far = F.lit("2084-01-01 00:00:00").cast("timestamp_ntz")
+    early = events.where(F.col("ts") <= half).withColumn("ts", F.when(F.col("event_id") % 50 == 0, far).otherwise(F.col("ts")))
+    name = f"{database}.events"
+    load_increment(early, "events", name, ("event_id", "ts"), "ts", store)
+    loaded = load_increment(events.where(F.col("ts") > half), "events", name, ("event_id", "ts"), "ts", store)
+    return loaded.select("event_id", micro_text("ts").alias("ts"))
+
+
+def bike_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as trips of the old layout, loaded twice; the key makes each trip one row."""
+    database = scratch_database(spark, "bikes")
+    store = watermarks.create_store(spark, database)
+    new = {
+        "started_at": F.col("ts").cast("string"), "ended_at": F.col("ts").cast("string"),
+        "start_station_id": F.col("user_id").cast("string"), "end_station_id": F.col("event_type"),
+        "ride_id": F.col("event_id").cast("string"),
+    }
+    old = {o: new.get(n, F.lit(None).cast("string")) for o, n in contracts.BIKE_NEW_TO_OLD.items()}
+    rows = table(spark, sf_dir, "events").select(*[c.alias(o) for o, c in old.items()])
+    for _ in range(2):
+        loaded = upsert_bikes(rows.unionByName(rows), f"{database}.trips", store)
+    return loaded.select("ride_id", micro_text("started_at").alias("started_at"), "start_station_id", "end_station_id")
+
+
+def payload_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event properties in the seven payload tables by event number, migrated twice."""
+    database = scratch_database(spark, "payloads")
+    events = table(spark, sf_dir, "events").select("event_id", F.col("props").alias("payload"))
+    for at, name in enumerate(contracts.PAYLOAD_TABLES):
+        append_table(events.where(F.pmod("event_id", F.lit(len(contracts.PAYLOAD_TABLES))) == at), f"{database}.{name}")
+    for _ in range(2):
+        done = migrate_payloads(spark, "event_id", database)
+    frames = [df.select(F.lit(name).alias("table_name"), "event_id", "payload") for name, df in done.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advance by the newest event per type, then try to move back by the oldest."""
     database = scratch_database(spark, "marks")
@@ -140,7 +200,8 @@ def lookback_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """90-day slices over all orders with the orders in each."""
     orders = table(spark, sf_dir, "orders")
-    start = F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")
+    first = orders.agg(F.min("o_orderdate")).head()[0]
+    start = F.lit(first).cast("timestamp_ntz")
     by_slice = orders.groupBy(slice_number("o_orderdate", start, 90).alias("slice_no")).agg(
         F.count("*").alias("row_count"), F.max("o_orderdate").alias("newest")
     )
@@ -154,7 +215,7 @@ def date_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resumed_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written by 600-day slices; a second run finds nothing left to do."""
+    """Orders written by 600-day slices; the first slice comes again after a crash, a second run finds nothing left."""
     database = scratch_database(spark, "slices")
     store = watermarks.create_store(spark, database)
     orders = table(spark, sf_dir, "orders")
@@ -162,9 +223,12 @@ def resumed_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{database}.orders"
 
     def write(rows: DataFrame, number: int) -> None:
-        append_table(rows.withColumn("slice_no", F.lit(number)), name)
+        replace_slice(rows, name, number)
 
     bounds = (first.isoformat(timespec="seconds"), last.isoformat(timespec="seconds"))
+    # As if a load had died after its write and before its mark.
+    (early,) = slices_of(spark, *bounds, 600).where("slice_no = 0").collect()
+    write(in_slice(orders, "o_orderdate", F.lit(early["slice_start"]), F.lit(early["next_start"])), 0)
     load_slices(orders, "orders", "o_orderdate", store, *bounds, write, days=600)
     again = load_slices(orders, "orders", "o_orderdate", store, *bounds, write, days=600)
     return spark.table(name).groupBy("slice_no").agg(
@@ -242,6 +306,11 @@ def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("o_orderkey", second_text("o_orderdate").alias("ordered"), "o_totalprice")
 
 
+def _marked(columns: str) -> str:
+    """Each column behind the length of its text."""
+    return ", ".join(f"len(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR)" for c in columns.split(", "))
+
+
 _LINE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus"
 _EVENT_COLUMNS = f"event_id, strftime(ts, {MICRO}) AS ts, event_type, value, props"
 
@@ -267,7 +336,7 @@ QUERIES = {
         GROUP BY 1, 2 HAVING count(*) > 1
     """),
     "surrogate_key": Query(surrogate_keys, f"""
-        SELECT md5(concat_ws('|', {_LINE_COLUMNS})) AS line_key, l_orderkey, l_linenumber FROM lineitem
+        SELECT md5(concat_ws('|', {_marked(_LINE_COLUMNS)})) AS line_key, l_orderkey, l_linenumber FROM lineitem
     """),
     "constant_columns_routing": Query(constant_columns_routing, f"""
         SELECT 'socrata_' || event_type || '_socrata_records' AS table_name,
@@ -275,6 +344,25 @@ QUERIES = {
                min(event_id) AS first_id, max(event_id) AS last_id
         FROM events GROUP BY event_type
     """),
+    "increment_null_cursor": Query(increment_null_cursor, """
+        WITH l AS (SELECT l_orderkey, CASE WHEN l_orderkey % 7 <> 0 THEN l_shipdate END AS shipped,
+                          l_linenumber, l_partkey, l_suppkey FROM lineitem),
+        d AS (SELECT DISTINCT * FROM l)
+        SELECT l_orderkey, count(*) AS row_count, count(*) FILTER (shipped IS NULL) AS undated FROM d GROUP BY 1
+    """),
+    "watermark_future_rows": Query(watermark_future_rows, f"""
+        WITH h AS (SELECT max(ts) - INTERVAL 10 DAY AS half FROM events)
+        SELECT event_id, strftime(CASE WHEN ts <= half AND event_id % 50 = 0 THEN TIMESTAMP '2084-01-01' ELSE ts END,
+                                  {MICRO}) AS ts FROM events, h
+    """),
+    "bike_upsert": Query(bike_upsert, f"""
+        SELECT CAST(event_id AS VARCHAR) AS ride_id, strftime(ts, {MICRO}) AS started_at,
+               CAST(user_id AS VARCHAR) AS start_station_id, event_type AS end_station_id FROM events
+    """),
+    "payload_migration": Query(payload_migration, "SELECT table_name, event_id, payload FROM ("
+        "SELECT ['" + "', '".join(contracts.PAYLOAD_TABLES) + "'][event_id % 7 + 1] AS table_name, event_id, props AS payload, "
+        "row_number() OVER (PARTITION BY event_id % 7, props ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1"
+    ),
     "watermark_upsert": Query(watermark_upsert, """
         SELECT event_type AS source_name, strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS last_value
         FROM events GROUP BY 1
@@ -284,7 +372,7 @@ QUERIES = {
         WHERE ts >= (SELECT date_trunc('second', max(ts)) - INTERVAL 7 DAY FROM events)
     """),
     "date_slices": Query(date_slices, f"""
-        WITH b AS (SELECT TIMESTAMP '1995-01-01' AS lo, max(o_orderdate) AS hi FROM orders),
+        WITH b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders),
         s AS (SELECT unnest(generate_series(lo, hi, INTERVAL 90 DAY)) AS st, lo, hi FROM b),
         n AS (SELECT CAST(date_diff('day', lo, st) // 90 AS INTEGER) AS slice_no, st,
                      least(st + INTERVAL 90 DAY - INTERVAL 1 SECOND, hi) AS en FROM s)

@@ -32,11 +32,13 @@ from tidemark.sources.files import (
     head_per_file,
     partitioned_scan,
     struct_from_json_schema,
+    footers,
     tolerant_scan,
     union_files,
 )
 from tidemark.sources.listing import capped_listing, list_files, month_keys, paths_of
 from tidemark.sources.paged_json import read_pages, stored_pages
+from tidemark.sources.paths import file_system
 from tidemark.streaming.slices import slice_list, slices_between
 
 
@@ -98,17 +100,14 @@ def explicit_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capped_file_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in two layouts, one without priority, read back as one relation.
-
-    The cap lies above the number of files, so the whole table is read.
-    """
+    """Orders in two layouts, one without priority, read back as one relation; no cap is set."""
     root = scratch_path(spark, "layouts")
     orders = table(spark, sf_dir, "orders")
     old = F.col("o_orderstatus") == "F"
     orders.where(old).drop("o_orderpriority").write.parquet(f"{root}/old")
     orders.where(~old).write.parquet(f"{root}/new")
     listing = list_files(spark, root)
-    chosen = capped_listing(listing, ["old/", "new/"], limit=100_000, looked_at=100_000)
+    chosen = capped_listing(listing, ["old/", "new/"])
     read = union_files(spark, paths_of(chosen))
     return read.select(
         "o_orderkey", "o_orderstatus", "o_totalprice",
@@ -163,7 +162,7 @@ _CUSTOMER_NEW = {"c_custkey": "id", "c_name": "full_name", "c_nationkey": "natio
 ROWS_PER_ARCHIVE = 2_000
 
 
-def _archives(rows: DataFrame, columns: tuple[str, ...], renamed: dict[str, str], folder: str) -> DataFrame:
+def _archives(rows: DataFrame, columns: tuple[str, ...], renamed: dict[str, str], folder: str, members: int = 1) -> DataFrame:
     """Zip rows per ``archive_no``; odd archives use the renamed layout."""
     def pack(group):
         import csv
@@ -171,26 +170,25 @@ def _archives(rows: DataFrame, columns: tuple[str, ...], renamed: dict[str, str]
         import zipfile
 
         import pandas as pd
-        from pyarrow import fs
 
         number = int(group["archive_no"].iloc[0])
         kept = [c for c in columns if number % 2 == 0 or c in renamed]
-        text = io.StringIO()
-        writer = csv.writer(text, lineterminator="\n")
-        writer.writerow([renamed[c] if number % 2 else c for c in kept])
-        writer.writerows(group[kept].itertuples(index=False))
-        if folder.startswith("file:"):
-            system, base = fs.LocalFileSystem(), "/" + folder[5:].lstrip("/")
-        elif "://" in folder:
-            system, base = fs.FileSystem.from_uri(folder)
-        else:
-            system, base = fs.LocalFileSystem(), folder
+        part = group[columns[0]].astype("int64") % members
+        texts = {}
+        for at in range(members):
+            text = io.StringIO()
+            writer = csv.writer(text, lineterminator="\n")
+            writer.writerow([renamed[c] if number % 2 else c for c in kept])
+            writer.writerows(group.loc[part == at, kept].itertuples(index=False))
+            texts["data.csv" if members == 1 else f"part{at}.csv"] = text.getvalue()
+        system, base = file_system(folder)
         system.create_dir(base, recursive=True)
         with system.open_output_stream(f"{base}/{number:08d}.csv.zip") as sink:
             packed = io.BytesIO()
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as made:
                 made.writestr("__MACOSX/data.csv", "ignored")
-                made.writestr("data.csv", text.getvalue())
+                for name, text in texts.items():
+                    made.writestr(name, text)
             sink.write(packed.getvalue())
         return pd.DataFrame({"archive_no": [number], "row_count": [len(group)]})
 
@@ -213,6 +211,31 @@ def zip_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zip_all_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers zipped in two members to an archive, one in each layout; all members are read."""
+    folder = scratch_path(spark, "members")
+    rows = table(spark, sf_dir, "customer").select(
+        *[F.col(c).cast("string").alias(c) for c in _CUSTOMER[:-1]], F.lit("").alias("note"),
+        F.floor(F.col("c_custkey") / ROWS_PER_ARCHIVE).alias("archive_no"),
+    )
+    packed = _archives(rows, _CUSTOMER, _CUSTOMER_NEW, folder, members=2)
+    packed.write.parquet(scratch_path(spark, "packed"))
+    read = zipped_csv(list_files(spark, folder, "*.zip"), "path", _CUSTOMER, _CUSTOMER_NEW, "full_name")
+    return accepted(read).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "_member").withColumnRenamed("_member", "member")
+
+
+def unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good files, and one broken file for each event type: how many can be read, and how many cannot."""
+    root = scratch_path(spark, "broken")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    events.write.partitionBy("event_type").parquet(f"{root}/good")
+    events.select("event_type").distinct().select(F.concat(F.lit("not parquet: "), "event_type").alias("value")).write.text(f"{root}/bad")
+    looked = footers(spark, [f"{root}/good", f"{root}/bad"])
+    kind = F.when(F.col("problem").isNull(), "good").otherwise("bad")
+    place = F.regexp_extract("path", r"/(good/event_type=[^/]+|bad)/", 1)
+    return looked.select(place.alias("place"), kind.alias("state")).distinct()
+
+
 def header_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Under a contract without the mapping, every archive in the other layout is refused."""
     folder = scratch_path(spark, "archives")
@@ -222,9 +245,12 @@ def header_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     _archives(rows, _CUSTOMER, _CUSTOMER_NEW, folder).write.parquet(scratch_path(spark, "packed"))
     read = zipped_csv(list_files(spark, folder, "*.zip"), "path", _CUSTOMER)
-    good = accepted(read).groupBy().agg(F.count("*").alias("row_count")).select(F.lit("accepted rows").alias("what"), "row_count")
-    bad = rejects(read).groupBy().agg(F.count("*").alias("row_count")).select(F.lit("rejected archives").alias("what"), "row_count")
-    return good.union(bad)
+    taken = F.col("_layout").isin("old", "new")
+    counts = [
+        F.struct(F.lit(what).alias("what"), F.count_if(rows).alias("row_count"))
+        for what, rows in (("accepted rows", taken), ("rejected archives", ~taken))
+    ]
+    return read.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
 
 
 def layout_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,16 +301,18 @@ def month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rows to a page, whatever the table's size.
+PAGE_ROWS = 1_000
+
+
 def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events stored as pages per weekly slice, then extracted slice by slice."""
     events = table(spark, sf_dir, "events")
     span = events.agg(
-        F.count("*").alias("n"),
         F.min(F.date_trunc("day", "ts")).cast("timestamp_ntz").alias("first"),
         F.max(F.date_trunc("second", "ts")).cast("timestamp_ntz").alias("last"),
     )
     span_row = span.head()
-    page_size = min(contracts.PAGE_SIZE, max(1_000, span_row["n"] // 500))
     slices = slices_between(
         spark.createDataFrame([(span_row["first"], span_row["last"])], "first timestamp_ntz, last timestamp_ntz"),
         days=7,
@@ -294,13 +322,13 @@ def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = slice_number("ts", first, 7) * 7
     number = iso_text(first + F.make_dt_interval(days))
     paged = pages(
-        events.withColumn("slice_start", number), ["ts", "event_id"], page_size, within=["slice_start"]
+        events.withColumn("slice_start", number), ["ts", "event_id"], PAGE_ROWS, within=["slice_start"]
     )
     (
         paged.withColumn("ts", micro_text("ts")).drop("row_no")
         .repartition("slice_start", "page_no").write.partitionBy("slice_start", "page_no").json(root)
     )
-    read = read_pages(spark, stored_pages(root), slice_list(slices), page_size)
+    read = read_pages(spark, stored_pages(root), slice_list(slices), PAGE_ROWS)
     fields = ("event_id", "ts", "user_id", "event_type", "value", "props")
     return parse_records(read, "payload", fields).select(
         F.col("event_id").cast("bigint").alias("event_id"), "ts", "event_type",
@@ -310,12 +338,12 @@ def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _json_pages_sql() -> str:
     return f"""
-        WITH b AS (SELECT date_trunc('day', min(ts)) AS first, count(*) AS n FROM events),
-        s AS (SELECT e.*, n, CAST(floor(date_diff('microsecond', first, ts) / 604800000000.0) AS INTEGER) AS slice_no
+        WITH b AS (SELECT date_trunc('day', min(ts)) AS first FROM events),
+        s AS (SELECT e.*, CAST(floor(date_diff('microsecond', first, ts) / 604800000000.0) AS INTEGER) AS slice_no
               FROM events e, b)
         SELECT event_id, strftime(ts, {MICRO}) AS ts, event_type, value, props, slice_no,
                CAST(floor((row_number() OVER (PARTITION BY slice_no ORDER BY ts, event_id) - 1)
-                    / least(50000, greatest(1000, n // 500))) AS INTEGER) AS page_no
+                    / {PAGE_ROWS}) AS INTEGER) AS page_no
         FROM s
     """
 
@@ -396,6 +424,13 @@ QUERIES = {
         SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 'missing' AS note,
                CASE WHEN {_EVEN} THEN 'old' ELSE 'new' END AS layout FROM customer
     """),
+    "zip_all_members": Query(zip_all_members, """
+        SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN 'part0.csv' ELSE 'part1.csv' END AS member FROM customer
+    """),
+    "unreadable_files": Query(unreadable_files, """
+        SELECT DISTINCT 'good/event_type=' || event_type AS place, 'good' AS state FROM events
+        UNION ALL SELECT 'bad', 'bad' WHERE EXISTS (SELECT 1 FROM events)
+    """),
     "header_rejects": Query(header_rejects, f"""
         SELECT 'accepted rows' AS what, count(*) FILTER ({_EVEN}) AS row_count FROM customer
         UNION ALL

@@ -149,7 +149,7 @@ BIKE_CURSOR = "started_at"
 BIKE_KEY = ("started_at", "ended_at", "start_station_id", "end_station_id", "ride_id")
 BIKE_ARCHIVE_STEM = "JC-{month}-citibike-tripdata"
 BIKE_ARCHIVE_ENDINGS = (".csv.zip", ".zip")
-BIKE_DEFAULT_MONTHS = ("201901", "201902")
+BIKE_FIRST_MONTH = "201901"
 BIKE_REQUIRED = ("starttime",)
 
 # -- high-volume files by month (fixed values) ---------------------------------
@@ -159,14 +159,6 @@ HIGH_VOLUME_FILE = "fhvhv_tripdata_{year_month}.parquet"
 # -- open-data records (fixed values) ------------------------------------------
 OPEN_DATA_DOMAIN = "data.cityofnewyork.us"
 OPEN_DATA_STREAM = "socrata_records"
-OPEN_DATA_CORE_FIELDS = (
-    "unique_key", "created_date", "closed_date", "complaint_type", "descriptor",
-    "borough", "agency", "status", "latitude", "longitude", "incident_zip",
-    "cmplnt_num", "cmplnt_fr_dt", "cmplnt_fr_tm", "boro_nm", "ofns_desc",
-    "start_date_time", "end_date_time", "event_id", "event_name", "event_type",
-    "camis", "dba", "inspection_date", "inspection_type", "violation_code",
-    "grade", "score", "_socrata_resource_id", "_socrata_domain",
-)
 OPEN_DATA_FIELDS = (
     "unique_key", "created_date", "closed_date", "complaint_type", "descriptor",
     "borough", "agency", "status", "latitude", "longitude", "incident_zip",
@@ -180,7 +172,6 @@ OPEN_DATA_FIELDS = (
 PAGE_SIZE = 50_000
 SLICE_DAYS = 90
 LOOKBACK_DAYS = 7
-NAMES_LOOKED_AT = 102
 
 
 @dataclass(frozen=True)
@@ -217,3 +208,5 @@ ZONE_TABLE = "nyc_taxi_zones"
 RELIABLE_BEFORE = "2019-07-01"
 INSPECTION_KEY = ("camis", "inspection_date")
 INSPECTION_CHILD = ("violation_code", "violation_description", "critical_flag")
+# Our own choice: an inspection has a handful of violations.
+INSPECTION_PART = 10_000

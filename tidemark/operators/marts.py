@@ -15,26 +15,31 @@ from tidemark.operators.joins import attach_zones
 from tidemark.operators.numbering import number_rows
 from tidemark.session import stored
 
-# A document with more children than this is stored in numbered parts.
-MOST_CHILDREN = 100_000
-
-
 def money(col: Column) -> Column:
     """Exact amounts, so that a sum does not depend on the order of its rows."""
     return col.cast("decimal(18,2)")
 
 
+def exact(col: Column) -> Column:
+    """Readings to nine places, whose sum does not depend on the order of its rows either."""
+    return col.cast("decimal(28,9)")
+
+
 def daily_fact(
     df: DataFrame, cursor: str, by: Sequence[str] = (), measures: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """Rows per day (and key); sum, average, minimum and maximum of each amount."""
+    """Rows per day (and key); sum, average, minimum and maximum of each measure.
+
+    Measures keep the type they are given in: ``money`` or ``exact`` make them exact, and
+    sums of doubles depend on the order of their rows.
+    """
     totals = []
     for name, col in (measures or {}).items():
         totals += [
-            F.sum(money(col)).alias(f"{name}_sum"),
-            F.avg(money(col)).alias(f"{name}_avg"),
-            F.min(money(col)).alias(f"{name}_min"),
-            F.max(money(col)).alias(f"{name}_max"),
+            F.sum(col).alias(f"{name}_sum"),
+            F.avg(col).alias(f"{name}_avg"),
+            F.min(col).alias(f"{name}_min"),
+            F.max(col).alias(f"{name}_max"),
         ]
     return df.groupBy(F.to_date(cursor).alias("day"), *by).agg(F.count("*").alias("row_count"), *totals)
 
@@ -126,19 +131,17 @@ def station_dimension(df: DataFrame, station: str, columns: Mapping[str, str], n
 
 
 def documents(
-    df: DataFrame, keys: Sequence[str], children: Sequence[str], name: str,
-    most_children: int = MOST_CHILDREN,
+    df: DataFrame, keys: Sequence[str], children: Sequence[str], name: str, part_size: int
 ) -> DataFrame:
-    """Group flat rows into one document per key with a sorted array of children.
+    """Group flat rows into documents per key, each with a sorted array of children.
 
-    Nearly every key gives one document, ``part`` 0. A key with more than
-    ``most_children`` children is cut into consecutive sorted parts, since one task
-    could not hold it; all children are kept.
+    A document is cut into consecutive sorted parts of ``part_size`` children, numbered from
+    0 in ``part``, so that no task has to hold a whole large one; all children are kept.
     """
     child = F.struct(*[F.col(f"`{c}`") for c in children])
     collected = F.sort_array(F.collect_list(child)).alias(name)
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    large = counts.where(F.col("_n") > most_children).select(
+    large = counts.where(F.col("_n") > part_size).select(
         *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
     )
     if large.isEmpty():
@@ -151,5 +154,5 @@ def documents(
     # Copies of one child may be many, so rows that tie are spread as well.
     hot = stored(df.join(large, same, "left_semi").select(*keys, *children), "hot-documents")
     numbered = number_rows(hot, children, "_n", within=keys, spread_ties=True)
-    parts = numbered.withColumn("part", F.floor(F.col("_n") / most_children).cast("int")).drop("_n")
+    parts = numbered.withColumn("part", F.floor(F.col("_n") / part_size).cast("int")).drop("_n")
     return small.unionByName(parts).groupBy(*keys, "part").agg(collected)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import contracts
 from tidemark.operators.checks import blank_counts, require_rows, sample_rows
@@ -12,6 +13,27 @@ from tidemark.session import stored
 from tidemark.sinks.tables import ensure_layers, replace_table
 from tidemark.sources.archives import accepted, bike_archive_rows, rejects
 from tidemark.sources.listing import list_files, month_list, pick_archives
+from tidemark.streaming.increments import load_increment
+from tidemark.streaming.watermarks import create_store
+
+
+def bike_source(rows: DataFrame) -> DataFrame:
+    """Unpacked trips under the new layout's names, with typed times."""
+    named = rows.select(*[F.col(f"`{old}`").alias(new) for old, new in contracts.BIKE_NEW_TO_OLD.items()])
+    return named.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in ("started_at", "ended_at")})
+
+
+def load_bikes(
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, months: int = 2
+) -> DataFrame:
+    """Incremental load: archives of the given months, lookback, upsert by the trip's key."""
+    ensure_layers(spark)
+    archives = pick_archives(list_files(spark, root, "*.zip"), month_list(spark, start, end, months))
+    return upsert_bikes(accepted(bike_archive_rows(archives)), f"raw.{contracts.BIKE_TABLE}_current", create_store(spark))
+
+
+def upsert_bikes(rows: DataFrame, table: str, store: str) -> DataFrame:
+    return load_increment(bike_source(rows), "citibike", table, contracts.BIKE_KEY, contracts.BIKE_CURSOR, store)
 
 
 class BikeLoad(NamedTuple):

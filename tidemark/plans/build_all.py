@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import contracts
 from tidemark.plans.bikes import ingest_bikes
@@ -19,21 +20,26 @@ from tidemark.plans.marts import (
 from tidemark.plans.open_data import current_records, load_records
 from tidemark.plans.trips import load_trips
 from tidemark.plans.zones import build_zones
-from tidemark.session import prepare
+from tidemark.operators.shape import union_all
+from tidemark.session import exists, prepare
 from tidemark.sources.paged_json import Fetch
 
 
+PICKED_UP = "picked_up_at"
+
+
 @dataclass(frozen=True)
 class Inputs:
     """Where the sources lie. ``records`` maps a roster name to (fetch, start, end).
 
+    ``streams`` names the trip streams to load; one without a folder is left out.
     ``centroids`` are zones with ``location_id``, ``lat`` and ``lon``; ``weather`` and
     ``holidays`` are one row per ``day``.
     """
 
     zones_csv: str
     trips_root: str
-    stream: str = "yellow"
+    streams: tuple[str, ...] = tuple(contracts.TRIP_STREAMS)
     bikes_root: str | None = None
     bike_months: tuple[str, str] | None = None
     records: dict[str, tuple[Fetch, str, str | None]] = field(default_factory=dict)
@@ -42,11 +48,21 @@ class Inputs:
     holidays: DataFrame | None = None
 
 
+def all_trips(spark: SparkSession, root: str, streams: tuple[str, ...]) -> DataFrame:
+    """The trips of all streams as one relation, with the stream and one pickup time."""
+    found = [s for s in map(contracts.TRIP_STREAMS.get, streams) if exists(spark, f"{root}/{s.folder}")]
+    if not found:
+        raise ValueError(f"{root} has none of the folders of {', '.join(streams)}")
+    loaded = [
+        load_trips(spark, root, s).withColumns({"stream": F.lit(s.name), PICKED_UP: F.col(s.cursor)}) for s in found
+    ]
+    return union_all(loaded)
+
+
 def build_all(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
     prepare(spark)
     zones = build_zones(spark, inputs.zones_csv)
-    stream = contracts.TRIP_STREAMS[inputs.stream]
-    trips = load_trips(spark, inputs.trips_root, stream)
+    trips = all_trips(spark, inputs.trips_root, inputs.streams)
     made = {"dim_nyc_taxi_zones": zones}
 
     modes: dict[str, tuple[DataFrame, str]] = {}
@@ -73,6 +89,6 @@ def build_all(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
             elif entry.cursor == "inspection_date":
                 made["inspection_documents"] = inspection_documents(current)
     marts = build_marts(
-        trips, zones, stream.cursor, modes, inputs.weather, inputs.holidays, permits, others
+        trips, zones, PICKED_UP, modes, inputs.weather, inputs.holidays, permits, others
     )
     return made | marts

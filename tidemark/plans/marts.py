@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from tidemark import contracts
 from tidemark.functions.keys import composite_key
 from tidemark.functions.times import ntz
+from tidemark.operators.checks import kept_and_dropped
 from tidemark.operators.joins import attach_zones, nearest_zone
 from tidemark.operators.marts import (
     borough_flow,
     daily_fact,
     documents,
+    exact,
     modal_daily,
     station_dimension,
     zone_flow,
@@ -24,9 +26,11 @@ from tidemark.session import stored
 from tidemark.sinks.tables import replace_table
 
 
-def fact_trips(trips: DataFrame, zones: DataFrame, cursor: str) -> DataFrame:
-    """Reliable trips with their zones."""
-    return attach_zones(before(trips, cursor, ntz(contracts.RELIABLE_BEFORE)), zones)
+def fact_trips(
+    trips: DataFrame, zones: DataFrame, cursor: str, reliable_before: str | None = contracts.RELIABLE_BEFORE
+) -> DataFrame:
+    """Trips with their zones; those from ``reliable_before`` on are left out unless it is None."""
+    return attach_zones(trips if reliable_before is None else before(trips, cursor, ntz(reliable_before)), zones)
 
 
 def station_zones(stations: DataFrame, zones: DataFrame) -> DataFrame:
@@ -38,12 +42,16 @@ def build_marts(
     trips: DataFrame, zones: DataFrame, cursor: str, other_modes: Mapping[str, tuple[DataFrame, str]],
     weather: DataFrame | None = None, holidays: DataFrame | None = None,
     events: tuple[DataFrame, str] | None = None, others: Mapping[str, DataFrame] | None = None,
+    reliable_before: str | None = contracts.RELIABLE_BEFORE,
 ) -> dict[str, DataFrame]:
     """Write facts, daily summary and flows, and the ``others`` by name.
 
     Later marts read the written fact table instead of deriving the trips again.
+    ``fact_trips_dropped`` counts the trips that ``reliable_before`` keeps out.
     """
-    made = {"fact_trips": replace_table(fact_trips(trips, zones, cursor), "marts.fact_trips")}
+    made = {"fact_trips": replace_table(fact_trips(trips, zones, cursor, reliable_before), "marts.fact_trips")}
+    if reliable_before is not None:
+        made["fact_trips_dropped"] = kept_and_dropped(trips, F.col(cursor) < ntz(reliable_before))
     flow = replace_table(zone_flow(made["fact_trips"], zones), "marts.agg_flow_zone")
     made["agg_flow_zone"] = flow
     made["agg_flow_borough"] = replace_table(borough_flow(flow), "marts.agg_flow_borough")
@@ -64,9 +72,9 @@ def build_marts(
     return made
 
 
-def inspection_documents(records: DataFrame) -> DataFrame:
-    """Inspection rows nested as one document per restaurant and date."""
-    nested = documents(records, contracts.INSPECTION_KEY, contracts.INSPECTION_CHILD, "violations")
+def inspection_documents(records: DataFrame, part_size: int = contracts.INSPECTION_PART) -> DataFrame:
+    """Inspection rows nested per restaurant and date, ``part_size`` to a document."""
+    nested = documents(records, contracts.INSPECTION_KEY, contracts.INSPECTION_CHILD, "violations", part_size)
     return nested.select(composite_key(*contracts.INSPECTION_KEY).alias("document_key"), "part", "violations")
 
 
@@ -135,7 +143,7 @@ def fact_event_permits(records: DataFrame) -> DataFrame:
 
 def fact_air_quality(readings: DataFrame, cursor: str, parameter: str, value: str) -> DataFrame:
     """Daily readings per measured parameter."""
-    return daily_fact(readings, cursor, [parameter], {"value": F.col(value)})
+    return daily_fact(readings, cursor, [parameter], {"value": exact(F.col(value))})
 
 
 def fact_subway_entries(readings: DataFrame, cursor: str, station: str, entries: str) -> DataFrame:
@@ -145,10 +153,15 @@ def fact_subway_entries(readings: DataFrame, cursor: str, station: str, entries:
 
 def dim_weather(readings: DataFrame, cursor: str, measures: Mapping[str, str]) -> DataFrame:
     """One row per day with the day's mean, lowest and highest reading of each measure."""
-    daily = daily_fact(readings, cursor, (), {name: F.col(c) for name, c in measures.items()})
+    daily = daily_fact(readings, cursor, (), {name: exact(F.col(c)) for name, c in measures.items()})
     return daily.drop("row_count", *[f"{name}_sum" for name in measures])
 
 
+def dim_subway_stations(readings: DataFrame, station: str, columns: Mapping[str, str], newest_by: str) -> DataFrame:
+    """One row per subway station with the attributes of its newest reading."""
+    return station_dimension(readings, station, columns, newest_by)
+
+
 def dim_holidays(records: DataFrame, day: str, name: str) -> DataFrame:
     """One row per holiday; several names of one day are listed together."""
     names = F.array_join(F.sort_array(F.collect_set(name)), "; ")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from tidemark import contracts
 from tidemark.functions.times import parse_iso
 from tidemark.operators.dedup import newest_per_key
 from tidemark.operators.shape import parse_records, stage_json, with_constants
-from tidemark.sinks.tables import dedup_payloads, ensure_layers, load_number, route_records
+from tidemark.session import stored
+from tidemark.sinks.tables import dedup_payloads, ensure_layers, load_number, replace_unique, route_records
+from tidemark.sources.files import relation
 from tidemark.sources.paged_json import Fetch, read_pages
 from tidemark.streaming import watermarks
 from tidemark.streaming.slices import date_slices, slice_list
@@ -47,6 +50,8 @@ def load_records(
     loaded = tables[entry.table]
     fresh = loaded.where(F.col("_load_seq") == number)
     moments = fresh.select(parse_iso(F.left(entry.cursor, F.lit(19))).alias("at"))
+    # A date from after the load would end all later ones.
+    moments = moments.where(F.col("at") <= F.current_timestamp().cast("timestamp_ntz"))
     watermarks.advance(spark, store, watermarks.newest_values(moments, "at", entry.name))
     return loaded
 
@@ -58,6 +63,22 @@ def current_records(loaded: DataFrame, entry: contracts.RecordSet) -> DataFrame:
     return dedup_payloads(loaded, "_load_seq")
 
 
+def migrate_payloads(
+    spark: SparkSession, sequence: str, layer: str = "raw", tables: Sequence[str] = contracts.PAYLOAD_TABLES
+) -> dict[str, DataFrame]:
+    """Give each payload table its hash and one row per payload, and check that the hash is unique.
+
+    Tables that do not exist are left out; doing it again changes nothing.
+    """
+    done = {}
+    for name in tables:
+        if spark.catalog.tableExists(f"{layer}.{name}"):
+            rows = relation(spark, name, layer)
+            kept = stored(dedup_payloads(rows.drop("payload_hash"), sequence), "payloads")
+            done[name] = replace_unique(kept, f"{layer}.{name}", ["payload_hash"])
+    return done
+
+
 def typed_records(records: DataFrame, types: dict[str, str]) -> DataFrame:
     """Staging view: the needed fields, cleaned and typed."""
     return stage_json(records.select("payload"), "payload", types).drop("payload")

@@ -23,10 +23,10 @@ from tidemark.streaming.increments import load_increment
 
 
 def ingest_trips(
-    spark: SparkSession, root: str, prefixes: Mapping[str, list[str]], limit: int = 2,
+    spark: SparkSession, root: str, prefixes: Mapping[str, list[str]], limit: int | None = None,
     head_rows: int = 0, head_order: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Replace each stream's raw table by its first ``limit`` files; rows per stream.
+    """Replace each stream's raw table by its files, or the first ``limit`` of them; rows per stream.
 
     A stream without files is reported with 0 and its table stays as it was.
     """

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -20,7 +17,6 @@ _SEMANTIC_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
-_local_root: str | None = None
 _made: list[str] = []
 
 
@@ -57,19 +53,15 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master, where
-    driver and executors are one process, may fall back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``. A local master, where driver and
+    executors are one process, may do without: then a folder below the warehouse serves.
     """
     named = spark.conf.get(CHECKPOINT_KEY, None)
     if named:
         return qualified(spark, named.rstrip("/"))
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    global _local_root
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="tidemark-")
-        atexit.register(shutil.rmtree, _local_root, True)
-    return f"file://{_local_root}"
+    return qualified(spark, spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
 
 
 def qualified(spark: SparkSession, path: str) -> str:

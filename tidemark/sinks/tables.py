@@ -12,11 +12,13 @@ from tidemark import contracts
 from tidemark.functions.jsontext import payload_hash
 from tidemark.operators.checks import assert_unique, require_rows
 from tidemark.operators.dedup import last_per_payload, newest_per_key
-from tidemark.session import setting
+from tidemark.session import scratch_path, setting
 
 # More touched partitions than this are looked up by join instead of by a list.
 LISTED_PARTITIONS = 2_000
 LOAD_SEQ = "_load_seq"
+# Table property that names merged months which are not in place yet.
+PENDING = "tidemark.pending"
 
 
 def load_number() -> int:
@@ -36,12 +38,17 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), g
     """Write ``df`` as the whole new content; with ``guard`` never replace by nothing."""
     if guard:
         require_rows(df)
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+    _rebalanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Few files per folder, and several for a folder that holds most of the rows."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    df.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
+    _rebalanced(df, partition_by).write.mode("append").partitionBy(*partition_by).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
@@ -56,6 +63,10 @@ def upsert(
     read and rewritten, all in one commit. Applying an increment again changes no data
     column. Rebalancing before the write splits a month that holds most of the rows
     and merges small ones.
+
+    Spark's overwrite of partitions is no transaction, so the merged months are written to
+    the shared folder first and named in the table's properties until they are in place. If
+    a load dies in between, the next one puts them in place before it does anything else.
     """
     if cursor not in keys:
         raise ValueError("the cursor has to be part of the key")
@@ -71,6 +82,7 @@ def upsert(
         merged.hint("rebalance", month_column).write.partitionBy(month_column).saveAsTable(table)
         return spark.table(table)
 
+    finish_upsert(spark, table)
     # Another session may have rewritten files since this one last looked.
     spark.catalog.refreshTable(table)
     old = spark.table(table)
@@ -85,11 +97,26 @@ def upsert(
     merged = newest_per_key(
         affected.unionByName(fresh.select(*old.columns)), keys, cursor, LOAD_SEQ
     ).select(*old.columns)
-    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        merged.hint("rebalance", month_column).write.insertInto(table, overwrite=True)
+    path = scratch_path(spark, "merged")
+    merged.hint("rebalance", month_column).write.parquet(path)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}' = '{path}')")
+    finish_upsert(spark, table)
     return spark.table(table)
 
 
+def finish_upsert(spark: SparkSession, table: str) -> bool:
+    """Put merged months in place that a load has written aside; whether there were any."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == PENDING).head()
+    if found is None:
+        return False
+    merged = spark.read.schema(spark.table(table).schema).parquet(found["value"])
+    months = spark.table(table).columns[-1]
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        merged.hint("rebalance", months).write.insertInto(table, overwrite=True)
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{PENDING}')")
+    return True
+
+
 def route_records(
     records: DataFrame, database: str, roster: Sequence[contracts.RecordSet] = contracts.RECORD_SETS
 ) -> dict[str, DataFrame]:

@@ -1,17 +1,23 @@
 """Zipped CSV scan.
 
 Spark has no zip codec, so this is one of two places where Python touches rows. One
-task streams one archive: the file is opened in place, its member is decompressed and
+task streams one archive: the file is opened in place, its members are decompressed and
 parsed piece by piece, and no archive is ever held in memory or sent through Arrow.
 """
 
 from __future__ import annotations
 
+import codecs
+import csv
+import io
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import contracts
+from tidemark.sources.paths import open_file
 
 ROWS_PER_BATCH = 20_000
 # With more archives than this, tasks take several one after the other.
@@ -21,8 +27,9 @@ MOST_TASKS = 10_000
 def bike_archive_rows(archives: DataFrame, path: str = "path") -> DataFrame:
     """Rows of the archives in ``path`` under the old bike layout, all text.
 
-    Adds ``_archive`` and ``_layout``: ``old`` or ``new`` for rows, and for an archive
-    that yields none one row saying ``not a zip``, ``no csv`` or ``header``.
+    Adds ``_archive``, ``_member`` and ``_layout``: ``old`` or ``new`` for rows, and for an
+    archive or member that yields none one row saying ``not a zip``, ``no csv``, ``header``
+    or ``damaged``.
     """
     return zipped_csv(
         archives, path, contracts.BIKE_OLD_COLUMNS,
@@ -34,85 +41,73 @@ def zipped_csv(
     archives: DataFrame, path: str, columns: tuple[str, ...],
     renamed: dict[str, str] | None = None, marker: str | None = None,
 ) -> DataFrame:
-    """Read the first CSV member of every archive under a header contract.
+    """Read every CSV member of every archive under a header contract.
 
     A header equal to ``columns``, in order, is taken as it is. Otherwise, if it has
     the ``marker`` column, ``renamed`` (contract column -> file column) applies. Any
-    other header rejects the archive. Empty text is NULL.
+    other header rejects the member. Empty text is NULL. A member whose bytes are damaged
+    gives no rows at all.
     """
     schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in columns]
-        + [T.StructField("_archive", T.StringType()), T.StructField("_layout", T.StringType())]
+        [T.StructField(c, T.StringType()) for c in (*columns, "_archive", "_member", "_layout")]
     )
     batch_rows = ROWS_PER_BATCH
     mapping = dict(renamed or {})
 
     def read(batches):
-        import csv
-        import io
-        import itertools
         import zipfile
+        import zlib
 
         import pyarrow as pa
-        from pyarrow import fs
-
-        def batch(rows, archive, layout, count):
-            data = [pa.array(values, pa.string()) for values in rows]
-            data += [pa.array([archive] * count, pa.string()), pa.array([layout] * count, pa.string())]
-            return pa.RecordBatch.from_arrays(data, names=[*columns, "_archive", "_layout"])
-
-        def rejected(archive, reason):
-            return batch([[None]] * len(columns), archive, reason, 1)
-
-        def open_file(uri):
-            if uri.startswith("file:"):
-                return fs.LocalFileSystem().open_input_file("/" + uri[5:].lstrip("/"))
-            if "://" not in uri:
-                return fs.LocalFileSystem().open_input_file(uri)
-            system, name = fs.FileSystem.from_uri(uri)
-            return system.open_input_file(name)
-
-        def one(archive):
-            with open_file(archive) as raw:
-                try:
-                    pack = zipfile.ZipFile(raw)
-                except (zipfile.BadZipFile, pa.ArrowInvalid):  # the latter for tiny files
-                    yield rejected(archive, "not a zip")
-                    return
-                members = [
-                    n for n in pack.namelist() if n.endswith(".csv") and not n.startswith("__MACOSX")
-                ]
-                if not members:
-                    yield rejected(archive, "no csv")
-                    return
-                with pack.open(members[0]) as member:
-                    lines = csv.reader(io.TextIOWrapper(member, encoding="utf-8", newline=""))
-                    header = next(lines, [])
-                    if tuple(header) == columns:
-                        layout, names = "old", list(columns)
-                    elif marker is not None and marker in header:
-                        layout, names = "new", [mapping.get(c) for c in columns]
-                    else:
-                        yield rejected(archive, "header")
-                        return
-                    # A repeated header name means its last column.
-                    places = [
-                        len(header) - 1 - header[::-1].index(n) if n in header else None for n in names
-                    ]
-                    rows = (r for r in lines if r)
-                    while chunk := list(itertools.islice(rows, batch_rows)):
-                        picked = [
-                            [
-                                (r[p] or None) if p is not None and p < len(r) else None
-                                for r in chunk
-                            ]
-                            for p in places
-                        ]
-                        yield batch(picked, archive, layout, len(chunk))
+
+        damage = (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, OSError, pa.ArrowInvalid)
+
+        def batch(data, origin, layout, count):
+            texts = [pa.array(values, pa.string()) for values in data]
+            texts += [pa.array([x] * count, pa.string()) for x in (*origin, layout)]
+            return pa.RecordBatch.from_arrays(texts, names=schema.names)
+
+        def rejected(origin, reason):
+            return batch([[None]] * len(columns), origin, reason, 1)
+
+        def layout_of(header):
+            if tuple(header) == columns:
+                return "old", list(columns)
+            if marker is not None and marker in header:
+                return "new", [mapping.get(c) for c in columns]
+            return "header", []
 
         for incoming in batches:
             for archive in incoming.column(0).to_pylist():
-                yield from one(archive)
+                with open_file(archive) as raw:
+                    try:
+                        pack = zipfile.ZipFile(raw)
+                    except damage:
+                        yield rejected((archive, None), "not a zip")
+                        continue
+                    names = [i.filename for i in pack.infolist() if _is_table(i.filename)]
+                    if not names:
+                        yield rejected((archive, None), "no csv")
+                    for name in names:
+                        try:
+                            _verify(pack, name)
+                        except damage:
+                            yield rejected((archive, name), "damaged")
+                            continue
+                        with pack.open(name) as member:
+                            header, chunks = _csv_columns(member, batch_rows)
+                            layout, wanted = layout_of(header)
+                            if layout == "header":
+                                yield rejected((archive, name), layout)
+                                continue
+                            # A repeated header name means its last column.
+                            place = {h: at for at, h in enumerate(header)}
+                            for count, found in chunks:
+                                picked = [
+                                    found[place[w]] if w in place and place[w] < len(found) else [None] * count
+                                    for w in wanted
+                                ]
+                                yield batch(picked, (archive, name), layout, count)
 
     # One archive per task: sizes differ by orders of magnitude. The number has to be
     # given, or adaptive execution would merge the short path rows into one task.
@@ -121,12 +116,39 @@ def zipped_csv(
     return paths.repartitionByRange(tasks, "_path").mapInArrow(read, schema)
 
 
+def _is_table(member: str) -> bool:
+    return member.lower().endswith(".csv") and not member.startswith("__MACOSX/")
+
+
+def _verify(pack, member: str) -> None:
+    """Read a member to its end, so that its check sum is compared and its text is known to decode."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    with pack.open(member) as stream:
+        while piece := stream.read(1 << 20):
+            decoder.decode(piece)
+    decoder.decode(b"", final=True)
+
+
+def _csv_columns(stream, batch_rows: int):
+    """The header of a CSV stream, and its rows as (number of rows, columns) in batches; empty text is None."""
+    records = csv.reader(io.TextIOWrapper(stream, encoding="utf-8", newline=""))
+    header = next(records, [])
+
+    def chunks():
+        filled = filter(None, records)
+        while rows := list(itertools.islice(filled, batch_rows)):
+            turned = itertools.zip_longest(*rows)
+            yield len(rows), [[value or None for value in column] for column in turned]
+
+    return header, chunks()
+
+
 def accepted(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("_layout").isin("old", "new"))
 
 
 def rejects(rows: DataFrame) -> DataFrame:
-    """Archives that gave no rows, with the reason."""
+    """Archives, or members of them, that gave no rows, with the reason."""
     return rows.where(~F.col("_layout").isin("old", "new")).select(
-        "_archive", F.col("_layout").alias("reason")
+        "_archive", "_member", F.col("_layout").alias("reason")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tidemark.operators.checks import require_rows
 from tidemark.operators.numbering import head_per_group
 from tidemark.operators.shape import union_all
+from tidemark.sources.paths import open_file
 
 _SCALARS = {
     "integer": T.LongType(),
@@ -70,9 +71,47 @@ def union_files(spark: SparkSession, paths: Sequence[str], base_path: str | None
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
-    for path in paths:
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    return union_all([reader().parquet(*group) for group in groups.values()])
+    for row in footers(spark, paths).collect():
+        if row["problem"]:
+            raise ValueError(f"{row['path']}: {row['problem']}")
+        groups.setdefault(row["columns"], []).append(row["path"])
+    return union_all([reader().parquet(*groups[columns]) for columns in sorted(groups)])
+
+
+def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, columns, problem) of Parquet files, read from their footers in tasks.
+
+    ``columns`` spells names and types; ``problem`` says why a file cannot be read.
+    """
+
+    def look(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            columns, problems = [], []
+            for path in batch.column(0).to_pylist():
+                try:
+                    with open_file(path) as file:
+                        schema = pq.read_schema(file)
+                    columns.append("; ".join(f"{f.name}: {f.type}" for f in schema))
+                    problems.append(None)
+                except (pa.ArrowInvalid, OSError) as error:
+                    columns.append(None)
+                    problems.append(str(error).splitlines()[0][:200])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(columns, pa.string()), pa.array(problems, pa.string())],
+                names=["path", "columns", "problem"],
+            )
+
+    # Only listed here, folders too; the content column is not asked for.
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths)).select("path")
+    return listed.mapInArrow(look, "path string, columns string, problem string")
+
+
+def unreadable(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, reason) of the files that ``tolerant_scan`` has to leave out."""
+    return footers(spark, paths).where("problem IS NOT NULL").select("path", F.col("problem").alias("reason"))
 
 
 def head_per_file(df: DataFrame, order: Sequence[str], n: int, folder: bool = False) -> DataFrame:
@@ -90,7 +129,7 @@ def head_per_file(df: DataFrame, order: Sequence[str], n: int, folder: bool = Fa
 def tolerant_scan(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, must_have_rows: bool = True
 ) -> DataFrame:
-    """Read Parquet files and skip those that cannot be read.
+    """Read Parquet files and skip those that cannot be read; ``unreadable`` lists them.
 
     The schema has to be given, since it cannot be inferred from a broken file.
     """

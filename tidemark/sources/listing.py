@@ -1,4 +1,4 @@
-"""Which files to read: listings with a cap, and names by month."""
+"""Which files to read: listings, with a cap where one is asked for, and names by month."""
 
 from __future__ import annotations
 
@@ -27,7 +27,9 @@ def list_prefixes(spark: SparkSession, root: str, prefixes: Sequence[str]) -> Da
     if all(p.endswith("/") for p in prefixes):
         folders = [f"{root.rstrip('/')}/{p}" for p in prefixes]
         found = [f for f in dict.fromkeys(folders) if exists(spark, f)]
-        return _list(spark, root, found or [root], None)
+        if not found:
+            return _list(spark, root, [root], None).limit(0)
+        return _list(spark, root, found, None)
     return _list(spark, root, [root], None)
 
 
@@ -39,7 +41,7 @@ def _list(spark: SparkSession, root: str, folders: list[str], glob: str | None)
     bare = F.regexp_replace("path", r"^[A-Za-z0-9]+:/+", "/")
     return reader.load(folders).select(
         "path",
-        F.substring(bare, len(base) + 1, 1_000_000).alias("name"),
+        F.substring(bare, F.lit(len(base) + 1), F.length(bare)).alias("name"),
         last_segment(F.col("path")).alias("file_name"),
         F.col("length").alias("size"),
         megabytes(F.col("length")).alias("size_mb"),
@@ -51,24 +53,24 @@ def _bare(path: str) -> str:
 
 
 def capped_listing(
-    listing: DataFrame, prefixes: Sequence[str], limit: int,
-    suffix: str = ".parquet", looked_at: int = contracts.NAMES_LOOKED_AT,
+    listing: DataFrame, prefixes: Sequence[str], limit: int | None = None,
+    suffix: str = ".parquet", looked_at: int | None = None,
 ) -> DataFrame:
-    """The first ``limit`` names with ``suffix``, prefix by prefix in the given order.
+    """The names with ``suffix``, prefix by prefix in the given order.
 
-    Per prefix only the first ``looked_at`` names of any kind are considered.
+    ``limit`` keeps the first names only; ``looked_at`` considers, for each prefix, only its
+    first names of any kind. Neither holds unless it is given.
     """
-    if limit < 1:
+    if limit is not None and limit < 1:
         raise ValueError("limit must be at least 1")
     wanted = listing.select(
         "*", F.posexplode(F.array(*[F.lit(p) for p in prefixes])).alias("prefix_no", "prefix")
     ).where(F.col("name").startswith(F.col("prefix")))
-    place = F.row_number().over(Window.partitionBy("prefix_no").orderBy("name"))
-    seen = wanted.withColumn("_n", place).where(F.col("_n") <= looked_at)
-    return (
-        seen.where(F.col("name").endswith(suffix))
-        .orderBy("prefix_no", "name").limit(limit).drop("_n", "prefix")
-    )
+    if looked_at is not None:
+        place = F.row_number().over(Window.partitionBy("prefix_no").orderBy("name"))
+        wanted = wanted.withColumn("_n", place).where(F.col("_n") <= looked_at).drop("_n")
+    chosen = wanted.where(F.col("name").endswith(suffix)).orderBy("prefix_no", "name").drop("prefix")
+    return chosen if limit is None else chosen.limit(limit)
 
 
 def paths_of(listing: DataFrame) -> list[str]:
@@ -81,13 +83,15 @@ def month_list(
 ) -> DataFrame:
     """``month_key`` (yyyyMM) from ``start`` to ``end`` (YYYY-MM), both included.
 
-    Without a range: the first ``months`` default months.
+    Without a range: ``months`` months from the first default month on.
     """
     if (start is None) != (end is None):
         raise ValueError("give both start and end, or neither")
     if start is None:
-        chosen = contracts.BIKE_DEFAULT_MONTHS[:months]
-        return spark.createDataFrame([(m,) for m in chosen], "month_key string")
+        first = F.to_date(F.lit(contracts.BIKE_FIRST_MONTH), "yyyyMM")
+        return spark.range(max(months, 0)).select(
+            F.date_format(F.add_months(first, F.col("id").cast("int")), "yyyyMM").alias("month_key")
+        )
     bounds = spark.range(1).select(
         parse_month(F.lit(start)).alias("first"), parse_month(F.lit(end)).alias("last")
     )

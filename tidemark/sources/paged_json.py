@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark import contracts
+from tidemark.sources.paths import file_system
 
 READERS = 4
 # fetch(start, end, limit, offset) -> the page's records, in cursor order
@@ -88,14 +89,7 @@ def stored_pages(root: str) -> Fetch:
 
         from pyarrow import fs
 
-        def resolve(uri):
-            if uri.startswith("file:"):
-                return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-            if "://" not in uri:
-                return fs.LocalFileSystem(), uri
-            return fs.FileSystem.from_uri(uri)
-
-        system, base = resolve(root)
+        system, base = file_system(root)
         folder = f"{base}/slice_start={quote(start, safe='')}/page_no={offset // limit}"
         found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
         names = sorted(f.path for f in found if f.base_name.endswith(".json"))
