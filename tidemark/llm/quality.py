@@ -33,7 +33,7 @@ ACCEPTED = 0.7
 STATISTICS = (
     "log_chars", "log_words", "word_chars", "long_words", "short_words", "letters", "capitals", "digits", "spaces",
     "stops", "signs", "bars", "shouts", "odd_tails", "entropy", "distinct_words", "top_word", "bare_repeats",
-    "repeated_lines", "line_chars", "shouted_words",
+    "repeated_lines", "line_chars", "shouted_words", "log_repeats", "log_tails", "log_bars",
 )
 
 _LETTERS = np.zeros(256, dtype=bool)
@@ -64,6 +64,7 @@ def statistics_of(text: str) -> tuple[float, ...]:
     share = counts[counts > 0] / size
     lines = [line for line in raw.split(b"\n") if line.strip()]
     tails = sum(_OTHER[w[-1]] for w in ws)
+    repeats = sum(a == b for a, b in zip(ws, ws[1:], strict=False))
     return (
         np.log1p(size),
         np.log1p(n),
@@ -82,10 +83,13 @@ def statistics_of(text: str) -> tuple[float, ...]:
         float(-(share * np.log2(share)).sum()),
         len(kinds) / n,
         max(kinds.values()) / n,
-        sum(a == b for a, b in zip(ws, ws[1:], strict=False)) / n,
+        repeats / n,
         1 - len(set(lines)) / len(lines),
         float(np.log1p(size / len(lines))),
         sum(w.isupper() and len(w) > 1 for w in ws) / n,
+        float(np.log1p(repeats)),
+        float(np.log1p(tails)),
+        float(np.log1p(counts[124])),
     )
 
 
