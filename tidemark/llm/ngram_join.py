@@ -195,16 +195,19 @@ def _meets(small: _Entry, large: _Entry, boundary: int) -> Column:
 
 
 def _boundary(sets: DataFrame) -> int:
-    """The largest size of a light set that costs the fewest entries and scanned entries.
+    """The largest size of a light set that costs the fewest entries, made and scanned.
 
-    Lengths of lists are measured on the elements whose hash falls into one of 64 parts.
+    Every entry is made once. One that shares its list is scanned twice more, for the star
+    and for what the star leaves; a long list costs no more than that for an entry, since
+    its pairs are not tried while they hang together. The share of such entries is measured
+    on the elements whose hash falls into one of 64 parts.
     """
     sized = sets.where("n > 5")
     lists = (
         sized.select(F.explode("first").alias("e")).where(F.pmod("e", F.lit(64)) == 0).groupBy("e").count()
-        .agg((F.sum(F.col("count") * F.col("count")) / F.sum("count")).alias("scan"))
+        .agg((F.sum(F.when(F.col("count") > 1, F.col("count")).otherwise(0)) / F.sum("count")).alias("shared"))
     )
-    scan = lists.collect()[0]["scan"] or 1.0
+    scan = 2 * (lists.collect()[0]["shared"] or 0.0)
     p = F.size("first").cast("double")
     sums = []
     for b in BOUNDARIES:
