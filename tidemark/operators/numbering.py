@@ -101,8 +101,8 @@ def _run_starts(runs: DataFrame, groups: list[str]) -> tuple[DataFrame, bool]:
     offsets = spark.createDataFrame(
         list(_sums_before(sizes).items()), "_part int, _before long"
     )
-    # One row per partition: small enough to broadcast by construction.
-    at = runs.join(F.broadcast(offsets), "_part").withColumn("_position", F.col("_before") + F.col("_first"))
+    # One row per partition; Spark knows its size and broadcasts it if that is small.
+    at = runs.join(offsets, "_part").withColumn("_position", F.col("_before") + F.col("_first"))
     if not groups:
         return at.select(F.col("_part").alias("_at"), F.col("_before").alias("_start")), False
     bases = at.groupBy(*[F.col(g).alias(f"{g}_base") for g in groups]).agg(F.min("_position").alias("_base"))
