@@ -8,7 +8,7 @@ from test_sources import OLD, make_zip, source_of
 from tidemark import contracts
 from tidemark.operators.checks import DataCheckError
 from tidemark.plans.bikes import ingest_bikes
-from tidemark.plans.build_all import Inputs, build_all
+from tidemark.plans.build_all import Inputs, Readings, build_all
 from tidemark.plans.marts import inspection_documents, station_zones
 from tidemark.plans.open_data import current_records, load_records, typed_records
 from tidemark.plans.trips import ingest_trips, load_trips
@@ -143,6 +143,10 @@ def test_everything_in_order(spark, tmp_path, rows):
     make_zip(bikes / "JC-201901-citibike-tripdata.zip", [("a.csv", "started_at,ride_id\n2019-01-02 08:00:00,r\n")])
     entry = contracts.RECORD_SETS[0]
     fetch = source_of([("2023-01-02T00:00:00", "a")])
+    readings = spark.sql(
+        "SELECT * FROM VALUES (timestamp_ntz'2019-01-01 08:00:00', 'a', 0.004D, 3, 'L1'), "
+        "(timestamp_ntz'2019-01-01 09:00:00', 'a', 0.002D, 4, 'L2') AS r(at, what, x, n, line)"
+    )
     made = build_all(
         spark,
         Inputs(
@@ -150,6 +154,9 @@ def test_everything_in_order(spark, tmp_path, rows):
             records={entry.name: (fetch, "2023-01-01T00:00:00", "2023-01-31T00:00:00")},
             centroids=spark.createDataFrame([(1, 40.0, -74.0)], "location_id int, lat double, lon double"),
             holidays=spark.sql("SELECT date'2019-01-01' AS day, 'New Year' AS holiday"),
+            air_quality=Readings(readings, "at", "what", {"value": "x"}),
+            subway=Readings(readings, "at", "what", {"entries": "n", "line": "line"}),
+            weather_readings=Readings(readings, "at", None, {"temperature": "x"}),
         ),
     )
     assert made["fact_citibike_trips"].count() == 1 and made["dim_citibike_stations"].count() == 0
@@ -161,4 +168,9 @@ def test_everything_in_order(spark, tmp_path, rows):
     daily = made["agg_modal_daily"].orderBy("day").select(F.date_format("day", "dd"), "taxi_count", "bike_count").collect()
     assert [tuple(r) for r in daily] == [("01", 2, 0), ("02", 0, 1), ("03", 1, 0)]
     assert made["dim_date"].count() == 3
+    assert [float(r["value_sum"]) for r in made["fact_air_quality"].collect()] == [0.006]
+    assert [r["entries"] for r in made["fact_subway_entries"].collect()] == [7]
+    assert rows(made["dim_subway_stations"]) == [("a", "L2")]
+    assert [float(r["temperature_max"]) for r in made["dim_weather"].collect()] == [0.004]
+    assert tuple(made["fact_trips_dropped"].head()) == (3, 1)
     assert made[entry.table].count() == 1

@@ -23,7 +23,7 @@ from tidemark.functions.keys import surrogate_key
 from tidemark.functions.times import slice_number
 from tidemark.operators.checks import key_violations
 from tidemark.operators.dedup import last_per_payload, newest_per_key
-from tidemark.operators.shape import before
+from tidemark.operators.shape import before, with_constants
 from tidemark.plans.bikes import upsert_bikes
 from tidemark.plans.open_data import migrate_payloads
 from tidemark.session import scratch_database, scratch_path, stored
@@ -99,14 +99,11 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def constant_columns_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types as datasets; each record is written once and seen through its view."""
     database = scratch_database(spark, "routing")
-    types = ("click", "error", "purchase", "signup", "view")
+    events = table(spark, sf_dir, "events")
+    types = sorted(r[0] for r in events.select("event_type").distinct().collect())
     roster = [contracts.RecordSet(t, t, "ts", f"socrata_{t}_", ("event_id",)) for t in types]
-    records = table(spark, sf_dir, "events").withColumns(
-        {
-            "_socrata_resource_id": F.col("event_type"),
-            "_socrata_domain": F.lit(contracts.OPEN_DATA_DOMAIN),
-        }
-    )
+    named = events.withColumn("_socrata_resource_id", F.col("event_type"))
+    records = with_constants(named, {"_socrata_domain": contracts.OPEN_DATA_DOMAIN})
     views = route_records(records, database, roster)
     frames = [
         view.groupBy("_socrata_domain").agg(

@@ -27,16 +27,18 @@ from tidemark.session import scratch_database, scratch_path, stored
 from tidemark.sinks.tables import materialize, replace_table
 from tidemark.sources.archives import accepted, rejects, zipped_csv
 from tidemark.sources.files import (
+    csv_inferred,
     csv_text,
     csv_typed,
+    footers,
     head_per_file,
     partitioned_scan,
+    relation,
     struct_from_json_schema,
-    footers,
     tolerant_scan,
     union_files,
 )
-from tidemark.sources.listing import capped_listing, list_files, month_keys, paths_of
+from tidemark.sources.listing import capped_listing, list_files, month_list, paths_of
 from tidemark.sources.paged_json import read_pages, stored_pages
 from tidemark.sources.paths import file_system
 from tidemark.streaming.slices import slice_list, slices_between
@@ -99,6 +101,29 @@ def explicit_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("o_orderdate", second_text("o_orderdate"))
 
 
+def inferred_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as CSV with inferred types; the NA word is NULL."""
+    path = scratch_path(spark, "suppliers-csv")
+    supplier = table(spark, sf_dir, "supplier")
+    name = F.when(F.col("s_suppkey") % 4 == 0, "N/A").otherwise(F.col("s_name"))
+    supplier.select("s_suppkey", name.alias("s_name"), "s_nationkey").write.option("header", "true").csv(path)
+    read = csv_inferred(spark, path)
+    return read.select(
+        F.col("s_suppkey").cast("bigint").alias("s_suppkey"), F.coalesce("s_name", F.lit("missing")).alias("s_name"),
+        F.col("s_nationkey").cast("int").alias("s_nationkey"), F.lit(dict(read.dtypes)["s_suppkey"]).alias("inferred"),
+    )
+
+
+def seed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as a seed: typed CSV, written as a table of a layer and read by its name."""
+    path = scratch_path(spark, "nation-csv")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    nation.write.option("header", "true").csv(path)
+    layer = scratch_database(spark, "seeds")
+    replace_table(csv_typed(spark, path, nation.schema), f"{layer}.nation", guard=True)
+    return relation(spark, "nation", layer)
+
+
 def capped_file_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in two layouts, one without priority, read back as one relation; no cap is set."""
     root = scratch_path(spark, "layouts")
@@ -291,8 +316,8 @@ def month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last"),
     )
     counts = stored(by_month, "months")
-    bounds = counts.agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    months = month_keys(bounds, "first", "last").join(counts.drop("first", "last"), "month_key", "left")
+    bounds = counts.agg(F.min("first"), F.max("last")).head()
+    months = month_list(spark, *(f"{day:%Y-%m}" for day in bounds)).join(counts.drop("first", "last"), "month_key", "left")
     stem, _, tail = contracts.BIKE_ARCHIVE_STEM.partition("{month}")
     return months.select(
         "month_key",
@@ -386,7 +411,8 @@ def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "streams")
     table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(root)
     read = require_rows(partitioned_scan(spark, root, "o_orderstatus=*/*.parquet"))
-    streams = {s: read.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")}
+    found = [r[0] for r in read.select("o_orderstatus").distinct().collect()]
+    streams = {s: read.where(F.col("o_orderstatus") == s) for s in sorted(found)}
     return load_report({**streams, "none": None})
 
 
@@ -410,6 +436,11 @@ QUERIES = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                strftime(o_orderdate, {SECOND}) AS o_orderdate, o_orderpriority FROM orders
     """),
+    "inferred_csv": Query(inferred_csv, """
+        SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'missing' ELSE s_name END AS s_name, s_nationkey,
+               'int' AS inferred FROM supplier
+    """),
+    "seed_table": Query(seed_table, "SELECT n_nationkey, n_name, n_regionkey FROM nation"),
     "capped_file_union": Query(capped_file_union, """
         SELECT o_orderkey, o_orderstatus, o_totalprice,
                CASE WHEN o_orderstatus = 'F' THEN 'none' ELSE o_orderpriority END AS priority
@@ -466,6 +497,6 @@ QUERIES = {
     """),
     "file_report": Query(file_report, """
         SELECT stream, (SELECT count(*) FROM orders WHERE o_orderstatus = stream) AS rows
-        FROM (VALUES ('F'), ('O'), ('P'), ('none')) AS v(stream)
+        FROM (SELECT DISTINCT o_orderstatus AS stream FROM orders UNION ALL SELECT 'none')
     """),
 }

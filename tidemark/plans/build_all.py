@@ -12,9 +12,13 @@ from tidemark.plans.bikes import ingest_bikes
 from tidemark.plans.marts import (
     bike_stations,
     build_marts,
+    dim_subway_stations,
+    dim_weather,
+    fact_air_quality,
     fact_bike_trips,
     fact_complaints,
     fact_event_permits,
+    fact_subway_entries,
     inspection_documents,
 )
 from tidemark.plans.open_data import current_records, load_records
@@ -28,6 +32,20 @@ from tidemark.sources.paged_json import Fetch
 PICKED_UP = "picked_up_at"
 
 
+@dataclass(frozen=True)
+class Readings:
+    """Measurements: their time, what they are of (a parameter or a station), and columns by name.
+
+    For air quality ``columns`` has ``value``; for the subway ``entries`` and the attributes
+    of a station; for weather a measure for each name.
+    """
+
+    rows: DataFrame
+    cursor: str
+    of: str | None
+    columns: dict[str, str]
+
+
 @dataclass(frozen=True)
 class Inputs:
     """Where the sources lie. ``records`` maps a roster name to (fetch, start, end).
@@ -46,6 +64,9 @@ class Inputs:
     centroids: DataFrame | None = None
     weather: DataFrame | None = None
     holidays: DataFrame | None = None
+    air_quality: Readings | None = None
+    subway: Readings | None = None
+    weather_readings: Readings | None = None
 
 
 def all_trips(spark: SparkSession, root: str, streams: tuple[str, ...]) -> DataFrame:
@@ -88,7 +109,16 @@ def build_all(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
                 permits = (others["fact_event_permits"], "start_date_time")
             elif entry.cursor == "inspection_date":
                 made["inspection_documents"] = inspection_documents(current)
+    weather = inputs.weather
+    if air := inputs.air_quality:
+        others["fact_air_quality"] = fact_air_quality(air.rows, air.cursor, air.of, air.columns["value"])
+    if subway := inputs.subway:
+        places = {name: c for name, c in subway.columns.items() if name != "entries"}
+        others["fact_subway_entries"] = fact_subway_entries(subway.rows, subway.cursor, subway.of, subway.columns["entries"])
+        others["dim_subway_stations"] = dim_subway_stations(subway.rows, subway.of, places, subway.cursor)
+    if readings := inputs.weather_readings:
+        weather = dim_weather(readings.rows, readings.cursor, readings.columns)
     marts = build_marts(
-        trips, zones, PICKED_UP, modes, inputs.weather, inputs.holidays, permits, others
+        trips, zones, PICKED_UP, modes, weather, inputs.holidays, permits, others
     )
     return made | marts
