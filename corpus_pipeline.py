@@ -40,8 +40,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed in sequences."""
-    return pack(docs)
+    """Pieces of all documents, placed in sequences.
+
+    Workers live on through the stages, so each keeps fewer words at hand than it might alone.
+    """
+    return pack(docs, remembered=300_000)
 
 
 STAGES = [

@@ -40,7 +40,7 @@ COUNTERS = 1 << 20
 FILTER_BITS = 1 << 26
 #: Largest sizes of a light set to choose from.
 BOUNDARIES = (0, 8, 12, 16, 24, 32, 48, 64, 96, 128)
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

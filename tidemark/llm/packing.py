@@ -58,11 +58,12 @@ class Encoder:
     library whole, and so do texts that may spell a special token.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.model = self.tokenizer.model
@@ -115,16 +116,16 @@ class Encoder:
         for chunk in fresh:
             if len(chunk) > REMEMBERED_CHARS:
                 del self.known[chunk]
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known.clear()
-        if len(self.words) > REMEMBERED:
+        if len(self.words) > self.remembered:
             self.words.clear()
         return out
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+@lru_cache(maxsize=1)
+def _encoder(path: str, remembered: int) -> Encoder:
+    return Encoder(path, remembered)
 
 
 class Pattern(NamedTuple):
@@ -199,11 +200,13 @@ def places(patterns: list[Pattern], capacity: int = CAPACITY) -> dict[str, np.nd
     return {"key": length << 48 | rank, "rank": rank, "sequence": sequence, "offset": offset, "times": times}
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids: bool) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids: bool, remembered: int = REMEMBERED
+) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]) of every document's pieces."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, remembered)
         end = np.array([end_id], dtype="<u4").tobytes()
         for doc_ids, texts in groups_of_texts(batches):
             rows, blocks = [], []
@@ -264,6 +267,7 @@ def pack(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]), a row for each piece.
 
@@ -271,12 +275,13 @@ def pack(
     documents are cut every ``capacity`` ids. Every id lies in exactly one piece, and the
     pieces of a sequence follow one another from offset 0 without gaps. Null and repeated
     doc_ids are packed like any other row; other columns are ignored. No documents give no
-    rows. ``with_ids`` adds the ids of each piece.
+    rows. ``with_ids`` adds the ids of each piece. ``remembered`` bounds the chunks and words
+    whose ids a worker keeps at hand (about 200 bytes each), nothing else.
 
     The driver sees the histogram and its patterns: at most ``capacity`` lengths, and no more
     patterns than a small multiple of that.
     """
-    found = stored(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
+    found = stored(pieces(docs, tokenizer, capacity, end_id, with_ids, remembered), "pieces")
     histogram = {r["length"]: r["count"] for r in found.groupBy("length").count().collect()}
     table = places(shortest_pack_first(histogram, capacity), capacity)
     placed = ranked(found).withColumn("_place", _placed(table)(F.col("length"), F.col("_rank")))
