@@ -19,7 +19,6 @@ from array import array
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
