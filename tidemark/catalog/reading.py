@@ -25,7 +25,7 @@ from tidemark.operators.shape import bike_layout, bikes_to_old_layout, parse_rec
 from tidemark.plans.zones import stage_zones, zone_dimension
 from tidemark.session import scratch_database, scratch_path, stored
 from tidemark.sinks.tables import materialize, replace_table
-from tidemark.sources.archives import accepted, rejects, zipped_csv
+from tidemark.sources.archives import accepted, zipped_csv
 from tidemark.sources.files import (
     csv_inferred,
     csv_text,
