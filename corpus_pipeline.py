@@ -30,8 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return one_of_each(docs)
+    """One document of each group of near copies: 0.8 of their five-word shingles in common."""
+    return one_of_each(docs, n=5, share=(80, 100))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -184,6 +184,36 @@ def test_threshold_is_met_exactly(docs):
     assert brute_join(rows)[1][2] == 1
 
 
+def brute_components(texts, n, needed, of):
+    sets = [shingles(t, n) for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if of * len(a & b) >= needed * len(a | b) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("boundary", [None, 0, 128])
+@pytest.mark.parametrize("share", [(80, 100), (60, 100)])
+def test_other_thresholds_against_brute_force(docs, monkeypatch, boundary, share):
+    if boundary is not None:
+        monkeypatch.setattr(ngrams, "BOUNDARIES", (boundary,))
+    rng = random.Random(11)
+    texts = [t for length in (7, 8, 9, 12, 20, 45, 90, 150) for t in near_copies(rng, 15, length, 4)]
+    # Sets of four and of five shingles, 4/5 in common.
+    texts += ["p q r s t u v w", "p q r s t u v w x", "only four short words"]
+    got = {r.doc_id: r.component_id for r in ngram_join(docs(list(enumerate(texts))), 5, share).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(texts, 5, *share)
+    assert got[len(texts) - 2] == got[len(texts) - 3]
+
+
+def test_share_must_make_links_meet_twice(docs):
+    with pytest.raises(ValueError):
+        ngram_join(docs([(1, "a b")]), share=(50, 100))
+
+
 def test_chains_are_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 99), (99, 98), (7, 200)], "a long, b long")
     got = dict((r.node, r.root) for r in components(links).collect())

@@ -83,3 +83,10 @@ def test_stages(spark, tmp_path):
             assert sorted(map(tuple, again.select(columns).collect()), key=repr) == sorted(map(tuple, after.select(columns).collect()), key=repr)
         if name != "packing":
             docs, before = after, got
+
+
+def test_near_copies_between_the_thresholds_go(spark, docs):
+    a = [f"w{i}" for i in range(100)]
+    b = [f"x{i}" if i in (30, 60) else w for i, w in enumerate(a)]  # 86/106 on five words, 89/105 on four
+    left = corpus_pipeline.near_duplicates(spark, docs([(1, " ".join(a)), (2, " ".join(b)), (3, "other words")]), "")
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3]

@@ -32,8 +32,21 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import groups_of_texts, place_counts, stored, summed
 
 WORDS = 4
-#: The threshold as a ratio of integers.
-NEEDED, OF = 85, 100
+
+
+class Share(NamedTuple):
+    """A Jaccard threshold as a ratio of integers, above one half: linked sets then share two elements."""
+
+    needed: int
+    of: int
+
+    @property
+    def smallest(self) -> int:
+        """Elements of the smallest set that links to another than its copies: one that is larger by one holds it."""
+        return -(-self.needed // (self.of - self.needed)) if self.needed < self.of else 1 << 62
+
+
+SHARE = Share(85, 100)
 #: Counters of the sketch that orders elements, and bits of the filter that picks texts to read again.
 #: Both are of fixed size and decide only what is tried first and what is read, never a result.
 COUNTERS = 1 << 20
@@ -73,18 +86,18 @@ def shingles(text: str, n: int = WORDS) -> np.ndarray:
     return np.unique(grams * _MULTIPLIER)
 
 
-def _smallest_partner_overlap(n: Column) -> Column:
+def _smallest_partner_overlap(n: Column, share: Share) -> Column:
     """Elements that a set of ``n`` shares at least with the smallest set it can link to."""
-    return F.ceil(n * NEEDED / OF)
+    return F.ceil(n * share.needed / share.of)
 
 
-def _equal_partner_overlap(n: Column) -> Column:
-    return F.ceil(n * (2 * NEEDED) / (OF + NEEDED))
+def _equal_partner_overlap(n: Column, share: Share) -> Column:
+    return F.ceil(n * (2 * share.needed) / (share.of + share.needed))
 
 
-def _prefix(n: int) -> int:
+def _prefix(n: int, share: Share = SHARE) -> int:
     """Elements kept of a set: the longest prefix that any pair needs, and one more for subsets."""
-    return max(n - -(-n * NEEDED // OF) + 2, 0)
+    return max(n - -(-n * share.needed // share.of) + 2, 0)
 
 
 # --- what all texts have in common -----------------------------------------------------
@@ -121,7 +134,7 @@ def _set_id(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
 
 
-def _sets(spark: SparkSession, texts: DataFrame, n: int) -> DataFrame:
+def _sets(spark: SparkSession, texts: DataFrame, n: int, share: Share) -> DataFrame:
     """(key, n, sid, first): size, identity and first elements of each text's set."""
     order = spark.sparkContext.broadcast(_sketch(texts, n).astype(np.uint32))
     shift = np.uint64(64 - COUNTERS.bit_length() + 1)
@@ -132,7 +145,7 @@ def _sets(spark: SparkSession, texts: DataFrame, n: int) -> DataFrame:
             sizes, ids, first = [], [], []
             for text in group:
                 elements = shingles(text, n)
-                rank = np.lexsort((elements, common[(elements >> shift).astype(np.int64)]))[: _prefix(len(elements))]
+                rank = np.lexsort((elements, common[(elements >> shift).astype(np.int64)]))[: _prefix(len(elements), share)]
                 sizes.append(len(elements))
                 ids.append(_set_id(elements))
                 first.append(elements[rank].view(np.int64))
@@ -185,16 +198,16 @@ class _Entry(NamedTuple):
     pos: Column
 
 
-def _meets(small: _Entry, large: _Entry, boundary: int) -> Column:
+def _meets(small: _Entry, large: _Entry, boundary: int, share: Share) -> Column:
     """Whether a common list entry of two sets, the smaller first, can belong to a link."""
     both = small.n + large.n
-    needed = F.ceil(both * NEEDED / (OF + NEEDED))
+    needed = F.ceil(both * share.needed / (share.of + share.needed))
     rest = F.least(small.n - small.pos, large.n - large.pos)
-    heavy = (small.n > boundary) & (small.pos <= small.n - _equal_partner_overlap(small.n)) & (rest >= needed)
-    return (small.n * OF >= large.n * NEEDED) & F.when(small.pos < 0, small.n <= boundary).otherwise(heavy)
+    heavy = (small.n > boundary) & (small.pos <= small.n - _equal_partner_overlap(small.n, share)) & (rest >= needed)
+    return (small.n * share.of >= large.n * share.needed) & F.when(small.pos < 0, small.n <= boundary).otherwise(heavy)
 
 
-def _boundary(sets: DataFrame) -> int:
+def _boundary(sets: DataFrame, share: Share) -> int:
     """The largest size of a light set that costs the fewest entries, made and scanned.
 
     Every entry is made once. One that shares its list is scanned twice more, for the star
@@ -202,7 +215,7 @@ def _boundary(sets: DataFrame) -> int:
     its pairs are not tried while they hang together. The share of such entries is measured
     on the elements whose hash falls into one of 64 parts.
     """
-    sized = sets.where("n > 5")
+    sized = sets.where(F.col("n") >= share.smallest)
     lists = (
         sized.select(F.explode("first").alias("e")).where(F.pmod("e", F.lit(64)) == 0).groupBy("e").count()
         .agg((F.sum(F.when(F.col("count") > 1, F.col("count")).otherwise(0)) / F.sum("count")).alias("shared"))
@@ -211,20 +224,20 @@ def _boundary(sets: DataFrame) -> int:
     p = F.size("first").cast("double")
     sums = []
     for b in BOUNDARIES:
-        light = F.when(F.col("n") * NEEDED <= b * OF, p * (p - 1) / 2).otherwise(0.0)
+        light = F.when(F.col("n") * share.needed <= b * share.of, p * (p - 1) / 2).otherwise(0.0)
         heavy = F.when(F.col("n") > b, (p - 1) * (1 + scan)).otherwise(0.0)
         sums.append(F.sum(light + heavy).alias(f"b{b}"))
     cost = sized.agg(*sums).collect()[0]
     return min(BOUNDARIES, key=lambda b: (cost[f"b{b}"] or 0.0, b))
 
 
-def _entries(sets: DataFrame, boundary: int) -> DataFrame:
+def _entries(sets: DataFrame, boundary: int, share: Share) -> DataFrame:
     """(list, sid, n, pos): entries of the heavy lists, and subsets of light sets with pos -1.
 
-    Sets of up to five elements have no partner but their copies.
+    Sets below the smallest size that can link have no partner but their copies.
     """
-    sized = sets.where("n > 5")
-    longest = (F.col("n") - _smallest_partner_overlap(F.col("n")) + 1).cast("int")
+    sized = sets.where(F.col("n") >= share.smallest)
+    longest = (F.col("n") - _smallest_partner_overlap(F.col("n"), share) + 1).cast("int")
     heavy = sized.where(F.col("n") > boundary).select(
         "sid", "n", F.posexplode(F.slice("first", F.lit(1), longest)).alias("pos", "list")
     )
@@ -234,14 +247,14 @@ def _entries(sets: DataFrame, boundary: int) -> DataFrame:
             lambda a, at: F.transform(F.slice("first", at + 2, F.size("first")), lambda b: F.xxhash64(a, b)),
         )
     )
-    light = sized.where(F.col("n") * NEEDED <= boundary * OF).select(
+    light = sized.where(F.col("n") * share.needed <= boundary * share.of).select(
         "sid", "n", F.lit(-1).alias("pos"), F.explode(pairs).alias("list")
     )
     columns = ["list", "sid", "n", "pos"]
     return heavy.select(columns).unionByName(light.select(columns)) if boundary else heavy.select(columns)
 
 
-def _pair(a: str, b: str, boundary: int) -> tuple[Column, list[Column]]:
+def _pair(a: str, b: str, boundary: int, share: Share) -> tuple[Column, list[Column]]:
     """The condition, and the smaller and the larger set, of entries with these prefixes."""
     a_first = (F.col(f"{a}n") < F.col(f"{b}n")) | ((F.col(f"{a}n") == F.col(f"{b}n")) & (F.col(f"{a}sid") < F.col(f"{b}sid")))
 
@@ -251,24 +264,24 @@ def _pair(a: str, b: str, boundary: int) -> tuple[Column, list[Column]]:
 
     small, large = _Entry(pick("n", True), pick("pos", True)), _Entry(pick("n", False), pick("pos", False))
     columns = [pick("sid", True).alias("a"), small.n.alias("a_n"), pick("sid", False).alias("b"), large.n.alias("b_n")]
-    return _meets(small, large, boundary), columns
+    return _meets(small, large, boundary, share), columns
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, share: Share) -> DataFrame:
     """(a, b) of the pairs whose whole sets reach the threshold."""
     left = sets.select(F.col("sid").alias("a"), F.col("n").alias("a_n"), F.col("elements").alias("a_e"))
     right = sets.select(F.col("sid").alias("b"), F.col("n").alias("b_n"), F.col("elements").alias("b_e"))
     common = F.size(F.array_intersect("a_e", "b_e"))
-    reached = common * OF >= (F.col("a_n") + F.col("b_n") - common) * NEEDED
+    reached = common * share.of >= (F.col("a_n") + F.col("b_n") - common) * share.needed
     return pairs.join(left, ["a", "a_n"]).join(right, ["b", "b_n"]).where(reached).select("a", "b")
 
 
-def _decided(pairs: DataFrame, sets: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+def _decided(pairs: DataFrame, sets: DataFrame, texts: DataFrame, n: int, share: Share) -> DataFrame:
     """The links among candidate pairs. The texts of their sets are read once more, others are not."""
     ids = pairs.select(F.col("a").alias("sid"), F.col("a_n").alias("n")).unionByName(pairs.select(F.col("b").alias("sid"), F.col("b_n").alias("n")))
     keys = sets.groupBy("sid", "n").agg(F.min("key").alias("key")).join(ids.distinct(), ["sid", "n"], "left_semi").select("key")
     elements = stored(_elements(pairs.sparkSession, texts, _filter(keys), n), "elements")
-    return stored(_links(pairs, elements), "links")
+    return stored(_links(pairs, elements, share), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -298,12 +311,12 @@ def components(links: DataFrame) -> DataFrame:
         )
 
 
-def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
+def ngram_join(docs: DataFrame, n: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
     """(doc_id, n_shingles, component_id, text_hash, kept), one row for each row of ``docs``.
 
     A document's set has the distinct ``n``-word shingles of its lower-cased (A-Z) words,
     which ASCII white space parts; fewer words are one shingle. Two documents link when
-    their Jaccard similarity is at least 0.85; ``component_id`` is the smallest doc_id that
+    their Jaccard similarity is at least ``share``, 0.85 unless given; ``component_id`` is the smallest doc_id that
     links reach. Null and empty texts, and texts of white space, have the empty set, which
     links with nothing, so their component is their own id. Copies and repeated rows share
     a set. A null doc_id is never the smallest; a component of null ids has a null id.
@@ -311,11 +324,14 @@ def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
 
     Sets are told apart by 64 bits and their size, elements by 64 bits.
     """
+    share = Share(*share)
+    if not share.of < 2 * share.needed <= 2 * share.of:
+        raise ValueError("the share must be above one half, and at most one")
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
-    sets = stored(_sets(spark, texts, n), "sets")
-    boundary = _boundary(sets)
-    entries = _entries(sets, boundary)
+    sets = stored(_sets(spark, texts, n, share), "sets")
+    boundary = _boundary(sets, share)
+    entries = _entries(sets, boundary, share)
 
     # Lists that more than one set is in. The member in which the element lies earliest stands for the list.
     lists = (
@@ -326,10 +342,10 @@ def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
     centers = met.groupBy("list").agg(
         F.min_by("sid", rank).alias("c_sid"), F.min_by("n", rank).alias("c_n"), F.min("pos").alias("c_pos")
     )
-    possible, columns = _pair("", "c_", boundary)
+    possible, columns = _pair("", "c_", boundary, share)
     stars = met.join(centers, "list").where((F.col("sid") != F.col("c_sid")) & possible).select(*columns).distinct()
     stars = stored(stars, "stars")
-    first = _decided(stars, sets, texts, n)
+    first = _decided(stars, sets, texts, n, share)
     roots = components(first)
 
     # Lists whose members do not hang together yet.
@@ -339,11 +355,11 @@ def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
     rest = stored(rooted.join(apart, "list", "left_semi"), "rest")
     left = rest.select("list", *(F.col(c).alias(f"l_{c}") for c in ("sid", "n", "pos", "root")))
     right = rest.select("list", *(F.col(c).alias(f"r_{c}") for c in ("sid", "n", "pos", "root")))
-    possible, columns = _pair("l_", "r_", boundary)
+    possible, columns = _pair("l_", "r_", boundary, share)
     once = (F.col("l_root") < F.col("r_root")) & (F.col("l_sid") != F.col("r_sid"))
     tried = left.join(right, (left["list"] == right["list"]) & once & possible).select(*columns).distinct()
     tried = stored(tried.join(stars, ["a", "a_n", "b", "b_n"], "left_anti"), "tried")
-    more = _decided(tried, sets, texts, n)
+    more = _decided(tried, sets, texts, n, share)
     if not more.isEmpty():
         roots = components(first.unionByName(more))
 
@@ -365,13 +381,13 @@ def ngram_join(docs: DataFrame, n: int = WORDS) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, n: int = WORDS) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay when each component keeps one.
 
     It keeps the row with the smallest id (nulls last; of one id, the smallest hash of id
     and text). Of rows that repeat id and text one stays. Texts without words all stay.
     """
-    found = stored(ngram_join(docs, n), "components")
+    found = stored(ngram_join(docs, n, share), "components")
     gone = found.where(~F.col("kept")).select(F.col("text_hash").alias("_gone")).distinct()
     key = F.xxhash64(F.col("row.doc_id").cast("long"), F.col("row.text"))
     left = docs.select(F.struct("*").alias("row")).withColumn("_key", key)
