@@ -66,6 +66,18 @@ def test_contexts_discover_identifiers(docs):
     assert not got[51].added and all(not got[i].added for i, _ in known)
 
 
+def test_seeds_of_any_form_support_a_context(docs):
+    emails = [f"you can reach {n}@mail.org." for n in ("anna", "ben", "eve", "carl.19", "dora")]
+    cards = ["4111 1111 1111 1111", "5500 0055 5555 5559", "4012 8888 8888 1881", "3782 822463 10005", "6011 1111 1111 1117"]
+    phones = [f"please call now {p}." for p in ("+1 (017) 555-7713", "10.20.30.40")]
+    known = emails + [f"paid with card {c} then" for c in cards] + phones
+    unseen = ["you can reach user_4711_home. Or not", "paid with card 9999-8888x.", "please call now 20145"]
+    rows = list(enumerate(known + unseen))
+    got = {r.doc_id: r for r in personal_data(docs(rows)).collect()}
+    added = [[t[s.start : s.end] for s in got[i].added] for i, t in rows]
+    assert added == [[] for _ in known] + [["user_4711_home"], ["9999-8888x"], []]
+
+
 def test_no_personal_data(docs):
     assert personal_data(docs([])).count() == 0
     assert [(r.base, r.added) for r in personal_data(docs([(1, "nothing here"), (None, None)])).collect()] == [([], [])] * 2

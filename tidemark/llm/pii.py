@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and identifiers learned from their context.
 
-The fixed patterns find seeds. Words before a seed make a lexical pattern ("call me at");
-other strings with digits that follow the same words are its instances. Patterns and
+The fixed patterns find seeds. Words before a seed, whatever its kind and form, make a lexical
+pattern ("me at"); other strings with digits that follow the same words are its instances,
+where they overlap no seed. Patterns and
 instances form a graph over the whole corpus, which is scored in rounds: a pattern is as
 good as the instances it picks, an instance as good as its best pattern. Instances of
 patterns with high confidence are new identifiers.
@@ -19,7 +20,7 @@ ROUNDS = 3
 #: A pattern needs this many different instances, and this share of good ones.
 SUPPORT = 5
 CONFIDENCE = 0.8
-#: Words of a pattern, and the fewest digits of an instance.
+#: Words of a pattern, and the fewest digits of an instance that is no seed.
 CONTEXT_WORDS = 2
 DIGITS = 4
 
@@ -68,7 +69,7 @@ def _matched(text: Column, kind: int, pattern: str, hint: Column) -> Column:
     gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def part(gap: Column, value: Column) -> Column:
-        before = F.substring(gap, -_BEFORE_CHARS, _BEFORE_CHARS) if kind == len(_PATTERNS) else F.lit("")
+        before = F.substring(gap, -_BEFORE_CHARS, _BEFORE_CHARS)
         return F.struct(F.lit(kind).alias("kind"), F.length(gap).alias("gap"), value.alias("value"), before.alias("before"))
 
     # One gap more than values: the rest of the text, which zip_with pairs with null.
@@ -99,12 +100,29 @@ def found_matches(docs: DataFrame) -> DataFrame:
     )
 
 
-def contexts(candidates: DataFrame) -> DataFrame:
-    """Candidates with enough digits, and ``pattern``: the words before them in lower case, null where there are none."""
+def apart(found: DataFrame) -> DataFrame:
+    """The candidates among matches, without dots at their end, that overlap no match of a fixed pattern."""
+    dots = F.length("value") - F.length(F.regexp_replace("value", r"\.+$", ""))
+    candidate = F.col("kind") == len(_PATTERNS)
+    trimmed = found.withColumn("_dots", F.when(candidate, dots).otherwise(0)).select(
+        "doc_id", "text_hash", "kind", "start", (F.col("end") - F.col("_dots")).alias("end"),
+        F.expr("substring(value, 1, length(value) - _dots)").alias("value"), "before",
+    )
+    of_text = Window.partitionBy("doc_id", "text_hash")
+    # Spans that begin at the same place are peers, so each sees the others.
+    up_to = of_text.orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    on_from = of_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = F.max(F.when(~candidate, F.col("end"))).over(up_to)
+    next_start = F.min(F.when(~candidate, F.col("start"))).over(on_from)
+    free = (F.coalesce("_reached", F.lit(-1)) <= F.col("start")) & (F.coalesce("_next", F.col("end")) >= F.col("end"))
+    return trimmed.withColumn("_reached", reached).withColumn("_next", next_start).where(candidate & free).drop("_reached", "_next")
+
+
+def contexts(matches: DataFrame) -> DataFrame:
+    """Matches that have words before them, as ``pattern`` in lower case."""
     words = F.regexp_extract("before", _BEFORE, 0)
     pattern = F.trim(F.lower(F.regexp_replace(words, r"[\x20:=#.,]+", " ")))
-    enough = F.length(F.regexp_replace("value", "[^0-9]", "")) >= DIGITS
-    return candidates.where(enough).withColumn("pattern", F.nullif(pattern, F.lit(""))).where("pattern IS NOT NULL")
+    return matches.withColumn("pattern", F.nullif(pattern, F.lit(""))).where("pattern IS NOT NULL")
 
 
 def confident_patterns(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -135,16 +153,17 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     ``base`` and ``added`` are arrays of (kind, start, end) in code points, end exclusive, in
     order; ``kind`` is an index into ``KINDS``. ``base`` has the matches of the fixed patterns
     that pass the checks of their kind, ``added`` the instances of confident contexts that
-    are no seed. A null or empty text has none; null and repeated ids stay as they are, and
+    overlap none of them. A null or empty text has none; null and repeated ids stay as they are, and
     equal rows are treated alike. Other columns are ignored. An empty table gives no rows.
     """
     found = stored(found_matches(docs).where(_stands(F.col("kind"), F.col("value"))), "pii-matches")
     base = found.where(F.col("kind") < len(_PATTERNS))
-    candidates = contexts(found.where(F.col("kind") == len(_PATTERNS)))
+    enough = F.length(F.regexp_replace("value", "[^0-9]", "")) >= DIGITS
+    candidates = stored(contexts(apart(found).where(enough)), "pii-candidates")
     seeds = base.select("value").distinct()
-    edges = stored(candidates.select("pattern", "value").distinct(), "pii-edges")
-    patterns = confident_patterns(edges, seeds, rounds)
-    added = candidates.join(patterns.select("pattern"), "pattern", "left_semi").join(seeds, "value", "left_anti")
+    edges = contexts(base).select("pattern", "value").unionByName(candidates.select("pattern", "value"))
+    patterns = confident_patterns(stored(edges.distinct(), "pii-edges"), seeds, rounds)
+    added = candidates.join(patterns.select("pattern"), "pattern", "left_semi")
 
     columns = ["doc_id", "text_hash", "kind", "start", "end"]
     spans = base.select(columns).unionByName(added.select(columns))
