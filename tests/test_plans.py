@@ -86,6 +86,14 @@ def test_bikes(spark, tmp_path, rows):
     assert spark.table("raw.citibike_trips").count() == 3, "an empty load leaves the table"
 
 
+def test_bikes_of_all_months(spark, tmp_path):
+    for name in ("201901-citibike-tripdata.csv.zip", "201904-citibike-tripdata.zip", "202107-citibike-tripdata.zip"):
+        make_zip(tmp_path / f"JC-{name}", [("a.csv", f"started_at,ride_id\n2019-01-02 08:00:00,{name}\n")])
+    assert ingest_bikes(spark, str(tmp_path)).table.count() == 3
+    assert ingest_bikes(spark, str(tmp_path), months=2).table.count() == 1
+    assert ingest_bikes(spark, str(tmp_path), "2019-04", "2021-07").table.count() == 2
+
+
 def test_open_data(spark):
     entry = contracts.RECORD_SETS[0]
 

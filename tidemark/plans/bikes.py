@@ -12,7 +12,7 @@ from tidemark.operators.checks import blank_counts, require_rows, sample_rows
 from tidemark.session import stored
 from tidemark.sinks.tables import ensure_layers, replace_table
 from tidemark.sources.archives import accepted, bike_archive_rows, rejects
-from tidemark.sources.listing import list_files, month_list, pick_archives
+from tidemark.sources.listing import list_files, listed_months, month_list, pick_archives
 from tidemark.streaming.increments import load_increment
 from tidemark.streaming.watermarks import create_store
 
@@ -23,12 +23,23 @@ def bike_source(rows: DataFrame) -> DataFrame:
     return named.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in ("started_at", "ended_at")})
 
 
+def archives_of(
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, months: int | None = None
+) -> DataFrame:
+    """The archives of a range, or of the first ``months`` months; of all months when neither is given."""
+    listing = list_files(spark, root, "*.zip")
+    if start is None and end is None and months is None:
+        return pick_archives(listing, listed_months(listing))
+    wanted = month_list(spark, start, end) if months is None else month_list(spark, start, end, months)
+    return pick_archives(listing, wanted)
+
+
 def load_bikes(
-    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, months: int = 2
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, months: int | None = None
 ) -> DataFrame:
-    """Incremental load: archives of the given months, lookback, upsert by the trip's key."""
+    """Incremental load: archives of the given months (all unless given), lookback, upsert by the trip's key."""
     ensure_layers(spark)
-    archives = pick_archives(list_files(spark, root, "*.zip"), month_list(spark, start, end, months))
+    archives = archives_of(spark, root, start, end, months)
     return upsert_bikes(accepted(bike_archive_rows(archives)), f"raw.{contracts.BIKE_TABLE}_current", create_store(spark))
 
 
@@ -44,15 +55,15 @@ class BikeLoad(NamedTuple):
 
 
 def ingest_bikes(
-    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, months: int = 2
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, months: int | None = None
 ) -> BikeLoad:
-    """Replace the bike table by the archives of the given months.
+    """Replace the bike table by the archives of the given months, of all unless a range or a count is given.
 
     The unpacked rows are written once and reused, because unpacking is the dear part.
     Without any row the old table stays.
     """
     ensure_layers(spark)
-    archives = pick_archives(list_files(spark, root, "*.zip"), month_list(spark, start, end, months))
+    archives = archives_of(spark, root, start, end, months)
     unpacked = stored(bike_archive_rows(archives), "bikes", ("_layout",))
     rows = require_rows(accepted(unpacked).select(*[f"`{c}`" for c in contracts.BIKE_OLD_COLUMNS]))
     table = replace_table(rows, f"raw.{contracts.BIKE_TABLE}")

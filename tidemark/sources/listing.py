@@ -98,6 +98,15 @@ def month_list(
     return month_keys(bounds, "first", "last")
 
 
+def listed_months(listing: DataFrame) -> DataFrame:
+    """``month_key`` (yyyyMM) of every archive in a listing, whatever its ending."""
+    stem, _, tail = contracts.BIKE_ARCHIVE_STEM.partition("{month}")
+    endings = "|".join(re.escape(e) for e in contracts.BIKE_ARCHIVE_ENDINGS)
+    pattern = f"^{re.escape(stem)}([0-9]{{6}}){re.escape(tail)}(?:{endings})$"
+    key = F.regexp_extract("file_name", pattern, 1)
+    return listing.select(key.alias("month_key")).where("month_key <> ''").distinct()
+
+
 def month_keys(bounds: DataFrame, first: str, last: str) -> DataFrame:
     """All months between two date columns, one row each."""
     days = months_between(F.trunc(first, "month"), F.trunc(last, "month"))
