@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated passages; a document of which nothing is left goes."""
-    left = dedup_lines(docs).where((F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0))
+    """Texts without repeated passages of three sentences; a document of which nothing is left goes."""
+    left = dedup_lines(docs, sentences=True).where((F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0))
     columns = [F.col(f"row.{c}").alias(c) for c in docs.columns if c not in ("text", "n_chars")]
     return left.select(*columns, "text", F.length("text").cast("long").alias("n_chars")).select(*docs.columns)
 

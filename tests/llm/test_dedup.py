@@ -116,6 +116,20 @@ def test_repeated_rows_are_one_document(docs):
     assert ordered((r.row.doc_id, r.text) for r in got) == [(1, "a\nb\nc"), (1, "a\nb\nc"), (2, "d")]
 
 
+def test_passages_inside_lines(docs):
+    passage = "It was late. Was it? Nobody knew!  All went home."
+    rows = [
+        (1, f"First of all. {passage} Then came rain."),
+        (2, f"Another start. {passage}"),
+        (3, f"One line.\n{passage}\nAnd more. {passage} End\n"),
+        (4, "Pi is 3.14 or so. Not at 3.15. " * 2 + "Was it? Nobody knew!"),
+    ]
+    got = {r.row.doc_id: (r.text, r.n_lines, r.n_removed) for r in dedup_lines(docs(rows), sentences=True).collect()}
+    assert got == {
+        1: (rows[0][1], 6, 0), 2: ("Another start. ", 5, 4), 3: ("One line.\nAnd more. End\n", 12, 8), 4: (rows[3][1], 6, 0),
+    }
+
+
 def test_lines_of_no_documents(docs):
     assert dedup_lines(docs([])).count() == 0
 

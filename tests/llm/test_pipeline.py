@@ -85,6 +85,13 @@ def test_stages(spark, tmp_path):
             docs, before = after, got
 
 
+def test_passages_inside_one_line_go(spark, docs):
+    passage = "The cat sat down. Then it slept. Nobody looked."
+    rows = [(1, f"Early on. {passage}", 0), (2, f"Later on. {passage} It woke.", 0)]
+    left = corpus_pipeline.line_dedup(spark, docs(rows, "doc_id long, text string, n_chars long"), "")
+    assert sorted(map(tuple, left.collect())) == [(1, rows[0][1], 57), (2, "Later on. It woke.", 18)]
+
+
 def test_near_copies_between_the_thresholds_go(spark, docs):
     a = [f"w{i}" for i in range(100)]
     b = [f"x{i}" if i in (30, 60) else w for i, w in enumerate(a)]  # 86/106 on five words, 89/105 on four

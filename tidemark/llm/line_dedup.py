@@ -2,7 +2,8 @@
 
 Every three consecutive lines of a text are one window. A window that occurs more than
 once in the corpus keeps its first place; at the others its lines are covered, and the
-covered lines of a text are removed together.
+covered lines of a text are removed together. Lines may be cut at the ends of sentences first,
+so that passages inside long lines, and in texts of one or two lines, are found as well.
 """
 
 from __future__ import annotations
@@ -11,12 +12,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LINES = 3
+#: Between the sentences of a line.
+_SENTENCE_END = r"(?:(?<=[.!?][\x20\t])|(?<=[\u3002\uFF01\uFF1F]))(?![\x20\t]*+\z)"
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _pieces(text: Column, sentences: bool) -> Column:
+    """(line, text) of each line, or of each sentence with the space behind it."""
+
+    def of_line(line: Column, at: Column) -> Column:
+        cut = F.split(line, _SENTENCE_END, -1) if sentences else F.array(line)
+        return F.transform(cut, lambda piece: F.struct(at.alias("line"), piece.alias("text")))
+
+    return F.flatten(F.transform(_lines(text), of_line))
+
+
+def _compared(text: Column, sentences: bool) -> Column:
+    """The lines or sentences as windows compare them; space around a sentence does not matter."""
+    if not sentences:
+        return _lines(text)
+    return F.transform(_pieces(text, True), lambda piece: F.regexp_replace(piece["text"], r"^[\x20\t]+|[\x20\t]+\z", ""))
+
+
+def _joined(pieces: Column) -> Column:
+    """The text of pieces, with a line feed where a piece is of another line than the one before."""
+
+    def part(piece: Column, at: Column) -> Column:
+        new_line = (at > 0) & (F.get(pieces, at - 1)["line"] != piece["line"])
+        return F.concat(F.when(new_line, F.lit("\n")).otherwise(F.lit("")), piece["text"])
+
+    return F.array_join(F.transform(pieces, part), "")
+
+
 def _windows(lines: Column, size: int) -> Column:
     """(pos, h1, h2) of each window with a line that is not blank; two hashes, 128 bits."""
 
@@ -34,12 +64,12 @@ def _windows(lines: Column, size: int) -> Column:
     return F.flatten(F.transform(F.array(lines), all_windows))
 
 
-def repeated_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
+def repeated_lines(docs: DataFrame, size: int = LINES, sentences: bool = False) -> DataFrame:
     """(doc_id, text_hash, starts): the windows of each document that occur earlier in the corpus."""
     keyed = docs.where(F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     )
-    windows = keyed.select("doc_id", "text_hash", F.inline(_windows(_lines(F.col("text")), size)))
+    windows = keyed.select("doc_id", "text_hash", F.inline(_windows(_compared(F.col("text"), sentences), size)))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "pos")
     # A common window is counted in each task before the shuffle.
     repeats = (
@@ -52,7 +82,7 @@ def repeated_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("starts"))
 
 
-def dedup_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, size: int = LINES, sentences: bool = False) -> DataFrame:
     """The rows of ``docs`` as ``row``, with the text left, ``n_lines`` and ``n_removed``.
 
     Columns: ``row`` (struct of all input columns, so that no name can clash), ``text``,
@@ -63,8 +93,12 @@ def dedup_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
     hash of the text, then the smallest position. Windows of blank lines only are left
     alone, and so are texts of fewer than ``size`` lines, null and empty texts. Rows that
     repeat both id and text count as one document and are treated alike.
+
+    With ``sentences``, lines are cut behind every full stop, question or exclamation mark that
+    a space follows, and all of the above, the counts too, is of these pieces. What stays of a
+    line is joined as it was; a line of which nothing stays goes with its line feed.
     """
-    repeats = repeated_lines(docs, size).select(
+    repeats = repeated_lines(docs, size, sentences).select(
         F.col("doc_id").alias("_key"), F.col("text_hash").alias("_hash"), F.col("starts").alias("_starts")
     )
     rows = docs.select(F.struct("*").alias("row"))
@@ -80,9 +114,10 @@ def dedup_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
             F.flatten(F.transform(F.col("_starts"), lambda at: F.transform(F.lit(list(range(size))), lambda k: at + k)))
         )
         kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), covered), lambda at: F.get(ls, at))
-        return F.struct(F.array_join(kept, "\n").alias("text"), F.size(kept).alias("n"))
+        # Bound to a variable, so that the pieces are picked once and not once for each of them.
+        return F.transform(F.array(kept), lambda k: F.struct(_joined(k).alias("text"), F.size(k).alias("n")))[0]
 
-    lines = _lines(text)
+    lines = _pieces(text, sentences)
     n = F.coalesce(F.size(lines), F.lit(0))
     out = F.when(F.col("_starts").isNotNull(), F.transform(F.array(lines), left)[0])
     return joined.select("row", out.alias("_left"), n.cast("long").alias("n_lines")).select(
