@@ -36,7 +36,7 @@ def sha(text):
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "labels"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     out = con.execute(QUERIES[name].sql)
     df = QUERIES[name].run(spark, SF)
@@ -46,7 +46,7 @@ def test_equals_sql(spark, name):
 
 def test_every_operator_has_a_query():
     assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda n: int("0" + re.sub(r"\D", "", n.split("_")[0])))] == [
-        "pipeline", *(f"op{n}" for n in range(1, 11))
+        "pipeline", *(f"op{n}" for n in range(1, 14))
     ]
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tidemark.catalog.base import Query
 from tidemark.llm.common import documents, table
 from tidemark.llm.decontaminate import contamination, hit_words
+from tidemark.llm.embedding_join import near_vectors
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.filter_audit import failure_masks, filter_audit
 from tidemark.llm.licenses import license_scan
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_join import ngram_join
@@ -17,6 +19,7 @@ from tidemark.llm.packing import pack
 from tidemark.llm.pii import KINDS as PII_KINDS
 from tidemark.llm.pii import personal_data
 from tidemark.llm.quality import quality_scores
+from tidemark.llm.ranked_search import ranked_search
 from tidemark.llm.secrets import KINDS as SECRET_KINDS
 from tidemark.llm.secrets import secret_spans
 from tidemark.llm.token_counts import token_counts
@@ -207,6 +210,110 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+EMBEDDING_JOIN_SQL = r"""
+WITH RECURSIVE r AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+v AS MATERIALIZED (
+  SELECT r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM r
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+p AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+),
+l AS (SELECT a, b FROM p UNION ALL SELECT r, r FROM v),
+c AS (SELECT a, b FROM l UNION SELECT c.a, l.b FROM c JOIN l ON c.b = l.a),
+k AS (SELECT c.a, min(r.vec_id) AS component_id FROM c JOIN r ON c.b = r.r GROUP BY c.a),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, CASE WHEN k.a IS NULL THEN vec_id ELSE component_id END AS component_id,
+       vec_id IS NOT DISTINCT FROM CASE WHEN k.a IS NULL THEN vec_id ELSE component_id END AS kept
+FROM r LEFT JOIN k ON r.r = k.a LEFT JOIN n ON r.r = n.a
+"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = failure_masks(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return filter_audit(masks, "ABCDE").drop("filter")
+
+
+FILTER_AUDIT_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+),
+k AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+f AS (
+  SELECT doc_id, part, concat(
+    CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails FROM d
+),
+m AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN k USING (doc_id) GROUP BY part, fails
+),
+o AS (
+  SELECT '' AS filter_order
+  UNION ALL SELECT filter_order || l FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(filter_order, l)
+),
+s AS (
+  SELECT filter_order, step::INT AS step, filter_order[step] AS l, filter_order[1:step - 1] AS before
+  FROM o, range(1, 6) x(step) WHERE length(filter_order) = 5
+),
+r AS (
+  SELECT part, filter_order, step, l,
+         coalesce(sum(n) FILTER (NOT hit AND NOT contains(fails, l)), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (NOT hit AND contains(fails, l)), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (hit AND contains(fails, l)), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (fails = l), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (NOT hit AND contains(fails, l)), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT hit AND contains(fails, l)), 0)::BIGINT AS toxic_lost
+  FROM (SELECT s.*, m.*, regexp_matches(fails, CASE WHEN before = '' THEN 'x' ELSE '[' || before || ']' END) AS hit FROM s, m)
+  GROUP BY part, filter_order, step, l
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley
+FROM r
+"""
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+RANKED_SEARCH_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+g AS (SELECT count(*)::BIGINT AS n, sum(len(ws))::BIGINT AS l FROM d WHERE len(ws) > 0),
+p AS (SELECT r, doc_id, len(ws)::BIGINT AS n, term, count(*) AS tf FROM (SELECT r, doc_id, ws, unnest(ws) AS term FROM d) GROUP BY r, doc_id, len(ws), term),
+w AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * g.n + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), g
+),
+s AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * p.n * g.n) // g.l))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), g GROUP BY item_id, r, doc_id
+),
+o AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": Query(op1_ngram_join, NGRAM_JOIN_SQL),
     "op3_token_counts": Query(op3_token_counts, None),
@@ -218,5 +325,8 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": Query(op8_licenses, None),
     "op4_quality": Query(op4_quality, None),
     "op2_pii": Query(op2_pii, None),
+    "op11_embedding_join": Query(op11_embedding_join, EMBEDDING_JOIN_SQL),
+    "op12_filter_audit": Query(op12_filter_audit, FILTER_AUDIT_SQL),
+    "op13_ranked_search": Query(op13_ranked_search, RANKED_SEARCH_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
