@@ -32,8 +32,8 @@ from tidemark.llm.ngram_join import components
 COSINE = 0.95
 #: Axes in a block.
 AXES = 16
-#: Vectors in a cell to aim for, and the most that are compared with each other in one group.
-CELL = 8192
+#: Vectors of its own that a cell should have; one that twice as many reach is dealt into tiles.
+CELL = 16_384
 #: Distinct vectors, by hash, that rotation and cells are drawn from. They decide what is compared where, never a result.
 SAMPLE = 32_768
 #: Sampled vectors in a cell at least, and the share of them within reach of a plane above which a cut does not pay.
@@ -41,7 +41,7 @@ LEAST_SAMPLED = 32
 MOST_WITHIN = 0.48
 #: Covers the rounding of rotated coordinates, which are kept in single precision.
 SLACK = 1e-6
-_ROWS, _PAIRS = 1024, 1 << 16
+_ROWS, _PAIRS = 512, 1 << 16
 #: Members of a component in a cell that hang on one of them.
 _FAN = 32
 
@@ -189,34 +189,53 @@ def compared(
     Rows of one tile are compared with each other if ``same_tile``, else with those of the other tile.
     """
     block = space.blocks[number]
-    points = np.ascontiguousarray(rotated[:, block.start : block.stop])
-    squares = np.einsum("ij,ij->i", points, points)
+    points = rotated[:, block.start : block.stop]
+    squares = np.einsum("ij,ij->i", points, points)[:, None]
+    ones = np.ones_like(squares)
+    # The product of a row of one and a row of the other is the squared distance of their points.
+    one, other = np.hstack([points, squares, ones]), np.hstack([-2 * points, ones, squares])
     wide = rotated.astype(np.float64)
     units = unit(vectors.astype(np.float64))
     links = np.zeros(len(points), dtype=np.int64)
     roots = np.arange(len(points))
-    for at in range(0, len(points), _ROWS):
-        mine = slice(at, at + _ROWS)
-        near = squares[mine, None] + squares[None, at:] - 2 * (points[mine] @ points[at:].T) <= block.budget + 1e-5
-        near &= own[mine, None] | own[None, at:]
-        near &= (tile[mine, None] == tile[None, at:]) if same_tile else (tile[mine, None] != tile[None, at:])
-        left, right = np.nonzero(near)
-        later = right > left
-        left, right = left[later] + at, right[later] + at
-        for first in range(0, len(left), _PAIRS):
-            a, b = left[first : first + _PAIRS], right[first : first + _PAIRS]
-            linked = np.einsum("ij,ij->i", units[a], units[b]) >= cosine
-            a, b = a[linked], b[linked]
-            # The first block whose share the pair keeps counts it; equal in every cell, since coordinates are stored.
-            counted = np.ones(len(a), dtype=bool)
-            for earlier, other in enumerate(space.blocks[: number + 1]):
-                gap = wide[a, other.start : other.stop] - wide[b, other.start : other.stop]
-                inside = np.einsum("ij,ij->i", gap, gap) <= other.budget + SLACK
-                counted &= inside if earlier == number else ~inside
-            a, b = a[counted], b[counted]
-            np.add.at(links, a, weight[b])
-            np.add.at(links, b, weight[a])
-            _hang_together(roots, a, b)
+
+    def decide(a: np.ndarray, b: np.ndarray) -> None:
+        linked = np.einsum("ij,ij->i", units[a], units[b]) >= cosine
+        a, b = a[linked], b[linked]
+        # The first block whose share the pair keeps counts it; equal in every cell, since coordinates are stored.
+        counted = np.ones(len(a), dtype=bool)
+        for earlier, part in enumerate(space.blocks[: number + 1]):
+            gap = wide[a, part.start : part.stop] - wide[b, part.start : part.stop]
+            inside = np.einsum("ij,ij->i", gap, gap) <= part.budget + SLACK
+            counted &= inside if earlier == number else ~inside
+        a, b = a[counted], b[counted]
+        np.add.at(links, a, weight[b])
+        np.add.at(links, b, weight[a])
+        _hang_together(roots, a, b)
+
+    def against(left: np.ndarray, right: np.ndarray, once: bool = False) -> None:
+        """Compare two sets of rows, or with ``once`` a set with itself."""
+        columns = other[right].T
+        for at in range(0, len(left), _ROWS):
+            skipped = at if once else 0
+            near = one[left[at : at + _ROWS]] @ columns[:, skipped:] <= np.float32(block.budget + 1e-5)
+            found = np.flatnonzero(near)
+            a, b = found // near.shape[1], found % near.shape[1]
+            if once:
+                a, b = a[b > a], b[b > a]
+            a, b = left[at + a], right[skipped + b]
+            for first in range(0, len(a), _PAIRS):
+                decide(a[first : first + _PAIRS], b[first : first + _PAIRS])
+
+    low = tile == tile.min()
+    parts = {(mine, first): np.flatnonzero((own == mine) & (low == first)) for mine in (True, False) for first in (True, False)}
+    if same_tile:
+        against(parts[True, True], parts[True, True], once=True)
+        against(parts[True, True], parts[False, True])
+    else:
+        against(parts[True, True], parts[True, False])
+        against(parts[True, True], parts[False, False])
+        against(parts[False, True], parts[True, False])
     return links, roots
 
 
