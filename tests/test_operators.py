@@ -296,3 +296,38 @@ def test_documents_keep_every_child(spark, most):
 def test_station_dimension_takes_newest(spark, rows):
     df = spark.createDataFrame([("s1", "2020", "old"), ("s1", "2021", "new"), (None, "2022", "x")], "id string, t string, n string")
     assert rows(marts.station_dimension(df, "id", {"name": "n"}, "t")) == [("s1", "new")]
+
+
+def test_staging_lists_what_does_not_fit(spark):
+    from pyspark.sql import Observation
+
+    from tidemark.operators.shape import rejected_fields, stage_json_checked
+
+    rows = [
+        (1, '{"n": " 12 ", "d": "2024-01-02", "t": " x "}'), (2, '{"n": "12a", "d": "soon", "t": ""}'), (3, '{"n": null}'),
+        (4, "not json"), (5, "[1, 2]"), (6, None), (7, '{"n": "", "d": "2024-13-01"}'),
+    ]
+    df = spark.createDataFrame(rows, "id int, payload string")
+    seen = Observation()
+    staged = stage_json_checked(df, "payload", {"n": "int", "d": "date", "t": "string"}, seen)
+    got = {r["id"]: (r["n"], str(r["d"]), r["t"], [tuple(x) for x in r["_rejects"]]) for r in staged.collect()}
+    assert got == {
+        1: (12, "2024-01-02", "x", []), 2: (None, "None", None, [("n", "12a"), ("d", "soon")]), 3: (None, "None", None, []),
+        4: (None, "None", None, [("*", "not json")]), 5: (None, "None", None, [("*", "[1, 2]")]), 6: (None, "None", None, []),
+        7: (None, "None", None, [("d", "2024-13-01")]),
+    }
+    assert seen.get == {"rows": 7, "rejected": 4}
+    assert {tuple(r) for r in rejected_fields(staged, ["id"]).where("id = 7").collect()} == {(7, "d", "2024-13-01")}
+
+
+def test_amounts_finer_than_a_cent_differ(spark):
+    from tidemark.operators.checks import reconcile
+
+    def side(value, kind):
+        return spark.createDataFrame([(1, value)], "k int, v string").withColumn("v", F.col("v").cast(kind))
+
+    status = lambda a, b, ka="double", kb="double": reconcile(side(a, ka), side(b, kb), ["k"], "v").head()["status"]
+    assert status("0.004", "0.001") == "amount differs"
+    assert status("0.004", "0.004") == status("7", "7", "bigint", "bigint") == "same"
+    assert status("0.00000000001", "0.00000000002", "decimal(20,11)", "decimal(20,11)") == "amount differs"
+    assert status("1.5", "1.5", "decimal(10,2)", "double") == "same"

@@ -1,5 +1,4 @@
 import uuid
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +7,7 @@ from tidemark import contracts
 from tidemark.operators.checks import DataCheckError, inventory
 from tidemark.operators.shape import with_constants
 from tidemark.session import scratch_database
-from tidemark.sinks import tables
+from tidemark.sinks import tables, versions
 
 KEY = ("k", "t")
 
@@ -130,29 +129,119 @@ def test_layers_are_created_once(spark):
     assert {d.name for d in spark.catalog.listDatabases()} >= set(contracts.LAYERS)
 
 
-def test_months_of_a_load_that_died_are_put_in_place(spark, monkeypatch):
-    name = f"{scratch_database(spark, 'died')}.t"
-    first = spark.sql("SELECT 1 AS k, timestamp_ntz'2020-01-01 00:00:00' AS t, 'a' AS v")
-    second = spark.sql("SELECT 2 AS k, timestamp_ntz'2020-01-02 00:00:00' AS t, 'b' AS v")
-    third = spark.sql("SELECT 3 AS k, timestamp_ntz'2020-02-02 00:00:00' AS t, 'c' AS v")
-    tables.upsert(first, name, ("k", "t"), "t", 1)
-    place = tables.finish_upsert
-
-    def dies(spark, table):
-        if place(spark, table):
-            raise AssertionError("nothing was pending yet")
-        monkeypatch.setattr(tables, "finish_upsert", lies_down)
-
-    def lies_down(spark, table):
-        # The old files of the month are gone, the new ones are not there.
-        month = [f for f in spark.table(table).inputFiles() if "202001" in f]
-        for file in month:
-            Path(file.removeprefix("file://")).unlink()
-        raise RuntimeError("the driver is gone")
-
-    monkeypatch.setattr(tables, "finish_upsert", dies)
-    with pytest.raises(RuntimeError):
-        tables.upsert(second, name, ("k", "t"), "t", 2)
-    monkeypatch.setattr(tables, "finish_upsert", place)
-    loaded = tables.upsert(third, name, ("k", "t"), "t", 3)
-    assert sorted(r["v"] for r in loaded.collect()) == ["a", "b", "c"]
+def test_a_writer_that_dies_leaves_the_old_rows(spark, table):
+    tables.replace_table(spark.range(3), table)
+    fails = F.udf(lambda x: 1 // (x - 5), "long")
+    for by in ((), ("p",)):
+        with pytest.raises(Exception, match="ZeroDivisionError|division"):
+            tables.replace_table(spark.range(9).select(fails("id").alias("id"), F.lit(1).alias("p")), table, by)
+        assert spark.table(table).count() == 3 and spark.table(table).columns == ["id"]
+    assert versions.sweep(spark, table) >= 1
+    assert tables.replace_table(spark.range(4), table).count() == 4
+    assert versions.sweep(spark, table) == 0 and spark.table(table).count() == 4
+
+
+def test_replace_by_other_columns_and_partitions(spark, table):
+    tables.replace_table(spark.range(3), table)
+    df = spark.range(6).select((F.col("id") % 3).alias("p"), "id")
+    assert tables.replace_table(df, table, ["p"]).count() == 6
+    got = tables.replace_table(df.where("p = 2"), table, ["p"])
+    assert got.columns == ["id", "p"] and sorted(map(tuple, got.collect())) == [(2, 2), (5, 2)]
+    assert tables.replace_table(spark.table(table).where("id = 5"), table, ["p"]).count() == 1, "from the table itself"
+    assert tables.append_table(df.where("p = 0").select("id", "p"), table, ["p"]).count() == 3
+    assert tables.replace_table(spark.range(2), table).columns == ["id"]
+    spark.sql(f"DROP TABLE {table}")
+    assert tables.replace_table(spark.range(1), table).count() == 1
+
+
+def test_rows_that_repeat_a_key_replace_nothing(spark, table):
+    tables.replace_unique(spark.range(3), table, ["id"])
+    with pytest.raises(DataCheckError):
+        tables.replace_unique(spark.range(2).union(spark.range(2)), table, ["id"])
+    assert spark.table(table).count() == 3
+
+
+def test_measured_in_the_pass_that_writes(spark, table):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    df = spark.createDataFrame([("a", 1), ("", 2), (None, 3)], "name string, n int").withColumn("n", F.udf(count, "int")("n"))
+    assert tables.replace_measured(df, table, guard=True, required=["name", "n"]) == {"rows": 3, "name_blank": 2, "n_blank": 0}
+    assert seen.value == 3, "each row came through once"
+    with pytest.raises(DataCheckError):
+        tables.replace_measured(df.where("n > 5"), table, guard=True)
+    assert tables.replace_measured(spark.createDataFrame([], df.schema), table, required=["n"]) == {"rows": 0, "n_blank": 0}
+
+
+def three_loads(spark):
+    rows = [(1, "2020-01-01", "a"), (2, "2020-01-02", "b"), (3, "2020-02-02", "c")]
+    return [trips(spark, [r]) for r in rows]
+
+
+def test_a_load_that_died_before_it_counted(spark, table, monkeypatch):
+    first, second, third = three_loads(spark)
+    tables.upsert(first, table, KEY, "t", 1)
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "publish", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.upsert(second, table, KEY, "t", 2)
+    assert content(spark.table(table)) == [(1, "2020-01-01", "a")]
+    assert content(tables.upsert(third, table, KEY, "t", 3)) == [(1, "2020-01-01", "a"), (3, "2020-02-02", "c")]
+    assert versions.sweep(spark, table) == 1
+
+
+def test_a_load_that_died_in_the_switch_is_finished_by_the_next(spark, table, monkeypatch):
+    first, second, third = three_loads(spark)
+    tables.upsert(first.union(third), table, KEY, "t", 1)
+    before = set(spark.table(table).inputFiles())
+    real = spark.sql
+    switched = []
+
+    def dies(text, *args, **kwargs):
+        if "SET LOCATION" in text:
+            if switched:
+                raise RuntimeError("the driver is gone")
+            switched.append(text)
+        return real(text, *args, **kwargs)
+
+    both = second.union(trips(spark, [(4, "2020-02-05", "d")]))
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", lambda self, text, *a, **k: dies(text, *a, **k))
+        with pytest.raises(RuntimeError):
+            tables.upsert(both, table, KEY, "t", 2)
+    got = tables.upsert(trips(spark, [(5, "2020-03-05", "e")]), table, KEY, "t", 3)
+    assert [v for _, _, v in content(got)] == ["a", "b", "c", "d", "e"]
+    assert not before & set(spark.table(table).inputFiles())
+    assert versions.sweep(spark, table) <= 1, "what the load that died had replaced already"
+
+
+def test_each_merged_row_is_written_once(spark, table, monkeypatch):
+    written = []
+    real = versions.build
+    monkeypatch.setattr(versions, "build", lambda *a, **k: written.append(real(*a, **k)) or written[-1])
+    first, second, _ = three_loads(spark)
+    tables.upsert(first, table, KEY, "t", 1)
+    tables.upsert(second, table, KEY, "t", 2)
+    assert [seen["rows"] for _, seen in written] == [1, 2]
+    assert all(written[1][0] in f.replace("file:///", "file:/") for f in spark.table(table).inputFiles())
+
+
+def test_late_rows_rewrite_only_their_stretch(spark, table):
+    days = [(k, f"2020-01-{k:02d}", "a") for k in range(1, 31)] + [(40, "2020-02-10", "a"), (41, None, "x")]
+    tables.upsert(trips(spark, days), table, KEY, "t", 1, parts=10)
+    place = lambda: {r["f"].rsplit("/", 1)[0]: r["n"] for r in spark.table(table).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()}
+    before = place()
+    assert len(before) == 12
+    # The parts that a table was made with hold, whatever is asked for later.
+    got = tables.upsert(trips(spark, [(7, "2020-01-07", "b"), (8, "2020-01-08", "c"), (50, "2020-01-08", "d")]), table, KEY, "t", 2, parts=3)
+    changed = {folder: n for folder, n in place().items() if folder not in before}
+    assert sum(changed.values()) <= 9 and len(place()) == 12 and len(changed) <= 2
+    assert {v for k, _, v in content(got) if k in (7, 8, 50)} == {"b", "c", "d"} and got.count() == 33
+
+
+def test_stretches_of_a_month(spark):
+    df = spark.sql("SELECT explode(array(timestamp_ntz'2024-02-01 00:00:00', timestamp_ntz'2024-02-29 23:59:59', timestamp_ntz'2024-02-15 12:00:00', NULL)) AS t")
+    assert [r[0] for r in df.select(tables._part_of_month("t", 4)).collect()] == [0, 3, 2, 0]

@@ -199,10 +199,11 @@ def test_archives(spark, bike_zips, monkeypatch):
     read.unpersist()
 
 
-def test_one_task_per_archive(spark, bike_zips):
+def test_one_task_per_member(spark, bike_zips):
     read = archives.bike_archive_rows(listing.list_files(spark, str(bike_zips), "*.zip"))
     used = read.select(F.spark_partition_id().alias("p"), "_archive").distinct().groupBy("p").count()
-    assert used.count() == 8 and used.agg(F.max("count")).head()[0] == 1
+    # Eight archives, one of them with two members.
+    assert used.count() == 9 and used.agg(F.max("count")).head()[0] == 1
 
 
 # -- pages ----------------------------------------------------------------------
@@ -283,3 +284,81 @@ def test_unreadable_files_are_listed(spark, tmp_path):
     (tmp_path / "bad" / "x.parquet").write_bytes(b"no parquet")
     found = files.unreadable(spark, [f"{tmp_path}/good", f"{tmp_path}/bad"]).collect()
     assert [r["path"].rsplit("/", 2)[1:] for r in found] == [["bad", "x.parquet"]] and found[0]["reason"]
+
+
+def test_members_are_planned_from_the_directory_and_read_apart(spark, tmp_path, monkeypatch):
+    import zipfile
+
+    for number in range(2):
+        with zipfile.ZipFile(tmp_path / f"{number}.zip", "w", zipfile.ZIP_DEFLATED) as made:
+            for at in range(3):
+                made.writestr(f"p{at}.csv", "a,b\n" + "".join(f"{number},{at}-{i}\n" for i in range(50)))
+            made.writestr("readme.txt", "no table")
+    (tmp_path / "none.zip").write_bytes(b"nothing")
+    with zipfile.ZipFile(tmp_path / "empty.zip", "w") as made:
+        made.writestr("__MACOSX/x.csv", "a")
+    listed = listing.list_files(spark, str(tmp_path), "*.zip")
+    planned = archives.members(listed).collect()
+    assert sorted((r.problem or "", r.member or "") for r in planned) == sorted(
+        [("", f"p{at}.csv") for at in range(3)] * 2 + [("not a zip", ""), ("no csv", "")]
+    )
+    assert {r["size"] for r in planned if r.member} == {len("a,b\n" + "".join(f"0,0-{i}\n" for i in range(50)))}
+    for held in (1 << 20, 0):
+        monkeypatch.setattr(archives, "HELD_BYTES", held)
+        read = archives.zipped_csv(listed, "path", ("a", "b"))
+        tagged = read.where("_member IS NOT NULL").withColumn("task", F.spark_partition_id())
+        placed = tagged.groupBy("_archive", "_member").agg(
+            F.count_distinct("task").alias("tasks"), F.min("task").alias("task"), F.count("*").alias("n")
+        ).collect()
+        assert len(placed) == 6 and {r.tasks for r in placed} == {1} and {r.n for r in placed} == {50}
+        assert len({r.task for r in placed}) == 6, "a task for each member"
+
+
+def test_damage_at_the_end_of_a_member_takes_all_of_it(spark, tmp_path, monkeypatch):
+    import zipfile
+
+    path = tmp_path / "x.zip"
+    with zipfile.ZipFile(path, "w") as made:
+        made.writestr("a.csv", "a,b\n" + "1,2\n" * 20_000)
+        made.writestr("b.csv", "a,b\n3,4\n")
+    raw = bytearray(path.read_bytes())
+    at = raw.index(b"1,2\n" * 100) + 79_000
+    raw[at : at + 1] = b"9"
+    path.write_bytes(raw)
+    for held in (1 << 20, 0):
+        monkeypatch.setattr(archives, "HELD_BYTES", held)
+        read = archives.zipped_csv(listing.list_files(spark, str(tmp_path), "*.zip"), "path", ("a", "b"))
+        assert sorted((r._member, r._layout, r.a) for r in read.collect()) == [("a.csv", "damaged", None), ("b.csv", "old", "3")]
+
+
+def test_physical_heads_move_nothing(spark, tmp_path):
+    path = str(tmp_path / "heads")
+    for first in (5, 1):
+        spark.range(first * 1000, first * 1000 + 300).coalesce(1).orderBy(F.desc("id")).write.mode("append").option(
+            "parquet.block.size", 1024
+        ).parquet(path)
+    df = files.physical_head(spark.read.parquet(path), 2)
+    assert sorted(r[0] for r in df.collect()) == [1298, 1299, 5298, 5299]
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert files.physical_head(spark.read.parquet(path), 0).count() == 600
+    with pytest.raises(ValueError):
+        files.physical_head(df, -1)
+
+
+def test_footers_tell_the_newest_cursor(spark, tmp_path):
+    def write(name, rows, kind="timestamp_ntz"):
+        df = spark.createDataFrame([(r,) for r in rows], "t string").select(F.col("t").cast(kind).alias("t"))
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        return f"{tmp_path}/{name}"
+
+    paths = [
+        write("a", ["2024-01-01 00:00:00", "2024-03-01 12:30:00.5", None]), write("b", [None, None]), write("c", []),
+        write("d", ["2024-02-01"], "date"),
+    ]
+    got = {r["path"].split("/")[-2]: (r["rows"], str(r["newest"])[:19], r["known"]) for r in files.footer_bounds(spark, paths, "t").collect()}
+    # A writer without rows may leave no file at all.
+    got.pop("c", None)
+    assert got == {"a": (3, "2024-03-01 12:30:00", True), "b": (2, "None", True), "d": (1, "2024-02-01 00:00:00", True)}
+    other = write("e", ["x"], "string")
+    assert [r["known"] for r in files.footer_bounds(spark, [other], "t").collect()] == [False]
+    assert [r["known"] for r in files.footer_bounds(spark, [other], "missing").collect()] == [False]

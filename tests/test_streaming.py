@@ -164,3 +164,43 @@ def test_lookback_prunes_month_folders(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "y#" in filters and "m#" in filters and scanned
+
+
+# -- watermarks from footers, compaction -------------------------------------------
+def test_newest_in_files_scans_only_where_footers_are_silent(spark, tmp_path):
+    rows = spark.sql("SELECT * FROM VALUES (timestamp_ntz'2024-01-05 10:00:00', 1), (NULL, 2) AS v(t, n)")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/told")
+    with_text = rows.select(F.lit("2024-05-01T00:00:00").alias("t"), "n")
+    with_text.coalesce(1).write.parquet(f"{tmp_path}/text")
+    spark.range(3).withColumnRenamed("id", "n").write.parquet(f"{tmp_path}/without")
+    newest = lambda *names: tuple(watermarks.newest_in_files(spark, [f"{tmp_path}/{n}" for n in names], "t", "s").head())
+    assert newest("told") == ("s", "2024-01-05T10:00:00", 2)
+    assert newest("text") == ("s", "2024-05-01T00:00:00", 2)
+    assert newest("told", "without")[1:] == ("2024-01-05T10:00:00", 5)
+
+
+def test_a_long_log_is_folded_without_losing_an_advance(spark, store, monkeypatch):
+    marks = spark.range(1000).select(
+        (F.col("id") % 7).cast("string").alias("source_name"),
+        F.date_format(F.timestamp_seconds(F.col("id") * 3600), "yyyy-MM-dd'T'HH:mm:ss").alias("last_value"),
+        F.timestamp_seconds(F.col("id")).alias("updated_at"),
+    )
+    marks.repartition(100).write.mode("append").insertInto(store)
+    put(spark, store, ("3", "1999-01-01T00:00:00"))
+    before = sorted(map(tuple, watermarks.watermarks(spark, store).collect()))
+    real = watermarks.stored
+
+    def meanwhile(df, label):
+        folded = real(df, label)
+        put(spark, store, ("late", "2030-01-01T00:00:00"), ("3", "2031-01-01T00:00:00"))
+        return folded
+
+    monkeypatch.setattr(watermarks, "stored", meanwhile)
+    assert watermarks.compact(spark, store) >= 100
+    after = {r[0]: r[1] for r in watermarks.watermarks(spark, store).collect()}
+    assert after == {**{r[0]: r[1] for r in before}, "late": "2030-01-01T00:00:00", "3": "2031-01-01T00:00:00"}
+    monkeypatch.setattr(watermarks, "stored", real)
+    assert watermarks.compact(spark, store) == 2 and len(spark.table(store).inputFiles()) == 1
+    again = sorted(map(tuple, watermarks.watermarks(spark, store).collect()))
+    assert [r for r in again if r[0] not in ("3", "late")] == [r for r in before if r[0] != "3"], "when it was reached stays too"
+    assert watermarks.compact(spark, store) == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import SECOND, TABLES, Query, double, second_text, table
@@ -21,9 +21,10 @@ from tidemark.operators.checks import (
     table_counts,
     verify_count,
 )
-from tidemark.operators.shape import between, names_like, stage_json
-from tidemark.session import scratch_database
-from tidemark.sinks.tables import replace_table
+from tidemark.operators.shape import between, names_like, rejected_fields, stage_json, stage_json_checked, union_all
+from tidemark.session import scratch_database, stored
+from tidemark.sinks.tables import replace_measured, replace_table
+from tidemark.streaming.watermarks import newest_in_files
 
 _CUSTOMER = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 _LINE_TYPES = {
@@ -148,10 +149,10 @@ def cursor_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.orderBy("o_orderdate", "o_orderkey").select("o_orderkey", second_text("o_orderdate").alias("ordered"))
 
 
-def typed_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw JSON built from customers, cleaned and typed; odd balances are not numbers."""
+def _raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw JSON built from customers; odd balances are not numbers."""
     balance = F.when(F.col("c_custkey") % 5 == 0, "n/a").otherwise(F.concat(F.lit(" "), "c_custkey", F.lit(" ")))
-    raw = table(spark, sf_dir, "customer").select(
+    return table(spark, sf_dir, "customer").select(
         F.to_json(
             F.struct(
                 F.col("c_custkey").cast("string").alias("id"), F.concat(F.lit("  "), "c_mktsegment").alias("segment"),
@@ -159,7 +160,49 @@ def typed_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("payload")
     )
-    typed = stage_json(raw, "payload", {"id": "bigint", "segment": "string", "balance": "bigint", "note": "string"})
+
+
+_RAW_TYPES = {"id": "bigint", "segment": "string", "balance": "bigint", "note": "string"}
+
+
+def typed_staging_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the raw customers did not fit its type, with the share of rows counted in the pass that wrote them."""
+    seen = Observation()
+    staged = stored(stage_json_checked(_raw_customers(spark, sf_dir), "payload", _RAW_TYPES, seen), "staged")
+    counted = seen.get
+    return rejected_fields(staged, ["id"]).withColumns(
+        {"rejected": F.lit(counted["rejected"]), "rows": F.lit(counted["rows"])}
+    )
+
+
+def observed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers landed with their rows and blanks counted by the write itself, beside what the table has."""
+    name = f"{scratch_database(spark, 'observed')}.customer"
+    emptied = F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment"))
+    rows = table(spark, sf_dir, "customer").withColumn("c_mktsegment", emptied)
+    seen = replace_measured(rows, name, guard=True, required=["c_name", "c_mktsegment"])
+    there = spark.table(name).agg(F.count("*").alias("row_count"))
+    return there.withColumns({c: F.lit(n) for c, n in seen.items()})
+
+
+def watermark_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest cursor and rows of three tables, from their files' footers."""
+    cursors = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+    found = [newest_in_files(spark, [f"{sf_dir}/{name}.parquet"], cursor, name) for name, cursor in cursors.items()]
+    return union_all(found)
+
+
+def reconcile_fine_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances against a rebuilt table in which some moved by a thousandth."""
+    balance = (F.col("c_custkey") % 100 * 0.001).alias("balance")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", balance)
+    moved = customers.withColumn("balance", F.when(F.col("c_custkey") % 11 == 0, F.col("balance") + 0.001).otherwise(F.col("balance")))
+    return reconcile(customers, moved, ["c_custkey"], "balance").select("c_custkey", "status")
+
+
+def typed_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw customers, cleaned and typed."""
+    typed = stage_json(_raw_customers(spark, sf_dir), "payload", _RAW_TYPES)
     return typed.select(
         "id", "segment", F.coalesce("balance", F.lit(-1)).alias("balance"),
         F.coalesce("note", F.lit("missing")).alias("note"),
@@ -243,6 +286,23 @@ QUERIES = {
         SELECT o_orderkey, strftime(o_orderdate, {SECOND}) AS ordered FROM orders
         WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate <= TIMESTAMP '1996-03-31 23:59:59'
     """),
+    "typed_staging_rejects": Query(typed_staging_rejects, """
+        SELECT c_custkey AS id, 'balance' AS field, 'n/a' AS raw, count(*) OVER () AS rejected,
+               (SELECT count(*) FROM customer) AS rows FROM customer WHERE c_custkey % 5 = 0
+    """),
+    "observed_load": Query(observed_load, """
+        SELECT count(*) AS row_count, count(*) AS rows, count(*) FILTER (c_name IS NULL OR c_name = '') AS c_name_blank,
+               count(*) FILTER (c_custkey % 3 = 0 OR c_mktsegment IS NULL OR c_mktsegment = '') AS c_mktsegment_blank
+        FROM customer
+    """),
+    "watermark_from_footers": Query(watermark_from_footers, """
+        SELECT 'events' AS source_name, strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS last_value, count(*) AS row_count FROM events
+        UNION ALL SELECT 'orders', strftime(max(o_orderdate), '%Y-%m-%dT%H:%M:%S'), count(*) FROM orders
+        UNION ALL SELECT 'lineitem', strftime(max(l_shipdate), '%Y-%m-%dT%H:%M:%S'), count(*) FROM lineitem
+    """),
+    "reconcile_fine_amounts": Query(reconcile_fine_amounts, """
+        SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'amount differs' ELSE 'same' END AS status FROM customer
+    """),
     "typed_staging": Query(typed_staging, """
         SELECT c_custkey AS id, c_mktsegment AS segment,
                CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE c_custkey END AS balance, 'missing' AS note

@@ -254,6 +254,32 @@ def late_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shipped(loaded.select(*lines.columns))
 
 
+LATE_PARTS = 4
+
+
+def late_rows_few_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the last three days corrected late, in a table of months cut into stretches.
+
+    For each stretch its rows, their price, and whether its files are others than before.
+    """
+    name = f"{scratch_database(spark, 'late')}.trips"
+    lines = table(spark, sf_dir, "lineitem")
+    upsert(lines, name, FULL_KEY, "l_shipdate", 1, parts=LATE_PARTS)
+    place = F.col("_metadata.file_path")
+    before = stored(spark.table(name).select(place.alias("path")).distinct(), "files")
+    (newest,) = lines.agg(F.max("l_shipdate")).head()
+    late = lines.where(F.col("l_shipdate") >= F.lit(newest - timedelta(days=3)))
+    late = late.withColumn("l_extendedprice", F.col("l_extendedprice") + 1)
+    upsert(late, name, FULL_KEY, "l_shipdate", 2)
+    after = spark.table(name).select("load_month", "load_part", "l_extendedprice", place.alias("path"))
+    known = after.join(before.withColumn("kept", F.lit(True)), "path", "left")
+    return known.groupBy("load_month", "load_part").agg(
+        F.count("*").alias("row_count"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("price"),
+        F.bool_or(F.col("kept").isNull()).alias("rewritten"),
+    )
+
+
 def unique_after_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replace a table by its deduplicated rows and assert the key on what was written."""
     name = f"{scratch_database(spark, 'unique')}.lines"
@@ -386,6 +412,17 @@ QUERIES = {
         late_correction,
         f"SELECT * REPLACE (l_extendedprice + 1 AS l_extendedprice) FROM ({_lines_sql(newest_lines_sql(FULL_KEY))})",
     ),
+    "late_rows_few_files": Query(late_rows_few_files, f"""
+        WITH l AS (SELECT l_shipdate, l_extendedprice FROM ({newest_lines_sql(FULL_KEY)})),
+        m AS (SELECT max(l_shipdate) - INTERVAL 3 DAY AS late FROM l),
+        s AS (SELECT l.*, l_shipdate >= late AS is_late, strftime(l_shipdate, '%Y%m') AS load_month,
+                     CAST(date_diff('second', date_trunc('month', l_shipdate), l_shipdate) * {LATE_PARTS}
+                          // date_diff('second', date_trunc('month', l_shipdate), date_trunc('month', l_shipdate) + INTERVAL 1 MONTH)
+                          AS INTEGER) AS load_part FROM l, m)
+        SELECT load_month, load_part, count(*) AS row_count,
+               CAST(sum(CAST(l_extendedprice + CASE WHEN is_late THEN 1 ELSE 0 END AS DECIMAL(18,2))) AS DOUBLE) AS price,
+               bool_or(is_late) AS rewritten FROM s GROUP BY 1, 2
+    """),
     "unique_after_dedup": Query(unique_after_dedup, _lines_sql(newest_lines_sql(LINE_KEY))),
     "stream_dedup_late": Query(stream_dedup_late, f"SELECT {_EVENT_COLUMNS} FROM events"),
     "stream_upsert": Query(stream_upsert, f"SELECT {_EVENT_COLUMNS} FROM events"),

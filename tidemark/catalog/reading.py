@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +24,12 @@ from tidemark.functions.times import iso_text, slice_number
 from tidemark.operators.checks import load_report, require_rows
 from tidemark.operators.numbering import one_page, pages
 from tidemark.operators.shape import bike_layout, bikes_to_old_layout, parse_records, union_all
+from tidemark.plans.open_data import current_records, load_records
+from tidemark.plans.trips import ingest_trips
 from tidemark.plans.zones import stage_zones, zone_dimension
-from tidemark.session import scratch_database, scratch_path, stored
+from tidemark.session import remove, scratch_database, scratch_path, stored
 from tidemark.sinks.tables import materialize, replace_table
-from tidemark.sources.archives import accepted, zipped_csv
+from tidemark.sources.archives import accepted, members, zipped_csv
 from tidemark.sources.files import (
     csv_inferred,
     csv_text,
@@ -33,14 +37,17 @@ from tidemark.sources.files import (
     footers,
     head_per_file,
     partitioned_scan,
+    physical_head,
     relation,
     struct_from_json_schema,
     tolerant_scan,
     union_files,
 )
 from tidemark.sources.listing import capped_listing, list_files, month_list, paths_of
+from tidemark.sources.paged_json import SCHEMA as PAGES
 from tidemark.sources.paged_json import read_pages, stored_pages
 from tidemark.sources.paths import file_system
+from tidemark.streaming.extract import pull_slices, replace_slices
 from tidemark.streaming.slices import slice_list, slices_between
 
 
@@ -163,6 +170,68 @@ def _head(n: int):
     return run
 
 
+def per_file_head_physical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written in order, one file to a line number: the first rows of each file, without a sort."""
+    path = scratch_path(spark, "sorted-lines")
+    lines = table(spark, sf_dir, "lineitem")
+    dealt = lines.repartition("l_linenumber").sortWithinPartitions("l_linenumber", *_HEAD_ORDER)
+    dealt.write.partitionBy("l_linenumber").parquet(path)
+    return physical_head(spark.read.parquet(path), 25).select(
+        F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_orderkey", "l_partkey",
+        "l_suppkey", "l_quantity", second_text("l_shipdate").alias("shipped"),
+    )
+
+
+def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the central directories of archives of two members say, without unpacking one."""
+    folder = scratch_path(spark, "members")
+    rows = table(spark, sf_dir, "customer").select(
+        *[F.col(c).cast("string").alias(c) for c in _CUSTOMER[:-1]], F.lit("").alias("note"),
+        F.floor(F.col("c_custkey") / ROWS_PER_ARCHIVE).alias("archive_no"),
+    )
+    _archives(rows, _CUSTOMER, _CUSTOMER_NEW, folder, members=2).write.parquet(scratch_path(spark, "packed"))
+    found = members(list_files(spark, folder, "*.zip"))
+    number = F.regexp_extract("archive", r"([0-9]+)[.]csv[.]zip$", 1).cast("bigint")
+    return found.select(number.alias("archive_no"), "member", (F.col("size") > 0).alias("filled"), F.col("problem").isNull().alias("fine"))
+
+
+def open_data_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as paged records of one dataset, loaded as a job would: slices, pages, constants, routing, watermark."""
+    root, slices = _paged_events(spark, sf_dir)
+    entry = contracts.RECORD_SETS[0]
+    kept = stored_pages(root)
+
+    def fetch(start: str, end: str, limit: int, offset: int) -> list:
+        # Under the dataset's own names, with a cursor to the second.
+        return [
+            {"unique_key": str(r["event_id"]), entry.cursor: r["ts"][:19].replace(" ", "T"), "complaint_type": r["event_type"]}
+            for r in kept(start, end, limit, offset)
+        ]
+
+    layer = scratch_database(spark, "open_data")
+    loaded = load_records(spark, entry, fetch, slices[0][1], slices[-1][2], PAGE_ROWS, 7, layer=layer)
+    return current_records(loaded, entry).select(
+        "unique_key", F.col(entry.cursor).alias("created"), "complaint_type", F.col("_socrata_resource_id").alias("resource_id")
+    )
+
+
+def trip_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders laid out as yellow trips by month: listed, united, renamed, landed, counted per stream."""
+    root = scratch_path(spark, "trips")
+    stream = contracts.TRIP_STREAMS["yellow"]
+    orders = table(spark, sf_dir, "orders")
+    trips = orders.select(
+        F.col("o_custkey").alias("VendorID"), F.col("o_orderdate").alias(stream.cursor), F.col("o_orderkey").alias("PULocationID"),
+        F.col("o_totalprice").alias("fare_amount"), F.year("o_orderdate").alias("puYear"), F.month("o_orderdate").alias("puMonth"),
+    )
+    trips.write.partitionBy("puYear", "puMonth").parquet(f"{root}/{stream.folder}")
+    years = [r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect()]
+    prefixes = {
+        name: [p for year in sorted(years) for p in s.month_prefixes(year, range(1, 13))] for name, s in contracts.TRIP_STREAMS.items()
+    }
+    return ingest_trips(spark, root, prefixes, layer=scratch_database(spark, "ingest"))
+
+
 def _head_sql(n: int) -> str:
     return f"""
         SELECT l_linenumber, l_orderkey, l_partkey, l_suppkey, l_quantity,
@@ -330,8 +399,8 @@ def month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAGE_ROWS = 1_000
 
 
-def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events stored as pages per weekly slice, then extracted slice by slice."""
+def _paged_events(spark: SparkSession, sf_dir: str) -> tuple[str, list]:
+    """Events stored as pages per weekly slice: where, and the slices."""
     events = table(spark, sf_dir, "events")
     span = events.agg(
         F.min(F.date_trunc("day", "ts")).cast("timestamp_ntz").alias("first"),
@@ -353,14 +422,43 @@ def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         paged.withColumn("ts", micro_text("ts")).drop("row_no")
         .repartition("slice_start", "page_no").write.partitionBy("slice_start", "page_no").json(root)
     )
-    read = read_pages(spark, stored_pages(root), slice_list(slices), PAGE_ROWS)
+    return root, slice_list(slices)
+
+
+def _events_of(pages_read: DataFrame) -> DataFrame:
     fields = ("event_id", "ts", "user_id", "event_type", "value", "props")
-    return parse_records(read, "payload", fields).select(
+    return parse_records(pages_read, "payload", fields).select(
         F.col("event_id").cast("bigint").alias("event_id"), "ts", "event_type",
         F.col("value").cast("double").alias("value"), "props", "slice_no", "page_no",
     )
 
 
+def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stored as pages per weekly slice, then extracted slice by slice."""
+    root, slices = _paged_events(spark, sf_dir)
+    return _events_of(read_pages(spark, stored_pages(root), slices, PAGE_ROWS))
+
+
+def json_pages_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages pulled as a stream: the first two slices, then all open ones, then nothing.
+
+    The source's pages of the first two slices are gone before the second run, so a
+    finished slice that was asked for again would be lost.
+    """
+    root, slices = _paged_events(spark, sf_dir)
+    state = scratch_path(spark, "extract")
+
+    def pull(some: list) -> None:
+        pull_slices(spark, stored_pages(root), some, state, lambda rows: replace_slices(rows, f"{state}/records"), PAGE_ROWS)
+
+    pull(slices[:2])
+    for _, start, _ in slices[:2]:
+        remove(spark, f"{root}/slice_start={quote(start, safe='')}")
+    pull(slices)
+    pull(slices)
+    return _events_of(spark.read.schema(PAGES).parquet(f"{state}/records"))
+
+
 def _json_pages_sql() -> str:
     return f"""
         WITH b AS (SELECT date_trunc('day', min(ts)) AS first FROM events),
@@ -477,6 +575,20 @@ QUERIES = {
         FROM m
     """),
     "json_pages": Query(json_pages, _json_pages_sql()),
+    "json_pages_resumed": Query(json_pages_resumed, _json_pages_sql()),
+    "per_file_head_physical": Query(per_file_head_physical, _head_sql(25)),
+    "archive_members": Query(archive_members, f"""
+        SELECT DISTINCT CAST(c_custkey // {ROWS_PER_ARCHIVE} AS BIGINT) AS archive_no,
+               'part' || unnest([0, 1]) || '.csv' AS member, true AS filled, true AS fine FROM customer
+    """),
+    "open_data_load": Query(open_data_load, f"""
+        SELECT CAST(event_id AS VARCHAR) AS unique_key, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS created,
+               event_type AS complaint_type, '{contracts.RECORD_SETS[0].resource_id}' AS resource_id FROM events
+    """),
+    "trip_ingest_report": Query(trip_ingest_report, """
+        SELECT unnest(['fhv', 'fhvhv', 'green', 'yellow']) AS stream,
+               unnest([0, 0, 0, (SELECT count(*) FROM orders)]) AS rows
+    """),
     "open_json_records": Query(open_json_records, """
         SELECT event_id, json_extract_string(props, '$.k') AS k, 'absent' AS unique_key,
                replace(props, ' ', '') AS rest FROM events

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from tidemark.functions.text import is_blank
 
@@ -49,6 +50,13 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
+def require_some(rows: int, what: str) -> int:
+    """The same once the rows are counted."""
+    if not rows:
+        raise DataCheckError(f"no rows were loaded for {what}")
+    return rows
+
+
 def verify_count(written: DataFrame, expected: int) -> int:
     found = written.count()
     if found != expected:
@@ -116,15 +124,26 @@ def reconcile(
 ) -> DataFrame:
     """Row counts (and a summed amount) per key on both sides.
 
+    Whole numbers and decimals are summed as they are, other numbers as decimals of nine
+    places, so that the sum does not depend on the order of the rows.
+
     Both sides are tagged and grouped once instead of being joined: rows are combined
     before the only shuffle, so a hot key costs no more than any other, and NULL keys
     meet each other.
     """
+    def amount_type(df: DataFrame) -> str:
+        kind = df.select(F.col(amount)).schema[0].dataType if amount else None
+        return kind.simpleString() if isinstance(kind, (DecimalType, IntegralType)) else "decimal(38,9)"
+
+    # Both sides in one type, the finer one where they differ.
+    kinds = {amount_type(left), amount_type(right)}
+    kind = kinds.pop() if len(kinds) == 1 else "decimal(38,9)"
+
     def side(df: DataFrame, is_left: bool) -> DataFrame:
         value = F.col(amount) if amount else F.lit(None)
         cols = [F.col(f"`{k}`") for k in keys]
-        value = value.cast("decimal(18,2)")
-        nothing = F.lit(None).cast("decimal(18,2)")
+        value = value.cast(kind)
+        nothing = F.lit(None).cast(kind)
         return df.select(
             *cols,
             F.lit(1 if is_left else 0).alias("_l"),

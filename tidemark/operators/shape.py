@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,6 +89,39 @@ def stage_json(df: DataFrame, payload: str, types: Mapping[str, str]) -> DataFra
     return df.withColumn("_fields", F.from_json(payload, shape)).withColumns(cleaned).drop("_fields")
 
 
+def stage_json_checked(
+    df: DataFrame, payload: str, types: Mapping[str, str], seen: Observation | None = None
+) -> DataFrame:
+    """``stage_json`` that drops nothing silently: ``_rejects`` lists what did not fit its type.
+
+    Each entry has the ``field`` and the ``raw`` text, cleaned of outer blanks only; a payload
+    that is no JSON object is one entry with the field ``*``. The list is empty, not NULL, for a row
+    without any. ``seen`` counts, in the pass that uses the rows, all of them (``rows``) and
+    those with a reject (``rejected``).
+    """
+    shape = T.StructType([T.StructField(name, T.StringType()) for name in types])
+    wide = df.withColumn("_fields", F.from_json(payload, shape)).withColumn("_whole", F.try_parse_json(payload))
+    texts = {name: F.nullif(F.trim(F.col(f"_fields.`{name}`")), F.lit("")) for name in types}
+    entry = "struct<field:string,raw:string>"
+
+    def reject(when: Column, field: str, raw: Column) -> Column:
+        return F.when(when, F.struct(F.lit(field).alias("field"), raw.alias("raw")).cast(entry))
+
+    unfit = [reject(text.isNotNull() & text.try_cast(types[name]).isNull(), name, F.col(f"_fields.`{name}`")) for name, text in texts.items()]
+    is_object = F.coalesce(F.schema_of_variant("_whole").startswith("OBJECT"), F.lit(False))
+    unfit.append(reject(F.col(payload).isNotNull() & ~is_object, "*", F.col(payload)))
+    checked = wide.withColumn("_rejects", F.filter(F.array(*unfit), lambda r: r.isNotNull()))
+    typed = checked.withColumns({name: text.try_cast(types[name]) for name, text in texts.items()}).drop("_fields", "_whole")
+    if seen is None:
+        return typed
+    return typed.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size("_rejects") > 0).alias("rejected"))
+
+
+def rejected_fields(staged: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """One row for each reject of ``stage_json_checked``: the columns to know it by, field and raw text."""
+    return staged.where(F.size("_rejects") > 0).select(*keep, F.inline("_rejects"))
+
+
 def names_like(names: DataFrame, column: str, patterns: Sequence[str], but: Sequence[str] = ()) -> DataFrame:
     """Names matching any LIKE pattern, apart from the listed ones."""
     hit = reduce(Column.__or__, [F.col(column).like(p) for p in patterns])

@@ -24,13 +24,13 @@ from tidemark.streaming.increments import load_increment
 
 def ingest_trips(
     spark: SparkSession, root: str, prefixes: Mapping[str, list[str]], limit: int | None = None,
-    head_rows: int = 0, head_order: tuple[str, ...] = (),
+    head_rows: int = 0, head_order: tuple[str, ...] = (), layer: str = "raw",
 ) -> DataFrame:
     """Replace each stream's raw table by its files, or the first ``limit`` of them; rows per stream.
 
     A stream without files is reported with 0 and its table stays as it was.
     """
-    ensure_layers(spark)
+    ensure_layers(spark, [layer])
     loaded: dict[str, DataFrame | None] = {}
     for name, wanted in prefixes.items():
         paths = paths_of(capped_listing(list_prefixes(spark, root, wanted), wanted, limit))
@@ -41,7 +41,7 @@ def ingest_trips(
         if head_rows:
             rows = head_per_file(rows, head_order, head_rows)
         landed = blank_to_null(rename_all(rows, lower_name))
-        loaded[name] = replace_table(landed, f"raw.{contracts.TRIP_STREAMS[name].table}")
+        loaded[name] = replace_table(landed, f"{layer}.{contracts.TRIP_STREAMS[name].table}")
     return load_report(loaded)
 
 

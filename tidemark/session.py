@@ -84,8 +84,13 @@ def clear_scratch(spark: SparkSession) -> None:
     Only once nothing reads it any more: many operators return a plan over it.
     """
     while _made:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, _made.pop())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it, if it is there."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(name, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -93,6 +98,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(name)
 
 
+def folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Names of the folders ``depth`` levels below a path, without hidden ones; none if it is not there."""
+    if not exists(spark, path):
+        return []
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in system.listStatus(top) if f.isDirectory())
+    names = [n for n in names if not n.startswith((".", "_"))]
+    if depth == 1:
+        return names
+    return [f"{n}/{below}" for n in names for below in folders(spark, f"{path}/{n}", depth - 1)]
+
+
 def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 

@@ -1,8 +1,9 @@
 """Zipped CSV scan.
 
-Spark has no zip codec, so this is one of two places where Python touches rows. One
-task streams one archive: the file is opened in place, its members are decompressed and
-parsed piece by piece, and no archive is ever held in memory or sent through Arrow.
+Spark has no zip codec, so this is one of two places where Python touches rows. The
+archives' central directories are read first; then one task streams one member: the
+archive is opened in place at the member, which is decompressed and parsed piece by piece.
+No archive is ever held in memory or sent through Arrow.
 """
 
 from __future__ import annotations
@@ -17,11 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import contracts
+from tidemark.session import stored
 from tidemark.sources.paths import open_file
 
 ROWS_PER_BATCH = 20_000
-# With more archives than this, tasks take several one after the other.
+# With more members than this, tasks take several one after the other.
 MOST_TASKS = 10_000
+# A member of at most so many bytes is unpacked once and held until its check sum is known;
+# a larger one is unpacked once for the check sum and once more for its rows.
+HELD_BYTES = 64 << 20
 
 
 def bike_archive_rows(archives: DataFrame, path: str = "path") -> DataFrame:
@@ -51,7 +56,7 @@ def zipped_csv(
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in (*columns, "_archive", "_member", "_layout")]
     )
-    batch_rows = ROWS_PER_BATCH
+    batch_rows, held = ROWS_PER_BATCH, HELD_BYTES
     mapping = dict(renamed or {})
 
     def read(batches):
@@ -77,43 +82,83 @@ def zipped_csv(
                 return "new", [mapping.get(c) for c in columns]
             return "header", []
 
+        def parsed(pack, archive, name):
+            """Batches of a member, as they come; damage shows at the latest when its end is read."""
+            with pack.open(name) as member:
+                header, chunks = _csv_columns(member, batch_rows)
+                layout, wanted = layout_of(header)
+                if layout == "header":
+                    _verify(pack, name)
+                    yield rejected((archive, name), layout)
+                    return
+                # A repeated header name means its last column.
+                place = {h: at for at, h in enumerate(header)}
+                for count, found in chunks:
+                    picked = [
+                        found[place[w]] if w in place and place[w] < len(found) else [None] * count
+                        for w in wanted
+                    ]
+                    yield batch(picked, (archive, name), layout, count)
+
         for incoming in batches:
-            for archive in incoming.column(0).to_pylist():
-                with open_file(archive) as raw:
-                    try:
-                        pack = zipfile.ZipFile(raw)
-                    except damage:
-                        yield rejected((archive, None), "not a zip")
-                        continue
-                    names = [i.filename for i in pack.infolist() if _is_table(i.filename)]
-                    if not names:
-                        yield rejected((archive, None), "no csv")
-                    for name in names:
-                        try:
+            for archive, name, size, problem in zip(*(c.to_pylist() for c in incoming.columns), strict=True):
+                if problem:
+                    yield rejected((archive, name), problem)
+                    continue
+                try:
+                    with open_file(archive) as raw, zipfile.ZipFile(raw) as pack:
+                        if size <= held:
+                            # Small enough to wait for its check sum before anything is handed on.
+                            whole = list(parsed(pack, archive, name))
+                        else:
                             _verify(pack, name)
-                        except damage:
-                            yield rejected((archive, name), "damaged")
+                            yield from parsed(pack, archive, name)
                             continue
-                        with pack.open(name) as member:
-                            header, chunks = _csv_columns(member, batch_rows)
-                            layout, wanted = layout_of(header)
-                            if layout == "header":
-                                yield rejected((archive, name), layout)
-                                continue
-                            # A repeated header name means its last column.
-                            place = {h: at for at, h in enumerate(header)}
-                            for count, found in chunks:
-                                picked = [
-                                    found[place[w]] if w in place and place[w] < len(found) else [None] * count
-                                    for w in wanted
-                                ]
-                                yield batch(picked, (archive, name), layout, count)
-
-    # One archive per task: sizes differ by orders of magnitude. The number has to be
-    # given, or adaptive execution would merge the short path rows into one task.
+                except damage:
+                    yield rejected((archive, name), "damaged")
+                    continue
+                yield from whole
+
+    # One member per task: sizes differ by orders of magnitude. The number has to be
+    # given, or adaptive execution would merge the short rows into one task.
+    listed = stored(members(archives, path), "members")
+    tasks = min(max(listed.count(), 1), MOST_TASKS)
+    return listed.repartitionByRange(tasks, "archive", "member").mapInArrow(read, schema)
+
+
+def members(archives: DataFrame, path: str = "path") -> DataFrame:
+    """(archive, member, size, problem) of the CSV members, from the archives' central directories.
+
+    Only the end of each archive is read. An archive without any is one row whose
+    ``problem`` says ``not a zip`` or ``no csv``; ``size`` is in bytes, unpacked.
+    """
+
+    def look(batches):
+        import zipfile
+
+        import pyarrow as pa
+
+        for incoming in batches:
+            found = []
+            for archive in incoming.column(0).to_pylist():
+                try:
+                    with open_file(archive) as raw, zipfile.ZipFile(raw) as pack:
+                        tables = [(archive, i.filename, i.file_size, None) for i in pack.infolist() if _is_table(i.filename)]
+                except (zipfile.BadZipFile, EOFError, OSError, pa.ArrowInvalid):
+                    tables = [(archive, None, 0, "not a zip")]
+                found += tables or [(archive, None, 0, "no csv")]
+            columns = zip(*found, strict=True) if found else [[]] * 4
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)],
+                names=["archive", "member", "size", "problem"],
+            )
+
     paths = archives.select(F.col(path).alias("_path"))
     tasks = min(max(paths.count(), 1), MOST_TASKS)
-    return paths.repartitionByRange(tasks, "_path").mapInArrow(read, schema)
+    return paths.repartitionByRange(tasks, "_path").mapInArrow(
+        look, "archive string, member string, size long, problem string"
+    )
 
 
 def _is_table(member: str) -> bool:

@@ -126,6 +126,65 @@ def head_per_file(df: DataFrame, order: Sequence[str], n: int, folder: bool = Fa
     return head_per_group(tagged, ["_file"], order, n).drop("_file")
 
 
+def physical_head(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of every Parquet file as they lie in it; 0 keeps all. ``df`` is a file scan.
+
+    The scan numbers the rows of a file itself, so nothing is sorted, moved or copied.
+    """
+    if n < 0:
+        raise ValueError("n must not be negative")
+    return df.where(F.col("_metadata.row_index") < n) if n else df
+
+
+def footer_bounds(spark: SparkSession, paths: Sequence[str], column: str) -> DataFrame:
+    """(path, rows, newest, known) of Parquet files, from their footers alone.
+
+    ``newest`` is the largest value of a date or time column as a timestamp without a zone. It
+    is ``known`` if every row group either says its largest value or has nothing but NULLs.
+    """
+
+    def look(batches):
+        import datetime
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows, newest, known = [], [], []
+            for path in batch.column(0).to_pylist():
+                with open_file(path) as file:
+                    footer = pq.ParquetFile(file).metadata
+                names = [footer.schema.column(i).path for i in range(footer.num_columns)]
+                best, sure = None, column in names
+                for group in range(footer.num_row_groups) if sure else ():
+                    part = footer.row_group(group)
+                    told = part.column(names.index(column)).statistics
+                    if told is not None and told.has_min_max:
+                        value = told.max
+                        if isinstance(value, datetime.datetime):
+                            value = value.replace(tzinfo=None)
+                        elif isinstance(value, datetime.date):
+                            value = datetime.datetime(value.year, value.month, value.day)
+                        else:
+                            sure = False
+                            break
+                        best = value if best is None else max(best, value)
+                    elif told is None or not told.has_null_count or told.null_count < part.num_rows:
+                        sure = False
+                        break
+                rows.append(footer.num_rows)
+                newest.append(best if sure else None)
+                known.append(sure)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(rows, pa.int64()), pa.array(newest, pa.timestamp("us")), pa.array(known)],
+                names=["path", "rows", "newest", "known"],
+            )
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths)).select("path")
+    tables = listed.where(F.col("path").endswith(".parquet"))
+    return tables.mapInArrow(look, "path string, rows long, newest timestamp_ntz, known boolean")
+
+
 def tolerant_scan(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, must_have_rows: bool = True
 ) -> DataFrame:

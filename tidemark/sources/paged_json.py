@@ -9,7 +9,7 @@ empty. Only one page per reader is held.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -20,6 +20,32 @@ from tidemark.sources.paths import file_system
 READERS = 4
 # fetch(start, end, limit, offset) -> the page's records, in cursor order
 Fetch = Callable[[str, str, int, int], list]
+SCHEMA = "slice_no int, page_no int, payload string"
+
+
+def page_batches(
+    fetch: Fetch, number: int, start: str, end: str, page_size: int, reader: int, readers: int
+) -> Iterator:
+    """One slice's pages ``reader``, ``reader + readers``, ... as Arrow batches, up to a short page."""
+    import json
+
+    import pyarrow as pa
+
+    page = reader
+    while True:
+        records = fetch(start, end, page_size, page * page_size)
+        if records:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number] * len(records), pa.int32()),
+                    pa.array([page] * len(records), pa.int32()),
+                    pa.array([json.dumps(r, ensure_ascii=False) for r in records], pa.string()),
+                ],
+                names=["slice_no", "page_no", "payload"],
+            )
+        if len(records) < page_size:
+            return
+        page += readers
 
 
 def read_pages(
@@ -44,25 +70,9 @@ def read_pages(
             return [Slice(*s, reader) for s in todo for reader in range(readers)]
 
         def read(self, partition):
-            import json
-
-            import pyarrow as pa
-
-            page = partition.reader
-            while True:
-                records = fetch(partition.start, partition.end, page_size, page * page_size)
-                if records:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([partition.number] * len(records), pa.int32()),
-                            pa.array([page] * len(records), pa.int32()),
-                            pa.array([json.dumps(r, ensure_ascii=False) for r in records], pa.string()),
-                        ],
-                        names=["slice_no", "page_no", "payload"],
-                    )
-                if len(records) < page_size:
-                    return
-                page += readers
+            return page_batches(
+                fetch, partition.number, partition.start, partition.end, page_size, partition.reader, readers
+            )
 
     class PagedJson(DataSource):
         @classmethod
@@ -70,13 +80,13 @@ def read_pages(
             return name
 
         def schema(self):
-            return "slice_no int, page_no int, payload string"
+            return SCHEMA
 
         def reader(self, schema):
             return Reader()
 
     if not todo:
-        return spark.createDataFrame([], "slice_no int, page_no int, payload string")
+        return spark.createDataFrame([], SCHEMA)
     spark.dataSource.register(PagedJson)
     return spark.read.format(name).load()
 
