@@ -17,12 +17,16 @@ from tidemark.llm.common import ascii_lower, stored
 WINDOW = 10
 K = 5
 
-#: Fixed value: what a word is (digits, lower-case letters, everything outside ASCII).
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Fixed value: what parts words (all of ASCII but digits and lower-case letters).
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(_WORD), F.lit(0))
+    """Words of a text, A-Z lower-cased; null has none."""
+    whole = F.coalesce(text, F.lit(""))
+    # Spark's own lower case differs from that only outside ASCII.
+    lowered = F.when(F.length(whole) == F.octet_length(whole), F.lower(whole)).otherwise(ascii_lower(whole))
+    return F.array_remove(F.split(lowered, _BETWEEN, -1), "")
 
 
 def _starts(last: Column) -> Column:
@@ -35,9 +39,27 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _sliding(values: Column, width: int, combine) -> Column:
+    """``combine`` over every ``width`` consecutive values; each pass covers up to twice as many, some of them twice."""
+
+    def wider(step: int):
+        def pair(part: Column) -> Column:
+            n = F.greatest(F.size(part) - step, F.lit(0))
+            return F.zip_with(F.slice(part, F.lit(1), n), F.slice(part, F.lit(1 + step), n), combine)
+
+        return pair
+
+    reached = 1
+    while reached < width:
+        step = min(reached, width - reached)
+        values = _let(values, wider(step))
+        reached += step
+    return values
+
+
 def _grams(ws: Column, n: int) -> Column:
-    """Hash of the ``n`` words from each place on."""
-    return F.transform(_starts(F.size(ws) - n), lambda at: F.xxhash64(F.slice(ws, at + 1, n)))
+    """Hash of the ``n`` words from each place on, made of the words' own hashes."""
+    return _sliding(F.transform(ws, lambda w: F.xxhash64(w)), n, lambda a, b: F.xxhash64(a, b))
 
 
 def fingerprints(ws: Column, k: int, window: int) -> Column:
@@ -45,10 +67,18 @@ def fingerprints(ws: Column, k: int, window: int) -> Column:
     reach = window - k + 1
 
     def chosen(hashes: Column) -> Column:
-        def smallest(at: Column) -> Column:
-            return _let(F.slice(hashes, at + 1, reach), lambda part: at + F.array_position(part, F.array_min(part)).cast("int") - 1)
+        def picked(least: Column) -> Column:
+            # The smallest hash moves on only where a window has another one, or has left it behind.
+            def moved(at: Column) -> Column:
+                before = F.get(least, at - 1)
+                return (at == 0) | (F.get(least, at) != before) | (F.get(hashes, at - 1) == before)
+
+            def place(at: Column) -> Column:
+                return at + F.array_position(F.slice(hashes, at + 1, reach), F.get(least, at)).cast("int") - 1
+
+            return F.array_distinct(F.transform(F.filter(_starts(F.size(least) - 1), moved), place))
 
-        places = F.array_distinct(F.transform(_starts(F.size(hashes) - reach), smallest))
+        places = _let(_sliding(hashes, reach, lambda a, b: F.least(a, b)), picked)
         return F.transform(places, lambda at: F.struct(F.lit(window).alias("n"), at.alias("pos"), F.get(hashes, at).alias("hash")))
 
     return _let(_grams(ws, k), chosen)
