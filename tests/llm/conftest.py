@@ -36,7 +36,7 @@ ODD = [
 CLASHING = (
     "doc_id long, text string, key long, sid long, n long, list long, pos int, root long, hits string, spans string, "
     "row string, stats string, digest string, keeper string, length int, start int, rank int, _key long, _hash long, "
-    "text_hash long, label double, words string, marks string, score double, kind int, value string, lines string"
+    "text_hash long, _id long, _gone long, _first int, _left string, _dots string, hot string, k1 long, label double, words string, marks string, score double, kind int, value string, lines string"
 )
 
 

@@ -116,6 +116,19 @@ def test_repeated_rows_are_one_document(docs):
     assert ordered((r.row.doc_id, r.text) for r in got) == [(1, "a\nb\nc"), (1, "a\nb\nc"), (2, "d")]
 
 
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_common_windows_against_brute_force(docs, monkeypatch, share):
+    from tidemark.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", share)
+    rng = random.Random(4)
+    rows = [(i, "\n".join(["head", "of", "all", *rng.choices("abcdef", k=rng.randint(0, 9))])) for i in range(80)]
+    rows += [(None, "head\nof\nall"), (5, "x\nhead\nof\nall")]
+    got = dedup_lines(docs(rows)).collect()
+    want = brute_lines(rows)
+    assert len(got) == len(rows) and all((r.text, r.n_lines, r.n_removed) == want[r.row.doc_id, r.row.text] for r in got)
+
+
 def test_passages_inside_lines(docs):
     passage = "It was late. Was it? Nobody knew!  All went home."
     rows = [

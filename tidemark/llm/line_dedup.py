@@ -11,7 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import stored
+
 LINES = 3
+#: A window with more than this part of all repeated places is joined apart from the others.
+HOT_SHARE = 1000
 #: Between the sentences of a line.
 _SENTENCE_END = r"(?:(?<=[.!?][\x20\t])|(?<=[\u3002\uFF01\uFF1F]))(?![\x20\t]*+\z)"
 
@@ -72,13 +76,21 @@ def repeated_lines(docs: DataFrame, size: int = LINES, sentences: bool = False)
     windows = keyed.select("doc_id", "text_hash", F.inline(_windows(_compared(F.col("text"), sentences), size)))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "pos")
     # A common window is counted in each task before the shuffle.
-    repeats = (
-        windows.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("h1", "h2", "first")
+    repeats = stored(
+        windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"), "windows"
+    )
+    # Windows that hold more than one in HOT_SHARE of all repeated places are fewer than HOT_SHARE. Their
+    # first places go to every task; their other places are spread, and meet nothing in the join.
+    places = repeats.agg(F.sum("n")).head()[0] or 0
+    hot = repeats.where(F.col("n") * HOT_SHARE > places).select("h1", "h2", F.col("first").alias("hot"))
+    marked = windows.join(F.broadcast(hot), ["h1", "h2"], "left")
+    own = F.xxhash64("doc_id", "text_hash", "pos")
+    spread = marked.withColumns(
+        {f"k{i}": F.when(F.col("hot").isNull(), F.col(f"h{i}")).otherwise(own + i) for i in (1, 2)}
     )
-    later = windows.join(repeats, ["h1", "h2"]).where(place != F.col("first"))
+    rest = repeats.where(F.col("n") * HOT_SHARE <= places).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "first")
+    first = F.coalesce("hot", "first")
+    later = spread.join(rest, ["k1", "k2"], "left").where(first.isNotNull() & (place != first))
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("starts"))
 
 
