@@ -219,8 +219,8 @@ def accepted(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> D
     Texts of labelled documents are measured for the model; all rows are then scored where
     they are, without a shuffle.
     """
-    wanted = labels.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("_id"))
-    known = docs.join(wanted, docs["doc_id"].cast("long") == F.col("_id"), "left_semi")
+    wanted = labels.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"))
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
     model = fit(labelled(stored(statistics(known), "statistics"), labels, most))
     rows = docs.select(F.struct("*").alias("row"), measured(docs["text"]).alias("stats"))
     return rows.where(model.score("stats.") >= ACCEPTED).select("row.*")
