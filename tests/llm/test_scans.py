@@ -166,10 +166,42 @@ def test_blocks_against_brute_force(docs):
         lines = rows[r.doc_id][1].split("\n")
         blocks = [line for line in lines if line.strip()]
         blocks += [p for p in re.split(r"\n\n+", rows[r.doc_id][1]) if "\n" in p.strip("\n")]
-        want = {label for b in blocks for label, t in NOTICES if 100 * len(cut(b) & cut(t)) >= 80 * len(cut(t))}
+        want = {label for b in blocks for label, t, _ in NOTICES if 100 * len(cut(b) & cut(t)) >= 80 * len(cut(t))}
         assert {m.label for m in r.matches} == want
 
 
+def named(spark_docs, text):
+    (row,) = license_scan(spark_docs([(1, text)])).collect()
+    return sorted({m.label for m in row.matches if m.named})
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Licensed under CC BY-NC 4.0.", ["cc-by-nc"]),
+        ("Licensed under CC BY-NC-SA 4.0.", ["cc-by-nc-sa"]),
+        ("Licensed under CC BY 4.0", []),
+        ("This work is licensed under the GNU General Public License, version 3.", ["gpl-notice"]),
+        ("Licensed under the Apache License, Version 2.0.", ["apache-2.0"]),
+        ("Released under the Apache License, Version 2.0", ["apache-2.0"]),
+        ("Released under the BSD License", ["bsd"]),
+        ("Released under the MIT License.", ["mit-notice"]),
+        ("you can redistribute it and/or modify it\nunder the terms of the GNU Lesser General\nPublic License as published", ["lgpl"]),
+        ("Permission is hereby granted to any person obtaining a copy of this software and associated documentation files", []),
+    ],
+)
+def test_labels_of_notices(docs, text, labels):
+    assert named(docs, text) == labels
+    assert named(docs, f"some words before\n\n{text}\n\nand after") == labels
+
+
+def test_every_notice_names_itself_only(docs):
+    got = license_scan(docs([(at, text) for at, (_, text, _) in enumerate(NOTICES)])).collect()
+    assert len(got) == len(NOTICES)
+    for r in got:
+        assert {m.label for m in r.matches if m.named} == {NOTICES[r.doc_id][0]}
+
+
 def test_no_licenses(docs):
     assert license_scan(docs([])).count() == 0
     assert [(r.n_words, r.phrases, r.matches) for r in license_scan(docs([(1, None)])).collect()] == [(0, [], [])]

@@ -143,8 +143,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(documents(spark, sf_dir))
     base = F.transform("phrases", lambda p: p["label"])
-    added = F.transform("matches", lambda m: m["label"])
-    best = F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0))
+    named = F.filter("matches", lambda m: m["named"])
+    added = F.transform(named, lambda m: m["label"])
+    best = F.coalesce(F.array_max(F.transform(named, lambda m: m["containment"])), F.lit(0.0))
 
     def spelled(labels: Column) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
