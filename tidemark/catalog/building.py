@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +45,10 @@ from tidemark.plans.marts import (
     fact_complaints,
     fact_event_permits,
     fact_subway_entries,
+    update_marts,
 )
+from tidemark.session import scratch_database, stored
+from tidemark.sinks.tables import upsert
 
 PART_SIZE = 500
 
@@ -351,6 +356,63 @@ def medallion_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return borough_flow(zone_flow(trips(spark, sf_dir, kept), zones(spark, sf_dir)))
 
 
+FULL_KEY = (*LINE_KEY, "l_shipdate")
+
+
+def marts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip marts after a late correction turns the trips of the last three days around and raises their price.
+
+    Rows of the zone flow and of the daily fact, and for each month whether the update made it anew.
+    """
+    database = scratch_database(spark, "marts")
+    name = f"{database}.trips"
+    lines = newest_per_key(table(spark, sf_dir, "lineitem"), FULL_KEY, "l_shipdate")
+    all_trips = stored(trips(spark, sf_dir, lines), "trips")
+
+    def update() -> dict[str, DataFrame]:
+        price = {"price": money(F.col("l_extendedprice"))}
+        return update_marts(spark, name, zones(spark, sf_dir), "l_shipdate", database, None, price)
+
+    upsert(all_trips, name, FULL_KEY, "l_shipdate", 1)
+    place = F.col("_metadata.file_path")
+    before = stored(update()["trip_totals"].select(place.alias("path")).distinct(), "files")
+    (newest,) = all_trips.agg(F.max("l_shipdate")).head()
+    late = all_trips.where(F.col("l_shipdate") >= F.lit(newest - timedelta(days=3))).withColumns({
+        "l_extendedprice": F.col("l_extendedprice") + 1,
+        "pulocationid": F.col("dolocationid"), "dolocationid": F.col("pulocationid"),
+    })
+    upsert(late, name, FULL_KEY, "l_shipdate", 2)
+    marts = update()
+    none = F.lit(0.0)
+    flow = marts["agg_flow_zone"].select(
+        F.lit("flow").alias("mart"), F.concat_ws(" > ", "pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone").alias("name"),
+        "trips", none.alias("price"), none.alias("mean"), F.lit(False).alias("remade"),
+    )
+    daily = marts["fact_trips_daily"].select(
+        F.lit("daily"), day_text("day"), "row_count", double("price_sum"), double("price_avg"), F.lit(False)
+    )
+    paths = marts["trip_totals"].select("load_month", "row_count", place.alias("path"))
+    known = paths.join(before.withColumn("kept", F.lit(True)), "path", "left")
+    months = known.groupBy("load_month").agg(F.sum("row_count").alias("n"), F.bool_or(F.col("kept").isNull()).alias("remade"))
+    return flow.union(daily).union(months.select(F.lit("month"), "load_month", "n", none, none, "remade"))
+
+
+_MARTS_SQL = f"""
+    WITH t AS ({TRIPS_SQL.format(lines="(" + newest_lines_sql(FULL_KEY) + ")")}),
+    m AS (SELECT max(l_shipdate) - INTERVAL 3 DAY AS late FROM t),
+    c AS (SELECT l_shipdate, l_shipdate >= late AS is_late, CASE WHEN l_shipdate >= late THEN do_ ELSE pu END AS pu,
+                 CASE WHEN l_shipdate >= late THEN pu ELSE do_ END AS do_,
+                 CAST(l_extendedprice + CASE WHEN l_shipdate >= late THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS price FROM t, m)
+    SELECT 'flow' AS mart, concat_ws(' > ', p.r_name, p.n_name, q.r_name, q.n_name) AS name, count(*) AS trips,
+           0.0::DOUBLE AS price, 0.0::DOUBLE AS mean, false AS remade
+    FROM c LEFT JOIN ({ZONES_SQL}) p ON c.pu = p.n_nationkey LEFT JOIN ({ZONES_SQL}) q ON c.do_ = q.n_nationkey GROUP BY 2
+    UNION ALL SELECT 'daily', strftime(l_shipdate, {DAY}), count(*), CAST(sum(price) AS DOUBLE),
+           CAST((2 * CAST(sum(price) * 100 AS HUGEINT) * 10000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000.0::DOUBLE, false
+           FROM c GROUP BY 2
+    UNION ALL SELECT 'month', strftime(l_shipdate, '%Y%m'), count(*), 0.0, 0.0, bool_or(is_late) FROM c GROUP BY 2
+"""
+
+
 QUERIES = {
     "trip_zone_join": Query(trip_zone_join, f"""
         SELECT l_orderkey, l_linenumber, l_partkey, strftime(l_shipdate, {SECOND}) AS picked_up,
@@ -436,6 +498,7 @@ QUERIES = {
                string_agg(event_id || ':' || user_id, ',' ORDER BY event_id, user_id) AS events
         FROM n GROUP BY ALL
     """),
+    "marts_incremental": Query(marts_incremental, _MARTS_SQL),
     "medallion_flagship": Query(medallion_flagship, f"""
         SELECT p.r_name AS pickup_borough, q.r_name AS dropoff_borough, count(*) AS trips
         {_ENDS_SQL.format(lines="(" + newest_lines_sql(LINE_KEY) + ")")} GROUP BY ALL

@@ -10,11 +10,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tidemark.operators.joins import attach_zones
 from tidemark.operators.numbering import number_rows
 from tidemark.session import stored
 
+#: What a zone flow is counted by.
+FLOW_ENDS = ("pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone")
+
+
 def money(col: Column) -> Column:
     """Exact amounts, so that a sum does not depend on the order of its rows."""
     return col.cast("decimal(18,2)")
@@ -44,6 +49,39 @@ def daily_fact(
     return df.groupBy(F.to_date(cursor).alias("day"), *by).agg(F.count("*").alias("row_count"), *totals)
 
 
+def partial_fact(
+    df: DataFrame, cursor: str, by: Sequence[str] = (), measures: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """What ``merge_facts`` needs of some of the rows: counts, sums, minima and maxima per day (and key)."""
+    totals = []
+    for name, col in (measures or {}).items():
+        totals += [
+            F.sum(col).alias(f"{name}_sum"),
+            F.count(col).alias(f"{name}_n"),
+            F.min(col).alias(f"{name}_min"),
+            F.max(col).alias(f"{name}_max"),
+        ]
+    return df.groupBy(F.to_date(cursor).alias("day"), *by).agg(F.count("*").alias("row_count"), *totals)
+
+
+def merge_facts(partials: DataFrame, by: Sequence[str] = (), measures: Sequence[str] = ()) -> DataFrame:
+    """The daily fact of all rows that the partial facts were made of, as ``daily_fact`` gives it."""
+    totals = []
+    for name in measures:
+        total = F.sum(f"{name}_sum").cast(partials.schema[f"{name}_sum"].dataType)
+        mean = F.try_divide(total, F.sum(f"{name}_n"))
+        kind = partials.schema[f"{name}_min"].dataType
+        if isinstance(kind, DecimalType):
+            mean = mean.cast(DecimalType(min(kind.precision + 4, 38), min(kind.scale + 4, 38)))
+        totals += [
+            total.alias(f"{name}_sum"),
+            mean.alias(f"{name}_avg"),
+            F.min(f"{name}_min").alias(f"{name}_min"),
+            F.max(f"{name}_max").alias(f"{name}_max"),
+        ]
+    return partials.groupBy("day", *by).agg(F.sum("row_count").alias("row_count"), *totals)
+
+
 def date_dimension(bounds: DataFrame, first: str = "first", last: str = "last") -> DataFrame:
     """Every day of the range with its calendar parts (1 = Sunday)."""
     days = F.when(
@@ -105,10 +143,9 @@ def zone_flow(
 
     Counted by zone ids first, so that names are joined to pairs of zones, not to trips.
     """
-    ends = ["pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone"]
     by_id = trips.groupBy(pickup, dropoff).agg(F.count("*").alias("_n"))
     named = attach_zones(by_id, zones, pickup, dropoff)
-    return named.groupBy(*ends).agg(F.sum("_n").alias("trips"))
+    return named.groupBy(*FLOW_ENDS).agg(F.sum("_n").alias("trips"))
 
 
 def borough_flow(flow: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import contracts
@@ -13,17 +13,22 @@ from tidemark.functions.times import ntz
 from tidemark.operators.checks import kept_and_dropped
 from tidemark.operators.joins import attach_zones, nearest_zone
 from tidemark.operators.marts import (
+    FLOW_ENDS,
     borough_flow,
     daily_fact,
     documents,
     exact,
+    merge_facts,
     modal_daily,
+    partial_fact,
     station_dimension,
     zone_flow,
 )
 from tidemark.operators.shape import before, stage_json
 from tidemark.session import stored
-from tidemark.sinks.tables import replace_table
+from tidemark.sinks.derived import ORIGIN, refresh
+from tidemark.sinks.tables import LOAD_SEQ, replace_table
+from tidemark.sinks.versions import partition_columns
 
 
 def fact_trips(
@@ -72,6 +77,42 @@ def build_marts(
     return made
 
 
+def update_marts(
+    spark: SparkSession, trips: str, zones: DataFrame, cursor: str, database: str = "marts",
+    reliable_before: str | None = contracts.RELIABLE_BEFORE, measures: Mapping[str, Column] | None = None,
+) -> dict[str, DataFrame]:
+    """Bring the trip marts up to date after loads into the table ``trips``, which ``upsert`` keeps.
+
+    Only the months (or stretches of months) that loads have touched since the last update
+    are read: their trips get zones anew (``fact_trips``), and one partial summary for each
+    day and pair of zones (``trip_totals``). Flows and the daily fact are merged from
+    the summaries, which are far smaller than the trips. The result is that of a whole
+    rebuild, whatever a load has added or corrected; other zones, or another
+    ``reliable_before``, make all months anew. ``measures`` should be exact (``money``,
+    ``exact``); sums of doubles depend on the order of their rows.
+    """
+    measures = measures or {}
+    fact, totals = f"{database}.fact_trips", f"{database}.trip_totals"
+    seen = zones.agg(F.count("*"), F.sum(F.xxhash64(*zones.columns).cast("decimal(20,0)"))).head()
+    refresh(
+        spark, trips, fact, lambda rows: fact_trips(rows.drop(LOAD_SEQ), zones, cursor, reliable_before),
+        f"{seen[0]} {seen[1]} {reliable_before}",
+    )
+
+    def summary(rows: DataFrame) -> DataFrame:
+        return partial_fact(rows, cursor, [*by, *FLOW_ENDS], measures)
+
+    by = partition_columns(spark, fact)
+    refresh(spark, fact, totals, summary, " ".join(f"{name}={col}" for name, col in measures.items()))
+    made = {"fact_trips": spark.table(fact).drop(ORIGIN), "trip_totals": spark.table(totals).drop(ORIGIN)}
+    flow = made["trip_totals"].groupBy(*FLOW_ENDS).agg(F.sum("row_count").alias("trips"))
+    made["agg_flow_zone"] = replace_table(flow, f"{database}.agg_flow_zone")
+    made["agg_flow_borough"] = replace_table(borough_flow(made["agg_flow_zone"]), f"{database}.agg_flow_borough")
+    daily = merge_facts(made["trip_totals"], (), list(measures))
+    made["fact_trips_daily"] = replace_table(daily, f"{database}.fact_trips_daily")
+    return made
+
+
 def inspection_documents(records: DataFrame, part_size: int = contracts.INSPECTION_PART) -> DataFrame:
     """Inspection rows nested per restaurant and date, ``part_size`` to a document."""
     nested = documents(records, contracts.INSPECTION_KEY, contracts.INSPECTION_CHILD, "violations", part_size)
