@@ -127,6 +127,40 @@ def test_models_tell_random_from_ordinary(docs):
     assert not any(got[i].added for i, _ in ordinary)
 
 
+def test_runs_of_any_length_and_alphabet(docs):
+    rng = random.Random(11)
+    words = ["configuration", "manager", "instance", "report", "version", "account", "number", "final", "the", "of", "Quick", "JSON", "2024"]
+    # Random strings are a three-hundredth of the letters: the models take them to be rare.
+    ordinary = [(i, " ".join(rng.choices(words, k=600)) + f" {rng.randrange(10**8)}") for i in range(300)]
+    samples = [(1000 + i, f'token = "{random_string(rng, "0123456789abcdef", 40)}"') for i in range(30)]
+    alphabets = (string.ascii_letters + string.digits, string.ascii_letters, string.ascii_lowercase + string.digits)
+    planted = [(2000 + i, f"ü the {random_string(rng, rng.choice(alphabets), rng.randint(14, 34))} of") for i in range(200)]
+    got = {r.doc_id: [(s.start, s.end) for s in r.added] for r in secret_spans(docs(ordinary + samples + planted)).collect()}
+    hit = [got[i] == [(6, len(t) - 3)] for i, t in planted]
+    # Shorter ones weigh less: 14 to 17 characters are found mostly, longer ones nearly always.
+    assert sum(hit) >= 0.9 * len(planted)
+    assert sum(h for h, (_, t) in zip(hit, planted, strict=True) if len(t) >= 27) >= 0.97 * sum(len(t) >= 27 for _, t in planted)
+    # Digits alone are ordinary here, and so is every word.
+    assert not any(got[i] for i, _ in ordinary)
+
+
+def test_random_runs_against_brute_force():
+    rng = np.random.default_rng(12)
+    ratios = rng.normal(1.0, 3.0, (secrets.CLASSES, secrets.CLASSES))
+    for size in (0, 1, 2, 3, 50, 3000):
+        classes = rng.integers(0, 12, size) * rng.integers(0, 2, size)
+        want, at = [], 0
+        while at < size:
+            end = at
+            while end < size and classes[end]:
+                end += 1
+            total = sum(ratios[classes[i], classes[i + 1]] for i in range(at, end - 1))
+            if end - at > 2 and total >= max(4.0, 1.2 * (end - at)):
+                want.append((at, end))
+            at = max(end, at) + 1
+        assert secrets.random_runs(classes, ratios, 1.2, 4.0) == want
+
+
 def test_ratios_are_finite_without_samples(docs):
     none = np.zeros((secrets.CLASSES, secrets.CLASSES))
     assert np.isfinite(secrets.log_ratios(none, none)).all()

@@ -2,14 +2,19 @@
 
 Two models of character pairs are trained on labelled samples of the whole corpus: the
 values that the fixed patterns find are samples of random strings, all other runs of
-identifier characters are samples of ordinary ones. A long run that no pattern found is a
-secret when the log-likelihood ratio of the two models says so.
+identifier characters are samples of ordinary ones. Secrets that no pattern finds lie among
+these at first; the runs that the first models find are left out of the sample when the
+models are counted again. A run that no pattern found is a secret when the log-likelihood
+ratio of the two models says so: its whole ratio must outweigh how rare secrets are among
+runs, whatever characters it is made of. So the ratio asked for, a character, rises as runs
+get shorter.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +24,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SLICE, groups_of_texts, summed
 
 KINDS = ("assign", "access", "hex", "random")
-#: A run of at least this many characters, letters and digits among them, is scored.
-SHORTEST = 20
-#: Log-likelihood ratio, in nats a character, from which a run counts as random.
+#: Log-likelihood ratio, in nats a character, from which a long run counts as random.
 RATIO = 1.3
+#: The least ratio of a whole run, in nats: one secret among e^26 runs would stand out.
+WHOLE = 26.0
+#: How often the models are counted, each time without the runs that the models before found.
+ROUNDS = 2
 #: Every pair's share of a sample that stands for a model before it has seen anything.
 PRIOR = 2.0
 
@@ -40,10 +47,6 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 CLASSES = len(_LETTERS) + 1
 _CLASS = np.zeros(256, dtype=np.int64)
 _CLASS[list(_LETTERS.encode())] = np.arange(1, CLASSES)
-_DIGIT = np.zeros(CLASSES, dtype=bool)
-_DIGIT[_CLASS[list(b"0123456789")]] = True
-_LETTER = np.zeros(CLASSES, dtype=bool)
-_LETTER[1:53] = True
 #: Both models' pair counts behind one another, in whole slices.
 _ROOM = -(-CLASSES * CLASSES // SLICE) * SLICE
 
@@ -86,8 +89,11 @@ def _pairs(classes: np.ndarray) -> np.ndarray:
     return codes[codes > 0]
 
 
-def pair_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Character pairs of all documents' random and ordinary strings; two tables of fixed size."""
+def pair_counts(docs: DataFrame, found: Callable[[np.ndarray], list] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Character pairs of all documents' random and ordinary strings; two tables of fixed size.
+
+    The runs that ``found`` picks from a text's character classes are samples of neither.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         counts = np.zeros(2 * _ROOM, dtype=np.int64)
@@ -95,6 +101,8 @@ def pair_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             ordinary: list[np.ndarray] = []
             for text in texts:
                 classes, values = _apart(text, base_spans(text))
+                for start, end in found(classes) if found else ():
+                    classes[start:end] = 0
                 ordinary += [classes, np.zeros(1, dtype=np.int64)]
                 for value in values:
                     counts[:_ROOM] += np.bincount(_pairs(value), minlength=_ROOM)
@@ -123,31 +131,45 @@ def log_ratios(random: np.ndarray, ordinary: np.ndarray, prior: float = PRIOR) -
     return np.log(shares(random, even)) - np.log(shares(ordinary, prior * CLASSES * single * np.ones_like(ordinary, dtype=float)))
 
 
-def _runs(classes: np.ndarray) -> list[tuple[int, int]]:
-    """Long runs of identifier characters with letters and digits."""
+def _in_code_points(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Places of runs, which are ASCII, from bytes to code points."""
+    starts = np.cumsum((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)
+    return [(int(starts[a]) - 1, int(starts[a]) - 1 + b - a) for a, b in runs]
+
+
+def random_runs(classes: np.ndarray, ratios: np.ndarray, ratio: float, whole: float) -> list[tuple[int, int]]:
+    """Runs of identifier characters that look random: (start, end) in bytes.
+
+    A run's ratio is the sum over the pairs inside it.
+    """
     inside = np.concatenate(([False], classes > 0, [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
-    long = edges[edges[:, 1] - edges[:, 0] >= SHORTEST]
-    return [(a, b) for a, b in long.tolist() if _DIGIT[classes[a:b]].any() and _LETTER[classes[a:b]].any()]
+    # A run of one character has no pair, and one pair never weighs enough.
+    edges = edges[edges[:, 1] - edges[:, 0] > 2]
+    if not len(edges):
+        return []
+    so_far = np.concatenate(([0.0], np.cumsum(ratios[classes[:-1], classes[1:]])))
+    total = so_far[edges[:, 1] - 1] - so_far[edges[:, 0]]
+    least = np.maximum(whole, ratio * (edges[:, 1] - edges[:, 0]))
+    return [(a, b) for a, b in edges[total >= least].tolist()]
 
 
-def secret_spans(docs: DataFrame, ratio: float = RATIO) -> DataFrame:
+def secret_spans(docs: DataFrame, ratio: float = RATIO, whole: float = WHOLE, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, base, added), one row for each row of ``docs``.
 
     ``base`` and ``added`` are arrays of (start, kind, end) in code points, end exclusive, in
     order of start and kind; ``kind`` is an index into ``KINDS``. ``base`` has the matches of
-    the fixed patterns, ``added`` the runs that the models find beside them. A null or empty
+    the fixed patterns, ``added`` the runs that the models find beside them: those whose
+    log-likelihood ratio is at least ``whole`` and at least ``ratio`` a character. A null or empty
     text has none. Null and repeated ids stay as they are; other columns are ignored. An
     empty table gives no rows.
 
     The models are counted over all documents; they and nothing else reach the driver.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    random, ordinary = pair_counts(texts)
-    ratios = log_ratios(random, ordinary)
-
-    def score(classes: np.ndarray) -> float:
-        return float(ratios[classes[:-1], classes[1:]].sum()) / len(classes)
+    ratios = log_ratios(*pair_counts(texts))
+    for _ in range(rounds - 1):
+        ratios = log_ratios(*pair_counts(texts, partial(random_runs, ratios=ratios, ratio=ratio, whole=whole)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
@@ -156,12 +178,12 @@ def secret_spans(docs: DataFrame, ratio: float = RATIO) -> DataFrame:
             for text in group:
                 spans = base_spans(text)
                 classes, _ = _apart(text, spans)
-                random_runs = [(a, b) for a, b in _runs(classes) if score(classes[a:b]) >= ratio]
+                runs = random_runs(classes, ratios, ratio, whole)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b, _ in spans])
-                if random_runs:
+                if runs:
                     raw = text.encode("utf-8", "surrogatepass")
-                    random_runs = [(len(raw[:a].decode("utf-8", "surrogatepass")), b - a) for a, b in random_runs]
-                added.append([{"start": a, "kind": 3, "end": a + n} for a, n in random_runs])
+                    runs = _in_code_points(raw, runs)
+                added.append([{"start": a, "kind": 3, "end": b} for a, b in runs])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(base, pa.list_(span)), pa.array(added, pa.list_(span))],
                 names=["doc_id", "base", "added"],
