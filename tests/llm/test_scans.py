@@ -78,6 +78,49 @@ def test_seeds_of_any_form_support_a_context(docs):
     assert added == [[] for _ in known] + [["user_4711_home"], ["9999-8888x"], []]
 
 
+def test_patterns_come_in_rounds(docs):
+    # "staff badge _" is learned from emails; its badges then carry "_ on duty", which no seed stands before.
+    emails = [f"staff badge {n}@mail.org in hall {at}" for at, n in enumerate(("anna", "ben", "eve", "carl", "dora", "finn", "gus", "hal", "ida", "jo"))]
+    emails += [f"again staff badge {n}@mail.net was on duty" for n in ("kim", "lea", "max", "noa", "oto", "pia", "qi")]
+    carried = [f"staff badge kx-{4000 + i}-q on duty" for i in range(2)]
+    seeds_of_duty = [f"seen {n}@post.org on duty" for n in ("ria", "sam", "tom", "uma", "val", "wes", "xia", "yan")]
+    rows = list(enumerate(emails + carried + seeds_of_duty + ["then zz-9876-w on duty", "code 20145 in room"]))
+    first = {r.doc_id: len(r.added) for r in personal_data(docs(rows), rounds=1).collect()}
+    assert first[len(rows) - 2] == 0 and sum(first.values()) == 2
+    got = {r.doc_id: r for r in personal_data(docs(rows)).collect()}
+    added = {i: [t[s.start : s.end] for s in got[i].added] for i, t in rows}
+    assert [added[i] for i, t in rows if t in carried] == [["kx-4000-q"], ["kx-4001-q"]]
+    assert added[len(rows) - 2] == ["zz-9876-w"] and added[len(rows) - 1] == []
+
+
+def test_planted_identifiers(docs):
+    """Precision and recall over planted contexts on either side, among numbers that are no identifiers."""
+    rng = random.Random(9)
+    words = "the of and to in a is was with from some other year people house water".split()
+    prose = lambda n: " ".join(rng.choices(words, k=n))
+    frames = ["reach me at {} {}", "my contact {} is", "{1} {0} belongs to {1}", "member {} joined {}", "account number: {} {}"]
+    rows, want = [], {}
+    for i in range(1200):
+        frame, unseen = frames[i % len(frames)], i // 5 % 10 == 9
+        value = f"{rng.choice('abc')}x{rng.randrange(10**5, 10**6)}-z" if unseen else f"{rng.choice(words)}{i}@mail{rng.randrange(9)}.org"
+        text = f"{prose(20)} {frame.format(value, prose(3))} {prose(20)}"
+        rows.append((i, text))
+        if unseen:
+            want[i] = [value]
+    # As in real texts, plain numbers are several times as common as identifiers.
+    rows += [(5000 + i, " ".join(f"{prose(5)} {rng.randrange(1000, 9999)}" for _ in range(10)) + f" {prose(5)}") for i in range(600)]
+    texts = dict(rows)
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.added] for r in personal_data(docs(rows)).collect() if r.added}
+    right = sum(got.get(i) == v for i, v in want.items())
+    assert len(want) == 120 and right >= 0.9 * len(want) and right >= 0.9 * len(got)
+
+
+def test_a_pattern_needs_several_texts(docs):
+    one = " ".join(f"call me on {n}@mail.org today." for n in ("anna", "ben", "eve", "carl", "dora", "finn"))
+    (row,) = personal_data(docs([(1, one + " call me on 4711-x today.")])).collect()
+    assert len(row.base) == 6 and not row.added
+
+
 def test_no_personal_data(docs):
     assert personal_data(docs([])).count() == 0
     assert [(r.base, r.added) for r in personal_data(docs([(1, "nothing here"), (None, None)])).collect()] == [([], [])] * 2

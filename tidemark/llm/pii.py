@@ -1,11 +1,12 @@
 """Personal data: fixed patterns, and identifiers learned from their context.
 
-The fixed patterns find seeds. Words before a seed, whatever its kind and form, make a lexical
-pattern ("me at"); other strings with digits that follow the same words are its instances,
-where they overlap no seed. Patterns and
-instances form a graph over the whole corpus, which is scored in rounds: a pattern is as
-good as the instances it picks, an instance as good as its best pattern. Instances of
-patterns with high confidence are new identifiers.
+The fixed patterns find seeds. Words around a seed, whatever its kind and form, make lexical
+patterns: two or three before it ("me at _"), two after it ("_ is mine") or one on either side
+("at _ today"). Other strings with digits in the same place are a pattern's instances, where
+they overlap no seed. Patterns and instances form a graph over the whole corpus, which is
+scored in rounds until no pattern is added: a pattern is as good as the instances it picks, an
+instance as good as its best pattern. Instances of patterns with high confidence, seen in
+several texts, are new identifiers.
 """
 
 from __future__ import annotations
@@ -16,12 +17,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 KINDS = ("email", "ip", "card", "phone", "context")
-ROUNDS = 3
-#: A pattern needs this many different instances, and this share of good ones.
+#: A pattern needs this many different good instances, seeds in this many texts, and this share of good instances.
 SUPPORT = 5
+TEXTS = 3
 CONFIDENCE = 0.8
-#: Words of a pattern, and the fewest digits of an instance that is no seed.
-CONTEXT_WORDS = 2
+#: The fewest digits of an instance that is no seed.
 DIGITS = 4
 
 # What each kind looks like. A match begins where the one before ended, or where no
@@ -34,9 +34,12 @@ _PATTERNS = (_EMAIL, _IP, _CARD, _PHONE)
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 #: A phone number, or a string of identifier characters with a digit.
 _CANDIDATE = _PHONE + r"|(?<![A-Za-z0-9._%+@-])[A-Za-z._%+@-]*+[0-9][A-Za-z0-9._%+@-]*+"
-#: The words right before it, on the same line.
-_BEFORE = r"(?:[A-Za-z][A-Za-z']*+[\x20:=#.,]++){%d}$" % CONTEXT_WORDS
-_BEFORE_CHARS = 200
+#: The words right before and after it, on the same line.
+_BEFORE = r"(?:[A-Za-z][A-Za-z']*+[\x20:=#.,]++){%d}$"
+_AFTER = r"^(?:[\x20:=#.,]++[A-Za-z][A-Za-z']*+){%d}"
+#: (words before, words after) of each form of pattern.
+FORMS = ((3, 0), (2, 0), (0, 2), (1, 1))
+_AROUND_CHARS = 200
 
 
 def _luhn(digits: Column) -> Column:
@@ -65,24 +68,28 @@ def _stands(kind: Column, value: Column) -> Column:
 
 
 def _matched(text: Column, kind: int, pattern: str, hint: Column) -> Column:
-    """(kind, pos, gap, value, before) of the matches of one pattern; ``gap`` characters lie before each."""
+    """(kind, pos, gap, value, before, after) of the matches of one pattern; ``gap`` characters lie before each."""
     gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def part(gap: Column, value: Column) -> Column:
-        before = F.substring(gap, -_BEFORE_CHARS, _BEFORE_CHARS)
+        before = F.substring(gap, -_AROUND_CHARS, _AROUND_CHARS)
         return F.struct(F.lit(kind).alias("kind"), F.length(gap).alias("gap"), value.alias("value"), before.alias("before"))
 
+    def followed(match: Column, gap: Column) -> Column:
+        return match.withField("after", F.substring(gap, 1, _AROUND_CHARS))
+
     # One gap more than values: the rest of the text, which zip_with pairs with null.
     found = F.filter(F.zip_with(gaps, values, part), lambda p: p["value"].isNotNull())
+    found = F.zip_with(found, F.slice(gaps, 2, F.greatest(F.size(values), F.lit(0))), followed)
     placed = F.transform(found, lambda p, at: p.withField("pos", at))
     return F.when(hint, placed).otherwise(F.array().cast(_MATCH))
 
 
-_MATCH = "array<struct<kind: int, gap: int, value: string, before: string, pos: int>>"
+_MATCH = "array<struct<kind: int, gap: int, value: string, before: string, after: string, pos: int>>"
 
 
 def found_matches(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, kind, start, end, value, before): matches of all patterns and of candidates, with their places."""
+    """(doc_id, text_hash, kind, start, end, value, before, after): matches of all patterns and of candidates, with their places."""
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     at_sign, plus, digit = F.contains("text", F.lit("@")), F.contains("text", F.lit("+")), F.col("text").rlike("[0-9]")
@@ -96,7 +103,7 @@ def found_matches(docs: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(order)
     return parts.withColumn("end", end).select(
-        "doc_id", "text_hash", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "before"
+        "doc_id", "text_hash", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "before", "after"
     )
 
 
@@ -107,6 +114,7 @@ def apart(found: DataFrame) -> DataFrame:
     trimmed = found.withColumn("_dots", F.when(candidate, dots).otherwise(0)).select(
         "doc_id", "text_hash", "kind", "start", (F.col("end") - F.col("_dots")).alias("end"),
         F.expr("substring(value, 1, length(value) - _dots)").alias("value"), "before",
+        F.expr("right(value, _dots) || after").alias("after"),
     )
     of_text = Window.partitionBy("doc_id", "text_hash")
     # Spans that begin at the same place are peers, so each sees the others.
@@ -119,19 +127,41 @@ def apart(found: DataFrame) -> DataFrame:
 
 
 def contexts(matches: DataFrame) -> DataFrame:
-    """Matches that have words before them, as ``pattern`` in lower case."""
-    words = F.regexp_extract("before", _BEFORE, 0)
-    pattern = F.trim(F.lower(F.regexp_replace(words, r"[\x20:=#.,]+", " ")))
-    return matches.withColumn("pattern", F.nullif(pattern, F.lit(""))).where("pattern IS NOT NULL")
+    """Matches once for each form of ``pattern`` that the words around them fill, in lower case."""
+
+    def words(text: str, form: str, n: int) -> Column:
+        """``n`` words of a side, null if there are fewer; no words are an empty string."""
+        if not n:
+            return F.lit("")
+        return F.nullif(F.trim(F.lower(F.regexp_replace(F.regexp_extract(text, form % n, 0), r"[\x20:=#.,]+", " "))), F.lit(""))
+
+    forms = [F.concat(words("before", _BEFORE, b), F.lit(" _ "), words("after", _AFTER, a)) for b, a in FORMS]
+    around = matches.withColumn("pattern", F.explode(F.array_compact(F.array(*forms))))
+    return around.drop("before", "after")
+
+
+def pattern_edges(seeds: DataFrame, candidates: DataFrame, texts: int = TEXTS) -> DataFrame:
+    """(pattern, value) of the patterns that can matter: those of a candidate, with seeds in at least ``texts`` texts.
+
+    Both tables have (pattern, value, text_hash). Only words, values and hashes are shuffled, and each
+    pattern is counted by part before it meets its other parts.
+    """
+    likely = seeds.join(candidates.select("pattern").distinct(), "pattern", "left_semi")
+    wide = likely.select("pattern", "text_hash").distinct().groupBy("pattern").count().where(F.col("count") >= texts)
+    edges = seeds.select("pattern", "value").unionByName(candidates.select("pattern", "value"))
+    return edges.join(wide.select("pattern"), "pattern", "left_semi").distinct()
 
 
-def confident_patterns(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def confident_patterns(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:
     """(pattern, confidence) of the patterns that pick mostly good instances.
 
-    ``edges`` has (pattern, value), ``seeds`` has (value); both without repetition.
+    ``edges`` has (pattern, value), ``seeds`` has (value); both without repetition. Rounds end
+    when one adds no pattern: scores never fall from round to round, so patterns only come in.
+    ``rounds`` ends them earlier.
     """
     good = seeds.select("value", F.lit(1.0).alias("score"))
-    for _ in range(rounds):
+    known = 0
+    while True:
         score = F.coalesce("score", F.lit(0.0))
         patterns = (
             edges.join(good, "value", "left")
@@ -141,13 +171,17 @@ def confident_patterns(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS)
             .select("pattern", "confidence")
         )
         patterns = stored(patterns, "patterns")
+        before, known = known, patterns.count()
+        if rounds is not None:
+            rounds -= 1
+        if known == before or rounds == 0:
+            return patterns
         picked = edges.join(patterns, "pattern").select("value", F.col("confidence").alias("score"))
         both = seeds.select("value", F.lit(1.0).alias("score")).unionByName(picked)
         good = both.groupBy("value").agg(F.max("score").alias("score"))
-    return patterns
 
 
-def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def personal_data(docs: DataFrame, rounds: int | None = None) -> DataFrame:
     """(doc_id, text_hash, base, added), one row for each row of ``docs``.
 
     ``base`` and ``added`` are arrays of (kind, start, end) in code points, end exclusive, in
@@ -155,15 +189,16 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     that pass the checks of their kind, ``added`` the instances of confident contexts that
     overlap none of them. A null or empty text has none; null and repeated ids stay as they are, and
     equal rows are treated alike. Other columns are ignored. An empty table gives no rows.
+    ``rounds`` limits how often patterns and instances are scored; none means until no pattern is added.
     """
     found = stored(found_matches(docs).where(_stands(F.col("kind"), F.col("value"))), "pii-matches")
     base = found.where(F.col("kind") < len(_PATTERNS))
     enough = F.length(F.regexp_replace("value", "[^0-9]", "")) >= DIGITS
     candidates = stored(contexts(apart(found).where(enough)), "pii-candidates")
     seeds = base.select("value").distinct()
-    edges = contexts(base).select("pattern", "value").unionByName(candidates.select("pattern", "value"))
-    patterns = confident_patterns(stored(edges.distinct(), "pii-edges"), seeds, rounds)
-    added = candidates.join(patterns.select("pattern"), "pattern", "left_semi")
+    edges = stored(pattern_edges(contexts(base), candidates), "pii-edges")
+    patterns = confident_patterns(edges, seeds, rounds)
+    added = candidates.join(patterns.select("pattern"), "pattern", "left_semi").drop("pattern").distinct()
 
     columns = ["doc_id", "text_hash", "kind", "start", "end"]
     spans = base.select(columns).unionByName(added.select(columns))
