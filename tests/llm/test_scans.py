@@ -187,6 +187,17 @@ def test_runs_of_any_length_and_alphabet(docs):
     assert not any(got[i] for i, _ in ordinary)
 
 
+def test_names_in_email_addresses_are_no_secrets(docs):
+    rng = random.Random(13)
+    words = ["configuration", "manager", "instance", "report", "version", "account", "number", "final", "the", "of", "Quick", "JSON", "2024"]
+    ordinary = [(i, " ".join(rng.choices(words, k=600)) + f" {rng.randrange(10**8)}") for i in range(300)]
+    samples = [(1000 + i, f'token = "{random_string(rng, "0123456789abcdef", 40)}"') for i in range(30)]
+    a, b, c = (random_string(rng, string.ascii_lowercase + string.digits, 34) for _ in range(3))
+    rows = [(2000, f"é {a}.71@mail0.example.com the"), (2001, f"https://user:{b}@db.example.com/of"), (2002, f"the {c}@ of")]
+    got = {r.doc_id: [(s.start, s.end) for s in r.added] for r in secret_spans(docs(ordinary + samples + rows)).collect()}
+    assert [got[i] for i, _ in rows] == [[], [(13, 47)], [(4, 38)]]
+
+
 def test_random_runs_against_brute_force():
     rng = np.random.default_rng(12)
     ratios = rng.normal(1.0, 3.0, (secrets.CLASSES, secrets.CLASSES))

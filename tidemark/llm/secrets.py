@@ -5,7 +5,7 @@ values that the fixed patterns find are samples of random strings, all other run
 identifier characters are samples of ordinary ones. Secrets that no pattern finds lie among
 these at first; the runs that the first models find are left out of the sample when the
 models are counted again. A run that no pattern found is a secret when the log-likelihood
-ratio of the two models says so: its whole ratio must outweigh how rare secrets are among
+ratio of the two models says so, unless it is part of an email address: its whole ratio must outweigh how rare secrets are among
 runs, whatever characters it is made of. So the ratio asked for, a character, rises as runs
 get shorter.
 """
@@ -39,6 +39,8 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
+#: Names in email addresses may be random and are no secrets; what a colon precedes ("user:value@host") may be one.
+_EMAIL = re.compile(rb"(?<![A-Za-z0-9._%+:-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _HINTS = ("passw", "secret", "token", "api")
 _SHORTEST_VALUE, _SHORTEST_ACCESS = 8, 16
 
@@ -70,15 +72,15 @@ def _bytes_at(text: str, place: int) -> int:
 
 
 def _apart(text: str, spans: list) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Character classes of a text with its spans blanked out, and those of the spans' values."""
-    classes = _CLASS[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
-    if not spans:
-        return classes, []
+    """Character classes of a text with its spans and email addresses blanked out, and those of the spans' values."""
+    raw = text.encode("utf-8", "surrogatepass")
+    classes = _CLASS[np.frombuffer(raw, dtype=np.uint8)]
+    emails = [m.span() for m in _EMAIL.finditer(raw)] if b"@" in raw else []
     values = []
     places = [(_bytes_at(text, a), _bytes_at(text, v), _bytes_at(text, b)) for a, _, b, v in spans]
     for _, value, end in places:
         values.append(classes[value:end].copy())
-    for start, _, end in places:
+    for start, end in [(start, end) for start, _, end in places] + emails:
         classes[start:end] = 0
     return classes, values
 
