@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.marts import FLOW_ENDS, daily_fact, merge_facts, money, partial_fact
+from tidemark.plans import marts
 from tidemark.plans.marts import fact_trips, update_marts
 from tidemark.session import scratch_database
 from tidemark.sinks import derived, tables, versions
@@ -131,3 +132,37 @@ def test_updated_marts_equal_a_rebuild(spark, names, rows, parts):
     made = update_marts(spark, source, renamed, "t", database, None, fare)
     assert made["fact_trips"].where("pickup_zone NOT LIKE 'new %'").count() == 0
     assert made["agg_flow_zone"].agg(F.sum("trips")).head()[0] == spark.table(source).count()
+
+
+def test_what_is_added_by_row_is_not_dealt_out(spark, names, rows, monkeypatch):
+    source, target = names
+    tables.upsert(trips(spark, FIRST), source, KEY, "t", 1)
+    dealt, build = [], versions.build
+
+    def seen(df, *args, **kwargs):
+        dealt.append(df.columns)
+        return build(df, *args, **kwargs)
+
+    monkeypatch.setattr(versions, "build", seen)
+    zones = F.broadcast(spark.createDataFrame([(7, "x" * 200), (8, "y" * 200)], "pulocationid long, name string"))
+    name = lambda df: df.where("k <> 2").drop(tables.LOAD_SEQ).join(zones, "pulocationid", "left")
+    for load in (1, 2):
+        assert derived.refresh(spark, source, target, name, "a", by_row=True) == [("202001",), ("202002",)][load - 1:]
+        made = spark.table(target).drop(derived.ORIGIN)
+        assert rows(made) == rows(name(spark.table(source)).select(made.columns))
+        tables.upsert(trips(spark, [(3, "2020-02-03", 7, 9, 3.0), (5, "2020-02-09", 99, 9, None)]), source, KEY, "t", 2)
+        assert all("name" not in columns and derived.ORIGIN not in columns for columns in dealt)
+
+
+@pytest.mark.parametrize("few", [0, 3])
+def test_names_of_few_zones_are_joined_after_the_shuffle(spark, names, rows, monkeypatch, few):
+    source, _ = names
+    monkeypatch.setattr(marts, "FEW_ZONES", few)
+    monkeypatch.setattr(marts, "refresh", lambda *args, **kw: by_row.append(kw.get("by_row", False)) or derived.refresh(*args, **kw))
+    by_row = []
+    zones = spark.createDataFrame([("7", "Q", "a"), ("8", "Q", "b"), ("9", "M", None)], "location_id string, borough string, zone_name string")
+    tables.upsert(trips(spark, [*FIRST, (4, None, None, 10, 1.0)]), source, KEY, "t", 1)
+    made = update_marts(spark, source, zones, "t", scratch_database(spark, "marts"), None, {"fare": money(F.col("fare"))})
+    fact = fact_trips(spark.table(source).drop(tables.LOAD_SEQ), zones, "t", None)
+    assert rows(made["fact_trips"].select(fact.columns)) == rows(fact)
+    assert by_row == [few == 3, False]

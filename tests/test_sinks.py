@@ -245,3 +245,22 @@ def test_late_rows_rewrite_only_their_stretch(spark, table):
 def test_stretches_of_a_month(spark):
     df = spark.sql("SELECT explode(array(timestamp_ntz'2024-02-01 00:00:00', timestamp_ntz'2024-02-29 23:59:59', timestamp_ntz'2024-02-15 12:00:00', NULL)) AS t")
     assert [r[0] for r in df.select(tables._part_of_month("t", 4)).collect()] == [0, 3, 2, 0]
+
+
+def test_first_load_reads_its_increment_once(spark, table):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = trips(spark, [(1, "2020-01-05", "a"), (1, "2020-01-05", "b"), (2, "2020-02-05", "a"), (3, None, None)])
+    made = tables.upsert(df.mapInArrow(counted, df.schema), table, KEY, "t", 1)
+    assert read.value == 4
+    assert content(made) == [(1, "2020-01-05", "b"), (2, "2020-02-05", "a"), (3, "None", None)]
+
+
+def test_first_load_without_rows(spark, table):
+    assert content(tables.upsert(trips(spark, []), table, KEY, "t", 1)) == []
+    assert content(tables.upsert(trips(spark, [(1, "2020-01-05", "a")]), table, KEY, "t", 2)) == [(1, "2020-01-05", "a")]

@@ -63,12 +63,15 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    """Order lines as trips from the supplier's to the customer's nation."""
+    """Order lines as trips from the supplier's to the customer's nation.
+
+    Customers are joined to the orders, which are far fewer than the lines.
+    """
     lines = table(spark, sf_dir, "lineitem") if lines is None else lines
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return (
-        lines.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice",
             F.col("s_nationkey").cast("bigint").alias("pulocationid"),

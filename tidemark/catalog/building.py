@@ -48,7 +48,7 @@ from tidemark.plans.marts import (
     update_marts,
 )
 from tidemark.session import scratch_database, stored
-from tidemark.sinks.tables import upsert
+from tidemark.sinks.tables import LOAD_SEQ, upsert
 
 PART_SIZE = 500
 
@@ -366,14 +366,14 @@ def marts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     database = scratch_database(spark, "marts")
     name = f"{database}.trips"
-    lines = newest_per_key(table(spark, sf_dir, "lineitem"), FULL_KEY, "l_shipdate")
-    all_trips = stored(trips(spark, sf_dir, lines), "trips")
+    # Dealt out by order once, for the newest lines, the join with orders and the first load.
+    lines = newest_per_key(table(spark, sf_dir, "lineitem").repartition("l_orderkey"), FULL_KEY, "l_shipdate")
 
     def update() -> dict[str, DataFrame]:
         price = {"price": money(F.col("l_extendedprice"))}
         return update_marts(spark, name, zones(spark, sf_dir), "l_shipdate", database, None, price)
 
-    upsert(all_trips, name, FULL_KEY, "l_shipdate", 1)
+    all_trips = upsert(trips(spark, sf_dir, lines), name, FULL_KEY, "l_shipdate", 1).drop(LOAD_SEQ, "load_month")
     place = F.col("_metadata.file_path")
     before = stored(update()["trip_totals"].select(place.alias("path")).distinct(), "files")
     (newest,) = all_trips.agg(F.max("l_shipdate")).head()

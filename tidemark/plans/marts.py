@@ -30,6 +30,9 @@ from tidemark.sinks.derived import ORIGIN, refresh
 from tidemark.sinks.tables import LOAD_SEQ, replace_table
 from tidemark.sinks.versions import partition_columns
 
+# Up to so many zones are sent to every executor when trips get their names.
+FEW_ZONES = 10_000
+
 
 def fact_trips(
     trips: DataFrame, zones: DataFrame, cursor: str, reliable_before: str | None = contracts.RELIABLE_BEFORE
@@ -94,9 +97,11 @@ def update_marts(
     measures = measures or {}
     fact, totals = f"{database}.fact_trips", f"{database}.trip_totals"
     seen = zones.agg(F.count("*"), F.sum(F.xxhash64(*zones.columns).cast("decimal(20,0)"))).head()
+    few = seen[0] <= FEW_ZONES
+    named = F.broadcast(zones) if few else zones
     refresh(
-        spark, trips, fact, lambda rows: fact_trips(rows.drop(LOAD_SEQ), zones, cursor, reliable_before),
-        f"{seen[0]} {seen[1]} {reliable_before}",
+        spark, trips, fact, lambda rows: fact_trips(rows.drop(LOAD_SEQ), named, cursor, reliable_before),
+        f"{seen[0]} {seen[1]} {reliable_before}", by_row=few,
     )
 
     def summary(rows: DataFrame) -> DataFrame:

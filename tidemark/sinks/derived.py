@@ -10,6 +10,7 @@ before it died are found out of date by the next one.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Mapping
 from urllib.parse import unquote
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.session import folders
 from tidemark.sinks import versions
 
-#: Column of a derived table: the folder that its partition was made from, and the stamp.
+#: Column of a derived table: a digest of the folder that its partition was made from, and of the stamp.
 ORIGIN = "_origin"
 # More partitions than this are looked up by join instead of by a list.
 LISTED_PARTITIONS = 2_000
@@ -59,7 +60,8 @@ def _only(rows: DataFrame, by: list[str], parts: Iterable[Values], origins: Data
 
 
 def refresh(
-    spark: SparkSession, source: str, target: str, derive: Callable[[DataFrame], DataFrame], stamp: str = ""
+    spark: SparkSession, source: str, target: str, derive: Callable[[DataFrame], DataFrame], stamp: str = "",
+    by_row: bool = False,
 ) -> list[Values]:
     """Bring ``target`` up to date with the partitioned table ``source``; the partitions made anew.
 
@@ -69,6 +71,10 @@ def refresh(
     and those that ``derive`` leaves without rows, are dropped. Each partition is written
     once, aside, and put in place as an upsert does it. An empty source gives an empty table.
     Partition values must not be null.
+
+    With ``by_row`` the rows are dealt out to their folders before ``derive`` and not after
+    it, so that the columns it adds are not sent along. It must then shuffle nothing: it
+    looks at one row at a time, or joins what is broadcast.
     """
     by = versions.partition_columns(spark, source)
     if not by:
@@ -77,7 +83,10 @@ def refresh(
     # Another session may have put other folders in place since this one last looked.
     spark.catalog.refreshTable(source)
     rows = spark.table(source)
-    wanted = {values: f"{place}|{stamp}" for values, place in partition_folders(spark, source).items()}
+    # A digest, since every row holds it.
+    wanted = {
+        values: hashlib.md5(f"{place}|{stamp}".encode()).hexdigest() for values, place in partition_folders(spark, source).items()
+    }
     shape = derive(rows)
     kept = [c for c in shape.columns if c not in by]
     if missing := set(by).difference(shape.columns):
@@ -104,8 +113,14 @@ def refresh(
     path = None
     if stale:
         origins = _origins(rows, by, stale)
-        fresh = derive(_only(rows, by, stale, origins)).drop(ORIGIN).join(origins, by)
-        path, _ = versions.build(fresh.select(*(F.col(f"`{c}`") for c in empty.columns)), target, by)
+        only = _only(rows, by, stale, origins)
+
+        def whole(dealt: DataFrame) -> DataFrame:
+            # The origins are a list of the driver's; a row each travels, not one for each row of the table.
+            made = (derive(dealt) if by_row else dealt).drop(ORIGIN).join(F.broadcast(origins), by)
+            return made.select(*(F.col(f"`{c}`") for c in empty.columns))
+
+        path, _ = versions.build(only if by_row else derive(only).drop(ORIGIN), target, by, last=whole)
         made = {_values(folder) for folder in folders(spark, path, len(by))}
         gone |= (stale.keys() & known.keys()) - made
     for values in sorted(gone):

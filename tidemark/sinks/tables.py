@@ -106,6 +106,8 @@ def upsert(
     With ``parts`` above 1 each month is cut into as many equal stretches of time, each a
     folder of its own, and only the stretches that the increment touches are rewritten: a
     few late rows cost a few folders of a large month. A table keeps the parts it was made with.
+
+    The first load of a table reads the increment once, so it need not be stored before.
     """
     if cursor not in keys:
         raise ValueError("the cursor has to be part of the key")
@@ -123,20 +125,20 @@ def upsert(
     # Another session may have rewritten files since this one last looked.
     spark.catalog.refreshTable(table)
     old = spark.table(table)
-    folders = fresh.select(*by).distinct()
-    touched = folders.limit(LISTED_PARTITIONS + 1).collect()
-    if not touched:
-        return old
-    if len(touched) <= LISTED_PARTITIONS:
-        affected = old.where(F.col(by[0]).isin(*{r[0] for r in touched}))
-        if len(by) > 1:
-            affected = affected.where(F.struct(*by).isin(*(F.struct(*map(F.lit, r)) for r in touched)))
-    else:
-        affected = old.join(folders, by, "left_semi")
-    merged = newest_per_key(
-        affected.unionByName(fresh.select(*old.columns)), keys, cursor, LOAD_SEQ
-    ).select(*old.columns)
-    path, _ = versions.build(merged, table, by)
+    rows = fresh.select(*old.columns)
+    if exists:
+        folders = fresh.select(*by).distinct()
+        touched = folders.limit(LISTED_PARTITIONS + 1).collect()
+        if not touched:
+            return old
+        if len(touched) <= LISTED_PARTITIONS:
+            affected = old.where(F.col(by[0]).isin(*{r[0] for r in touched}))
+            if len(by) > 1:
+                affected = affected.where(F.struct(*by).isin(*(F.struct(*map(F.lit, r)) for r in touched)))
+        else:
+            affected = old.join(folders, by, "left_semi")
+        rows = affected.unionByName(rows)
+    path, _ = versions.build(newest_per_key(rows, keys, cursor, LOAD_SEQ).select(*old.columns), table, by)
     versions.publish(spark, table, path)
     return spark.table(table)
 

@@ -9,7 +9,7 @@ place is named in the table's properties first, so the next load can finish it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,15 +33,21 @@ def new_version(spark: SparkSession, table: str) -> str:
 
 
 def build(
-    df: DataFrame, table: str, partition_by: Sequence[str] = (), measures: Sequence[Column] = ()
+    df: DataFrame, table: str, partition_by: Sequence[str] = (), measures: Sequence[Column] = (),
+    last: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[str, dict[str, int]]:
-    """Write a version; its folder and what was measured in the same pass: ``rows``, and aggregates of ``df``."""
+    """Write a version; its folder and what was measured in the same pass: ``rows``, and aggregates of ``df``.
+
+    ``last`` adds columns to the rows when they are dealt out, so that these need not be sent along.
+    """
     path = new_version(df.sparkSession, table)
     seen = Observation()
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
     if partition_by:
         # Few files per folder, and several for a folder that holds most of the rows.
         rows = rows.hint("rebalance", *partition_by)
+    if last:
+        rows = last(rows)
     rows.write.partitionBy(*partition_by).parquet(path)
     return path, {"rows": 0, **seen.get}
 
