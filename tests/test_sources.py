@@ -1,11 +1,14 @@
 import json
 import zipfile
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import contracts
+from tidemark.catalog import reading
 from tidemark.operators.checks import DataCheckError
+from tidemark.session import setting
 from tidemark.sources import archives, files, listing, paged_json
 from tidemark.sources.paths import portable
 from tidemark.streaming.slices import date_slices, slice_list
@@ -345,6 +348,36 @@ def test_physical_heads_move_nothing(spark, tmp_path):
         files.physical_head(df, -1)
 
 
+def test_physical_heads_of_folders_follow_their_part_files(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    spark.range(40).select((F.col("id") % 2).alias("g"), "id").repartitionByRange(8, F.desc("id")).sortWithinPartitions(
+        "g", F.desc("id")
+    ).write.partitionBy("g").parquet(path)
+    read = spark.read.parquet(path)
+    for n in (1, 7, 2_000):
+        got = sorted((r.g, r.id) for r in files.physical_head(read, n, folder=True).collect())
+        assert got == sorted((g, i) for g in (0, 1) for i in range(38 + g, -1, -2)[:n])
+    assert files.physical_head(read, 0, folder=True).columns == files.physical_head(read, 3, folder=True).columns == ["id", "g"]
+
+
+def test_lines_of_one_number_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reading, "scratch_path", lambda *_: str(tmp_path / "written"))
+    lines = spark.range(400).select(
+        F.col("id").alias("l_orderkey"), F.when(F.col("id") % 10 == 0, None).otherwise(F.lit(1)).alias("l_linenumber"),
+        *[F.lit(k).alias(c) for k, c in enumerate(("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))],
+        F.lit("R").alias("l_returnflag"), F.lit("F").alias("l_linestatus"),
+        F.lit("1995-01-01").cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    lines.union(lines.where("l_orderkey < 3")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        got = reading.per_file_head_physical(spark, str(tmp_path)).collect()
+    keys = {n: sorted(r.l_orderkey for r in got if r.l_linenumber == n) for n in (1, None)}
+    ones = sorted([1, 2, *(i for i in range(400) if i % 10)])
+    assert keys == {1: ones[:25], None: [0, *range(0, 240, 10)]}
+    sizes = [pq.read_metadata(f).num_rows for f in (tmp_path / "written" / "l_linenumber=1").glob("*.parquet")]
+    assert sum(sizes) == 362 and max(sizes) < 200
+
+
 def test_footers_tell_the_newest_cursor(spark, tmp_path):
     def write(name, rows, kind="timestamp_ntz"):
         df = spark.createDataFrame([(r,) for r in rows], "t string").select(F.col("t").cast(kind).alias("t"))

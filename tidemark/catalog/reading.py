@@ -171,12 +171,15 @@ def _head(n: int):
 
 
 def per_file_head_physical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines written in order, one file to a line number: the first rows of each file, without a sort."""
+    """Lines written in order, one folder of part files to a line number: the first rows of each folder as they lie there.
+
+    The lines are dealt out by ranges, so that no task holds all lines of a number.
+    """
     path = scratch_path(spark, "sorted-lines")
-    lines = table(spark, sf_dir, "lineitem")
-    dealt = lines.repartition("l_linenumber").sortWithinPartitions("l_linenumber", *_HEAD_ORDER)
+    order = ("l_linenumber", *_HEAD_ORDER)
+    dealt = table(spark, sf_dir, "lineitem").repartitionByRange(*order).sortWithinPartitions(*order)
     dealt.write.partitionBy("l_linenumber").parquet(path)
-    return physical_head(spark.read.parquet(path), 25).select(
+    return physical_head(spark.read.parquet(path), 25, folder=True).select(
         F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_orderkey", "l_partkey",
         "l_suppkey", "l_quantity", second_text("l_shipdate").alias("shipped"),
     )

@@ -126,14 +126,23 @@ def head_per_file(df: DataFrame, order: Sequence[str], n: int, folder: bool = Fa
     return head_per_group(tagged, ["_file"], order, n).drop("_file")
 
 
-def physical_head(df: DataFrame, n: int) -> DataFrame:
+def physical_head(df: DataFrame, n: int, folder: bool = False) -> DataFrame:
     """The first ``n`` rows of every Parquet file as they lie in it; 0 keeps all. ``df`` is a file scan.
 
-    The scan numbers the rows of a file itself, so nothing is sorted, moved or copied.
+    The scan numbers the rows of a file itself, so nothing is sorted, moved or copied. With
+    ``folder`` the part files of one folder count as one file, in the order of their names; then
+    the heads of the part files, and no other rows, are compared by where they lie.
     """
     if n < 0:
         raise ValueError("n must not be negative")
-    return df.where(F.col("_metadata.row_index") < n) if n else df
+    if n == 0:
+        return df
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    heads = df.where(row < n)
+    if not folder:
+        return heads
+    tagged = heads.withColumns({"_file": file, "_row": row, "_folder": F.regexp_replace(file, "/[^/]*$", "")})
+    return head_per_group(tagged, ["_folder"], ["_file", "_row"], n).drop("_file", "_row", "_folder")
 
 
 def footer_bounds(spark: SparkSession, paths: Sequence[str], column: str) -> DataFrame:
