@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import contracts
 from tidemark.operators import checks, dedup, joins, marts, numbering, shape
+from tidemark.session import setting
 
 
 # -- numbering ------------------------------------------------------------------
@@ -216,6 +217,26 @@ def test_nearest_zone_against_brute_force(spark, spread):
     assert got == brute_nearest(stations, zones)
 
 
+def test_a_position_meets_cells_and_not_each_of_their_zones(spark):
+    zones = {20 * c + i: (40.0 + c + i * 1e-7, -74.0) for c in range(3) for i in range(20)}
+    stations = {s: (40.0 + s / 50, -73.9) for s in range(100)}
+    zdf = spark.createDataFrame([(i, *p) for i, p in zones.items()], "location_id int, lat double, lon double")
+    sdf = spark.createDataFrame([(i, *p) for i, p in stations.items()], "s int, lat double, lon double")
+
+    def joined(node):
+        under = node.children()
+        rows = [r for i in range(under.size()) for r in joined(under.apply(i))]
+        return rows + [node.metrics().apply("numOutputRows").value()] if node.nodeName().endswith("Join") else rows
+
+    with setting(spark, "spark.sql.adaptive.enabled", "false"):
+        df = joins.nearest_zone(sdf, zdf)
+        # Collected through this very plan, whose counts are read.
+        got = {r["s"]: r["zone_id"] for r in df.collect()}
+        counts = joined(df._jdf.queryExecution().executedPlan())
+    assert got == brute_nearest(stations, zones)
+    assert len(counts) >= 3 and max(counts) <= 100 * joins.ROOT_CELLS
+
+
 def test_nearest_zone_ties_and_missing_places(spark, rows):
     zones = spark.createDataFrame(
         [(9, 0.0, 1.0), (3, 0.0, -1.0), (5, 0.0, -1.0), (1, None, 0.0)], "location_id int, lat double, lon double"

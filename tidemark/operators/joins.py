@@ -75,7 +75,7 @@ def nearest_zone(
         ),
         "centroids",
     )
-    levels = _levels(placed)
+    levels, fullest = _levels(placed)
     if not levels:
         return stations.select(
             "*", F.lit(None).cast(zones.schema[zone_id].dataType).alias("zone_id"),
@@ -95,15 +95,21 @@ def nearest_zone(
         front = _prune(
             front.withColumnRenamed("_cell", "_parent").join(children, "_parent").drop("_parent")
         )
-    leaves = placed.select(
-        _level(levels[-1]).alias("_cell"), "_zone",
-        F.col("_lat").alias("_zlat"), F.col("_lon").alias("_zlon"),
-    )
-    candidates = front.join(leaves, "_cell")
-    distance = haversine_km(F.col("_lat"), F.col("_lon"), F.col("_zlat"), F.col("_zlon"))
-    best = candidates.groupBy("_lat", "_lon").agg(
-        F.min(F.struct(distance.alias("km"), F.col("_zone").alias("zone"))).alias("_best")
+    # A cell's zones are compared as one list, so that only its best zone, and not a row for each
+    # zone, is sorted by position. The lists of a full cell of the finest grid are kept short too.
+    lists = math.ceil(fullest / LEAF_ZONES)
+    leaves = placed.groupBy(
+        _level(levels[-1]).alias("_cell"), F.pmod(F.xxhash64("_lat", "_lon"), F.lit(lists)).alias("_list")
+    ).agg(F.collect_list(F.struct("_zone", "_lat", "_lon")).alias("_zones"))
+
+    def reached(zone: Column) -> Column:
+        distance = haversine_km(F.col("_lat"), F.col("_lon"), zone["_lat"], zone["_lon"])
+        return F.struct(distance.alias("km"), zone["_zone"].alias("zone"))
+
+    candidates = front.join(leaves, "_cell").select(
+        "_lat", "_lon", F.array_min(F.transform("_zones", reached)).alias("_near")
     )
+    best = candidates.groupBy("_lat", "_lon").agg(F.min("_near").alias("_best"))
     # Stations without a place get made-up latitudes that match nothing, many of them,
     # so that they do not all meet in one task.
     plain = [f.name for f in stations.schema if isinstance(f.dataType, T.AtomicType)]
@@ -154,8 +160,8 @@ def _level(n: int) -> Column:
     return _cell_id(F.lit(FINEST - n))
 
 
-def _levels(placed: DataFrame) -> list[int]:
-    """Grid levels to walk through, from two counts per level."""
+def _levels(placed: DataFrame) -> tuple[list[int], int]:
+    """Grid levels to walk through and the most zones of a cell of the last, from two counts per level."""
     cells = placed.select(
         "_ix", "_iy", "_iz", F.explode(F.sequence(F.lit(0), F.lit(FINEST))).alias("level")
     ).select("level", _cell_id(F.lit(FINEST) - F.col("level")).alias("cell"))
@@ -165,12 +171,13 @@ def _levels(placed: DataFrame) -> list[int]:
         .orderBy("level").collect()
     )
     if not stats:
-        return []
+        return [], 0
     root = max(s["level"] for s in stats if s["cells"] <= ROOT_CELLS)
     small = [s["level"] for s in stats if s["fullest"] <= LEAF_ZONES]
     leaf = max(root, small[0] if small else FINEST)
     steps = max(1, math.ceil((leaf - root) / 3))
-    return sorted({root + round(i * (leaf - root) / steps) for i in range(steps + 1)})
+    levels = sorted({root + round(i * (leaf - root) / steps) for i in range(steps + 1)})
+    return levels, next(s["fullest"] for s in stats if s["level"] == leaf)
 
 
 def _cells(placed: DataFrame, level: int, above: int) -> DataFrame:
