@@ -431,7 +431,10 @@ def _caps(reps: DataFrame, cosine: float, cell: int, sample: int, width: int) ->
     cells = 0
     for row in reps.groupBy("size").count().orderBy("size").collect():
         size, total = row["size"], row["count"]
-        drawn = reps.where(F.col("size") == size).orderBy("h1", "h2").select("embedding").limit(sample).toArrow()
+        # Hashes are even: about twice the sample lies below this one, and no other vectors need to be shuffled to be ordered.
+        below = -(1 << 63) + (1 << 64) * 2 * sample // max(total, 2 * sample)
+        drawn = reps.where((F.col("size") == size) & (F.col("h1") <= min(below, (1 << 63) - 1)))
+        drawn = drawn.orderBy("h1", "h2").select("embedding").limit(sample).toArrow()
         vectors = unit(_matrix(drawn.column("embedding")).astype(np.float64))
         own = max(min(cell, _BYTES // (width * size), max(total // 16, _FEWEST)), 1)
         caps[size] = caps_of(vectors, total, cosine, own, cells)
